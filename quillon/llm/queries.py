@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from quillon.llm import oracles
+from quillon.llm.chat_format import format_chat
+from quillon.llm.decontaminate import find_contamination
 from quillon.llm.jaccard_join import Rule, jaccard_components
+from quillon.llm.quality_rules import quality_cascade
+from quillon.llm.sharding import shard
+from quillon.llm.url_filter import filter_urls, parse_rule
+
+#: Rules of the URL filter query: (verdict, host and path).
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+#: Tool of the chat query: {argument: (type, required)}.
+TOOLS = {"reply": {"prompt": ("string", True), "turn": ("integer", True)}}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +29,52 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), rule=Rule(size=4, num=85, den=100))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard(table(spark, sf_dir, "documents"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (F.col("kept") & ~base).alias("kept"))
+
+
+def chat_messages(conversations: DataFrame) -> DataFrame:
+    """User turns as calls of the tool "reply", named by their turn, after the user turn before; assistant turns as results of the user turn before."""
+    before = Window.partitionBy("conv_id").orderBy("turn")
+    asked = F.when(F.col("role") == "user", F.col("turn"))
+    last = F.last(asked, ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    name = lambda turn: F.concat(F.lit("t"), turn.cast("string"))
+    is_user = F.col("role") == "user"
+    return conversations.select(
+        "conv_id", "turn", "role", "text",
+        F.when(is_user, name(F.col("turn"))).alias("call_id"),
+        F.when(is_user, F.lit("reply")).alias("name"),
+        F.when(is_user, F.to_json(F.struct("turn", F.coalesce("text", F.lit("")).alias("prompt")))).alias("arguments"),
+        F.when(F.col("role") == "assistant", name(last)).alias("answers"),
+        F.when(is_user, F.array_compact(F.array(name(last)))).alias("after"),
+    )
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chat(chat_messages(table(spark, sf_dir, "conversations")), TOOLS)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.array_join("item_ids", ","), 256)
+    bad = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), ids.alias("items_sha256"), bad.alias("contaminated"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), [parse_rule(*r) for r in URL_RULES])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join,)}
+    return {f.__name__: f for f in (op1_jaccard_join, op3_sharding, op5_quality_rules, op6_chat_format, op8_decontamination, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for k, v in oracles.SQL.items() if k in queries()}
