@@ -53,69 +53,102 @@ def lines(c: Column) -> Column:
     return F.filter(F.split(_text(c), "\n"), lambda x: F.length(_without(x, f" {_SPACE}")) > 0)
 
 
-def with_measures(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_upper, n_lines, n_dup_lines and n_repeat_words (long).
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is built once, however often it's used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    Arrays are columns of their own on the way, so each is built once; equal windows are found by sorting window
-    hashes, and only where the distinct windows are fewer.
+
+def n_repeat_words(w: Column) -> Column:
+    """Words of the array in three-word windows that the array has twice or more, the first of them included.
+
+    Windows are compared by hash; they're sorted only where the distinct ones are fewer than all.
     """
-    t = F.col(text_col)
-    df = df.withColumns({"_w": words(t), "_lines": lines(t), "word_chars": word_chars(t), "n_symbols": n_symbols(t), "n_upper": n_upper(t)})
-    w = F.col("_w")
-    df = df.withColumns({"n_words": F.size("_w").cast("long"), "n_lines": F.size("_lines").cast("long"), "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"), "_g": F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))}).drop("_lines")
-    df = df.withColumn("_g", F.slice("_g", F.lit(1), F.greatest(F.size("_g") - 2, F.lit(0)))).drop("_w")
-    g = F.col("_g")
-    ordered = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("_o", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), ordered)).drop("_g")
-    o = F.col("_o")
-    twice = F.filter(o, lambda x, j: (j > 0) & (x["h"] == F.get(o, j - 1)["h"]) | (x["h"] == F.get(o, j + 1)["h"]).eqNullSafe(F.lit(True)))
-    covered = F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))
-    return df.withColumn("n_repeat_words", F.when(o.isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(covered))).cast("long")).drop("_o")
+
+    def covered(o: Column) -> Column:
+        same = lambda j, k: F.coalesce(F.get(o, j)["h"] == F.get(o, k)["h"], F.lit(False))
+        twice = F.filter(o, lambda x, j: same(j, j + 1) | ((j > 0) & same(j, j - 1)))
+        return F.size(F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
+
+    def counted(g: Column) -> Column:
+        ordered = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(g)) < F.size(g), _let(ordered, covered)).otherwise(0)
+
+    grams = F.slice(F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))), F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
+    return _let(grams, counted).cast("long")
+
+
+def _line_counts(c: Column) -> Column:
+    return _let(lines(c), lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
+
+
+#: Measures of a text column; each stands alone, so a rule pays for what it uses.
+MEASURES: dict[str, Callable[[Column], Column]] = {
+    "n_words": lambda t: F.size(words(t)).cast("long"),
+    "word_chars": word_chars,
+    "n_symbols": n_symbols,
+    "n_upper": n_upper,
+    "n_lines": lambda t: _line_counts(t)["n"],
+    "n_dup_lines": lambda t: _line_counts(t)["dup"],
+    "n_repeat_words": lambda t: _let(words(t), n_repeat_words),
+}
+Measure = Callable[[str], Column]
 
 
 @dataclass(frozen=True)
 class QualityRule:
-    """``rejects`` is a condition over the text column's measures."""
+    """``rejects`` is a condition over measures, got by name."""
 
     name: str
-    rejects: Callable[[], Column]
+    rejects: Callable[[Measure], Column]
 
 
 #: Base rules of the contract, then rules on symbols, capitals and repeated lines.
 RULES = (
-    QualityRule("short", lambda: F.col("n_words") < 50),
-    QualityRule("repeats", lambda: 100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
-    QualityRule("symbols", lambda: 10 * F.col("n_symbols") > F.col("n_words")),
-    QualityRule("capitals", lambda: 100 * F.col("n_upper") > 35 * F.col("word_chars")),
-    QualityRule("lines", lambda: 10 * F.col("n_dup_lines") > 4 * F.col("n_lines")),
+    QualityRule("short", lambda m: m("n_words") < 50),
+    QualityRule("repeats", lambda m: 100 * m("n_repeat_words") > 50 * m("n_words")),
+    QualityRule("symbols", lambda m: 10 * m("n_symbols") > m("n_words")),
+    QualityRule("capitals", lambda m: 100 * m("n_upper") > 35 * m("word_chars")),
+    QualityRule("lines", lambda m: 10 * m("n_dup_lines") > 4 * m("n_lines")),
 )
 
 
 def rule_order(df: DataFrame, rules: tuple[QualityRule, ...] = RULES, text_col: str = "text", rows: int = SAMPLE_ROWS) -> list[tuple[QualityRule, float, float]]:
     """Rules with cost (seconds a sample row) and rejected share, most rejections per cost first."""
-    sample = df.select(F.col(text_col)).where(F.pmod(F.xxhash64(text_col), F.lit(16)) == 0).limit(rows).cache()
+    text = F.col("_text")
+    sample = df.select(df[text_col].alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(16)) == 0).limit(rows).cache()
     try:
         n = sample.count()
         out = []
         for r in rules:
+            hit = sample.agg(F.count_if(r.rejects(lambda m: MEASURES[m](text))).alias("hit"))
             begun = time.perf_counter()
-            hit = with_measures(sample, text_col).where(r.rejects()).count()
-            out.append((r, max(time.perf_counter() - begun, 1e-6) / max(n, 1), hit / max(n, 1)))
+            share = hit.first()["hit"] / max(n, 1)
+            out.append((r, max(time.perf_counter() - begun, 1e-6) / max(n, 1), share))
     finally:
         sample.unpersist()
     return sorted(out, key=lambda x: (-x[2] / x[1], x[0].name))
 
 
-def quality_cascade(df: DataFrame, rules: tuple[QualityRule, ...] = RULES, text_col: str = "text", order: list[QualityRule] | None = None) -> DataFrame:
-    """``df`` with its measures, first_failed (null: none) and kept."""
-    order = order or [r for r, _, _ in rule_order(df, rules, text_col)]
-    first = F.lit(None).cast("string")
+def first_failed(order: list[QualityRule], m: Measure) -> Column:
+    """The first rule in ``order`` that rejects, or null."""
+    out = F.lit(None).cast("string")
     for r in reversed(order):
-        first = F.when(r.rejects(), F.lit(r.name)).otherwise(first)
-    return with_measures(df, text_col).withColumn("first_failed", first).withColumn("kept", F.col("first_failed").isNull())
+        out = F.when(r.rejects(m), F.lit(r.name)).otherwise(out)
+    return out
+
+
+def quality_cascade(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[QualityRule, ...] = RULES) -> DataFrame:
+    """One row per input row: id, all measures (long), first_failed (null: none) and kept."""
+    order = [r for r, _, _ in rule_order(df, rules, text_col)]
+    t = df[text_col]
+    both = _let(words(t), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).alias("n_repeat_words")))
+    m = df.select(df[id_col].alias("id"), both.alias("w"), _line_counts(t).alias("l"), word_chars(t).alias("word_chars"), n_symbols(t).alias("n_symbols"), n_upper(t).alias("n_upper"))
+    m = m.select(F.col("id").alias(id_col), "w.n_words", "word_chars", "n_symbols", "n_upper", F.col("l.n").alias("n_lines"), F.col("l.dup").alias("n_dup_lines"), "w.n_repeat_words")
+    return m.withColumn("first_failed", first_failed(order, F.col)).withColumn("kept", F.col("first_failed").isNull())
 
 
-def keep_good(df: DataFrame, rules: tuple[QualityRule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """The kept rows of ``df`` with its own columns, whatever their names."""
-    packed = df.select(F.struct(*(df[c] for c in df.columns)).alias("_row"), df[text_col].alias("_text"))
-    return quality_cascade(packed, rules, "_text").where("kept").select("_row.*")
+def keep_good(df: DataFrame, text_col: str = "text", rules: tuple[QualityRule, ...] = RULES) -> DataFrame:
+    """The rows of ``df`` that no rule rejects; one filter, so a rejected row costs only the rules up to the one that rejects it."""
+    order = [r for r, _, _ in rule_order(df, rules, text_col)]
+    t = df[text_col]
+    return df.where(first_failed(order, lambda m: MEASURES[m](t)).isNull())

@@ -35,7 +35,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = quality_cascade(table(spark, sf_dir, "documents"))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (F.col("kept") & ~base).alias("kept"))
 
