@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillon.llm import oracles
 from quillon.llm.chat_format import format_chat
 from quillon.llm.decontaminate import find_contamination
 from quillon.llm.jaccard_join import Rule, jaccard_components
+from quillon.llm.quality_classifier import classify
 from quillon.llm.quality_rules import quality_cascade
 from quillon.llm.sharding import shard
+from quillon.llm.toxicity import fit_toxicity, score_toxicity
 from quillon.llm.url_filter import filter_urls, parse_rule
 
 #: Rules of the URL filter query: (verdict, host and path).
@@ -29,6 +31,17 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), rule=Rule(size=4, num=85, den=100))
 
 
+def _fold(other: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo 5."""
+    return F.pmod(F.crc32(F.col(other).cast("string").cast("binary")), F.lit(5))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), "toxic", _fold() != 0)
+    return score_toxicity(docs, model).select("doc_id", (_fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard(table(spark, sf_dir, "documents"), shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -68,12 +81,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), ids.alias("items_sha256"), bad.alias("contaminated"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", _fold() != 0)
+    return out.select("doc_id", (_fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), [parse_rule(*r) for r in URL_RULES])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op3_sharding, op5_quality_rules, op6_chat_format, op8_decontamination, op10_url_filter)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_sharding, op5_quality_rules, op6_chat_format, op8_decontamination, op9_quality_classifier, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
