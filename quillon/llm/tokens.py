@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _U = np.uint64
 _P = 0x9E3779B97F4A7C55
 _PINV = pow(_P, -1, 1 << 64)
@@ -98,16 +98,17 @@ class Chunk:
         doc = np.repeat(np.arange(rows), np.diff(first))
         return Words(start, end, doc, first)
 
-    def hashes(self, w: Words, fold: bool = True) -> np.ndarray:
-        """One uint64 a word."""
+    def hashes(self, w: Words, fold: bool = True, prefix: int | None = None) -> np.ndarray:
+        """One uint64 a word, or of the first ``prefix`` bytes of each word."""
         if not len(w.start):
             return np.empty(0, np.uint64)
+        end = w.end if prefix is None else np.minimum(w.end, w.start + prefix)
         with np.errstate(over="ignore"):
             p, q = _power_tables(len(self.data) + 1)
             s = np.zeros(len(self.data) + 1, np.uint64)
             np.cumsum((_CODES if fold else _EXACT_CODES)[self.data] * p[: len(self.data)], out=s[1:])
-            h = (s[w.end] - s[w.start]) * q[w.start]
-            return mix(h + (w.end - w.start).astype(np.uint64))
+            h = (s[end] - s[w.start]) * q[w.start]
+            return mix(h + (end - w.start).astype(np.uint64))
 
 
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
