@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,14 +12,18 @@ from quillon.llm import oracles
 from quillon.llm.chat_format import format_chat
 from quillon.llm.decontaminate import find_contamination
 from quillon.llm.jaccard_join import Rule, jaccard_components
+from quillon.llm.language_model import score_texts
 from quillon.llm.quality_classifier import classify
 from quillon.llm.quality_rules import quality_cascade
+from quillon.llm.sentencepiece_sampling import decode, encode
 from quillon.llm.sharding import shard
 from quillon.llm.toxicity import fit_toxicity, score_toxicity
 from quillon.llm.url_filter import filter_urls, parse_rule
 
 #: Rules of the URL filter query: (verdict, host and path).
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+#: Public SentencePiece model of the decoding query.
+PIECE_MODEL = os.environ.get("QUILLON_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 #: Tool of the chat query: {argument: (type, required)}.
 TOOLS = {"reply": {"prompt": ("string", True), "turn": ("integer", True)}}
 
@@ -47,6 +52,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_texts(table(spark, sf_dir, "documents"), _fold() != 1)
+    return out.select("doc_id", (_fold() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_cascade(table(spark, sf_dir, "documents"))
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -74,6 +84,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chat(chat_messages(table(spark, sf_dir, "conversations")), TOOLS)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decode(encode(docs, PIECE_MODEL), PIECE_MODEL)
+    return out.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.array_join("item_ids", ","), 256)
@@ -91,7 +107,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_sharding, op5_quality_rules, op6_chat_format, op8_decontamination, op9_quality_classifier, op10_url_filter)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_sharding, op4_lm_scoring, op5_quality_rules, op6_chat_format, op7_sentencepiece, op8_decontamination, op9_quality_classifier, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
