@@ -36,15 +36,15 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), rule=Rule(size=4, num=85, den=100))
 
 
-def _fold(other: str = "doc_id") -> Column:
+def fold(other: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5."""
     return F.pmod(F.crc32(F.col(other).cast("string").cast("binary")), F.lit(5))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), "toxic", _fold() != 0)
-    return score_toxicity(docs, model).select("doc_id", (_fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), "toxic", fold() != 0)
+    return score_toxicity(docs, model).select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +53,8 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = score_texts(table(spark, sf_dir, "documents"), _fold() != 1)
-    return out.select("doc_id", (_fold() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    out = score_texts(table(spark, sf_dir, "documents"), fold() != 1)
+    return out.select("doc_id", (fold() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +98,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", _fold() != 0)
-    return out.select("doc_id", (_fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    out = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", fold() != 0)
+    return out.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
