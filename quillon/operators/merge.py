@@ -84,7 +84,7 @@ class SnapshotStore:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def _current(self, name: str) -> str | None:
-        fs, p = self._fs(f"{self.root}/{name}/_current.json")
+        fs, p = self._fs(f"{self.root}/{name}/current.json")
         if not fs.exists(p):
             return None
         return json.loads("".join(r.value for r in self.spark.read.text(str(p)).collect()))["snapshot"]
@@ -118,10 +118,10 @@ class SnapshotStore:
             fs, p = self._fs(path)
             fs.delete(p, True)
             raise
-        fs, new = self._fs(f"{self.root}/{spec.name}/_next-{snap}.json")
+        fs, new = self._fs(f"{self.root}/{spec.name}/next-{snap}.json")
         out = fs.create(new, True)
         out.write(bytearray(json.dumps({"snapshot": snap}).encode()))
         out.close()
-        _, pointer = self._fs(f"{self.root}/{spec.name}/_current.json")
+        _, pointer = self._fs(f"{self.root}/{spec.name}/current.json")
         fs.delete(pointer, False)
         fs.rename(new, pointer)
