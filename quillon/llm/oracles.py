@@ -50,4 +50,15 @@ m as (select page_id, rh || rp as rule, v, row_number() over (partition by page_
 select l.page_id, l.host, l.path, m.rule, coalesce(m.v, 'allow') verdict from l left join m on l.page_id = m.page_id and m.k = 1
 """
 
-SQL = {"op1_jaccard_join": OP1, "op5_quality_rules": OP5, "op8_decontamination": OP8, "op10_url_filter": OP10}
+OP6 = r"""
+with m as (select conv_id, turn, role, to_json(coalesce(text, ''))::varchar t, last_value(case when role = 'user' then turn end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) before,
+  count(*) filter (role = 'user') over (partition by conv_id order by turn rows unbounded preceding)::int as level from conversations),
+l as (select *, case when role = 'user' then 't' || turn end call_id, case when role = 'assistant' then 't' || before end answers from m),
+a as (select distinct conv_id, answers from l where answers is not null)
+select l.conv_id, turn, role, call_id, l.answers, case when call_id is not null then case when a.answers is null then 'no_result' else 'ok' end when l.answers is not null then 'ok' end status, level,
+  case when call_id is not null then '{"arguments":{"prompt":' || t || ',"turn":' || turn || '},"call_id":"' || call_id || '","content":' || t || ',"name":"reply","role":"user"}'
+    else '{"content":' || t || coalesce(',"result_of":"' || l.answers || '"', '') || ',"role":' || to_json(role)::varchar || '}' end json
+from l left join a on a.conv_id = l.conv_id and a.answers = l.call_id
+"""
+
+SQL = {"op1_jaccard_join": OP1, "op5_quality_rules": OP5, "op6_chat_format": OP6, "op8_decontamination": OP8, "op10_url_filter": OP10}

@@ -37,8 +37,8 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fold(other: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 5."""
-    return F.pmod(F.crc32(F.col(other).cast("string").cast("binary")), F.lit(5))
+    """crc32 of the id as text, modulo 5; -1 where there is no id."""
+    return F.coalesce(F.pmod(F.crc32(F.col(other).cast("string").cast("binary")), F.lit(5)), F.lit(-1))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
