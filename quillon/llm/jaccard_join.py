@@ -12,9 +12,12 @@ and only a set with more empty groups than that signs for its empty subsets, whi
 What happens to the buckets:
 * Equal sets are one class, named by a 64-bit hash of the set; all work is on classes, so copies cost one row each.
 * A bucket's classes are compared with one pivot, the class that meets most others; verified pairs are edges.
-* After components of those edges, only pairs of classes in different components are left. They're compared
-  too, unless their distances to a pivot that both were compared with differ by more than a link allows
-  (1 - Jaccard is a metric), so no link that matters for components is lost and no bucket is expanded into all pairs.
+* A bucket fellow of fewer shared signatures than linked sets must share is out before that.
+* After components of those edges, only pairs of classes of one pivot and of different components are left. Two rounds of
+  comparisons between likely fellows, a linear number, leave few components. The rest is complete:
+  pairs are found by what they differ in from the pivot: linked classes have a certain part of those differences in common, so
+  one lies in a prefix of both (see ``_differences``), and they're compared too. No link that matters for
+  components is lost, and no bucket is expanded into all pairs.
 
 Nulls and texts without a word have an empty set, no link and a class of their own. Two different sets are taken for
 equal with a chance of 2**-64 for each pair.
@@ -118,9 +121,9 @@ def set_key(s: np.ndarray) -> int:
     return int(x.view(np.int64))
 
 
-def signatures(s: np.ndarray, rule: Rule) -> np.ndarray:
-    """All signatures of one non-empty set."""
-    out = []
+def signatures(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of one non-empty set, and for each its band and how many signatures of that band a partner shares at least, as band * 2**16 + number."""
+    out, info = [], []
     with np.errstate(over="ignore"):
         for b in bands_of(rule, len(s)):
             x = mix(s + _U(1000003 * (b.index + 1)))
@@ -140,13 +143,11 @@ def signatures(s: np.ndarray, rule: Rule) -> np.ndarray:
             tag = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + _U(b.index << 32)
             sig = mix(mix(sums) + tag)
             full = sizes > 0
-            out.append(sig.ravel() if (~full).any(axis=1).sum() > b.spare else sig[full])
-    return np.concatenate(out)
-
-
-def _batches(pieces: Iterator[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
-    cols = list(zip(*pieces)) or [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+            empty = int((~full).any(axis=1).sum())
+            own, least = (sig.ravel(), b.spare + 1) if empty > b.spare else (sig[full], b.spare + 1 - empty)
+            out.append(own)
+            info.append(np.full(len(own), (b.index << 16) + least, np.int32))
+    return np.concatenate(out), np.concatenate(info)
 
 
 def _class_rows(rule: Rule):
@@ -163,29 +164,30 @@ def _signature_rows(rule: Rule):
     def run(batches):
         seen: set[int] = set()
         for b in batches:
-            sig, key, rows = [], [], 0
+            sig, key, info, rows = [], [], [], 0
             for s in text_sets(b.column("text"), rule):
                 if not len(s) or (k := set_key(s)) in seen:
                     continue
                 if len(seen) >= 200_000:
                     seen.clear()
                 seen.add(k)
-                x = signatures(s, rule)
+                x, y = signatures(s, rule)
                 sig.append(x)
+                info.append(y)
                 key.append((k, len(x)))
                 rows += len(x)
                 if rows >= 50_000:
-                    yield _signature_batch(sig, key)
-                    sig, key, rows = [], [], 0
+                    yield _signature_batch(sig, key, info)
+                    sig, key, info, rows = [], [], [], 0
             if rows:
-                yield _signature_batch(sig, key)
+                yield _signature_batch(sig, key, info)
 
     return run
 
 
-def _signature_batch(sig: list, key: list) -> pa.RecordBatch:
+def _signature_batch(sig: list, key: list, info: list) -> pa.RecordBatch:
     k = np.repeat(np.array([x for x, _ in key], np.int64), [n for _, n in key])
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(k)], names=["sig", "key"])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(k), pa.array(np.concatenate(info))], names=["sig", "key", "info"])
 
 
 def _slot(ids: np.ndarray) -> np.ndarray:
@@ -228,35 +230,112 @@ def _set_rows(rule: Rule, needed):
     return run
 
 
+def _sorted_sets(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for x, y in zip(b.column("x"), b.column("y")):
+        yield np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+
+
+def _in(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of x are in y; both sorted."""
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return y[at] == x
+
+
+#: Minima of hashes of a class's differences to its pivot: by these, likely fellows are put side by side.
+SKETCH = 4
+
+
 def _compare(rule: Rule):
+    """linked, n (size of u) and sketch, the SKETCH minima over the elements in which u and v differ."""
+
     def run(batches):
+        seeds = mix(np.arange(1, SKETCH + 1, dtype=np.uint64))
         for b in batches:
-            rows = []
-            for u, v, x, y in zip(b.column("u").to_pylist(), b.column("v").to_pylist(), b.column("x"), b.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                i = int((y[at] == x).sum())
-                rows.append((u, v, bool(rule.linked(i, len(x), len(y))), 1 - i / (len(x) + len(y) - i)))
-            yield _batches(rows, ["u", "v", "linked", "dist"], [pa.int64(), pa.int64(), pa.bool_(), pa.float64()])
+            n, sketch = [], []
+            for x, y in _sorted_sets(b):
+                both = _in(x, y)
+                n.append((len(x), len(y), int(both.sum())))
+                d = np.concatenate([x[~both], y[~_in(y, x)]])
+                with np.errstate(over="ignore"):
+                    sketch.append(mix(d[None, :] ^ seeds[:, None]).min(axis=1).view(np.int64).tolist() if len(d) else [0] * SKETCH)
+            n = np.array(n, np.int64).reshape(-1, 3)
+            linked = rule.linked(n[:, 2], n[:, 0], n[:, 1])
+            d = n[:, 0] + n[:, 1] - 2 * n[:, 2]
+            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v"), pa.array(linked), pa.array(n[:, 0]), pa.array(d), pa.array(sketch, pa.list_(pa.int64()))], names=["u", "v", "linked", "n", "d", "sketch"])
 
     return run
 
 
-def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """(u, v) class pairs with their distance and whether they link; texts travel only for classes in a pair."""
-    need = pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct()
-    need = scratch.keep(need.join(classes, "key").select("key", F.col("rep").alias("id")), "need")
+def _sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+    """(key, grams) of the classes named; each is read from the text of its first document, and no other text's set is passed on."""
+    need = scratch.keep(keys.join(classes, "key").select("key", F.col("rep").alias("id")), "need")
     needed = _needed_filter(need)
     sets = docs.where("id is not null").mapInArrow(_set_rows(rule, needed), "id long, key long, grams binary")
-    sets = sets.join(need, ["id", "key"]).select("key", "grams")
-    left = pairs.join(sets.select(F.col("key").alias("u"), F.col("grams").alias("x")), "u")
-    both = left.join(sets.select(F.col("key").alias("v"), F.col("grams").alias("y")), "v")
-    tested = both.select("u", "v", "x", "y").mapInArrow(_compare(rule), "u long, v long, linked boolean, dist double")
+    return sets.join(need, ["id", "key"]).select("key", "grams")
+
+
+def _with_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+    """``pairs`` (u, v, ...) with x and y, the sets of u and v."""
+    keys = pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct()
+    sets = _sets_of(docs, classes, keys, rule, scratch)
+    return pairs.join(sets.select(F.col("key").alias("u"), F.col("grams").alias("x")), "u").join(sets.select(F.col("key").alias("v"), F.col("grams").alias("y")), "v")
+
+
+def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+    """(u, v, linked, n, d, sketch) of the class pairs, by their whole sets."""
+    tested = _with_sets(docs, classes, pairs, rule, scratch).select("u", "v", "x", "y").mapInArrow(_compare(rule), "u long, v long, linked boolean, n long, d long, sketch array<long>")
     # A row that is in the table twice, id included, gives its pairs twice.
-    return scratch.keep(tested.distinct(), "tested")
+    return scratch.keep(tested.dropDuplicates(["u", "v"]), "tested")
+
+
+def _differences(rule: Rule):
+    """Rows (pivot, element, place, key, n, d, near, c): a prefix of the elements in which a class and its pivot differ.
+
+    For classes a, b of one pivot, |a ^ b| = |A| + |B| - 2 |A & B|, where A and B are their differences to the pivot. Linked
+    classes differ in at most k elements, so |A & B| >= t = (|A| + |B| - k) / 2, and in any fixed order of the elements
+    the first |A| - t + 1 of A and |B| - t + 1 of B have one in common, after which (it included) both have t elements or more. Elements that are common among the
+    pivot's classes come last, and those that the pivot lacks first: edits made independently rarely share them. Element 0 stands for t <= 0.
+    """
+
+    def run(batches):
+        for b in batches:
+            meta = zip(*(b.column(c).to_pylist() for c in ("u", "v", "linked", "c", "common")))
+            rows, elements, size = [], [], 0
+            for (u, v, near, c, common), (x, y) in zip(meta, _sorted_sets(b)):
+                both = np.concatenate([x[~_in(x, y)], y[~_in(y, x)]])
+                d, n = len(both), len(x)
+                if common:
+                    often = np.array(common, np.int64).view(np.uint64)
+                    order = np.argsort(often)
+                    at = np.minimum(np.searchsorted(often[order], both), len(often) - 1)
+                    rank = np.where(often[order][at] == both, order[at] + 1, 0)
+                    both = both[np.argsort(rank, kind="stable")]
+                k = rule.differ(n, n * rule.den // rule.num)
+                least = max(d - k, 0)
+                if near:
+                    # A class linked to the pivot is of its component: only classes that aren't can add something.
+                    least = max(least, rule.differ(-(-n * rule.num // rule.den), len(y)) + 1)
+                t = -((k - d - least) // 2)
+                prefix = both[: max(0, min(d, d - t + 1))]
+                e = np.concatenate([np.zeros(int(t <= 0), np.uint64), prefix]).view(np.int64)
+                rows.append((v, u, n, d, near, c, len(e)))
+                elements.append(e)
+                size += len(e)
+                if size > 50_000:
+                    yield _difference_batch(rows, elements)
+                    rows, elements, size = [], [], 0
+            if size:
+                yield _difference_batch(rows, elements)
+
+    return run
+
+
+def _difference_batch(rows: list, elements: list) -> pa.RecordBatch:
+    v, u, n, d, near, c, size = (np.array(x) for x in zip(*rows))
+    cols = [pa.array(np.repeat(x, size)) for x in (v, u, n, d, near, c)]
+    place = np.concatenate([np.arange(len(e)) - (e[0] == 0) for e in elements if len(e)])
+    return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(elements)), pa.array(place)], names=["pivot", "key", "n", "d", "near", "c", "element", "place"])
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
@@ -272,10 +351,13 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = scratch.keep(rows.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("class_size"), F.first("n").alias("n")), "classes")
 
     # Buckets with two classes or more.
-    sigs = docs.where("id is not null").mapInArrow(_signature_rows(rule), "sig long, key long")
-    by_sig = Window.partitionBy("sig")
-    buckets = sigs.withColumns({"lo": F.min("key").over(by_sig), "hi": F.max("key").over(by_sig)}).where("lo != hi").select("sig", "key")
-    buckets = scratch.keep(buckets, "buckets")
+    buckets = scratch.keep(_shared(docs.where("id is not null").mapInArrow(_signature_rows(rule), "sig long, key long, info int")), "buckets")
+    for _ in range(2):
+        # A class that shares fewer signatures of a band than any partner must is out of that band, and may leave others alone.
+        enough = buckets.groupBy("key", "info").agg(F.count_distinct("sig").alias("m")).where("m >= info & 65535").select("key", "info")
+        fewer = scratch.keep(_shared(buckets.join(enough, ["key", "info"])), "buckets")
+        scratch.drop(buckets)
+        buckets = fewer
     if buckets.isEmpty():
         edges = spark.createDataFrame([], "u long, v long")
     else:
@@ -291,39 +373,87 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return out.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("key").alias("class_key"), "class_size", "n_linked", "component_id")
 
 
+def _shared(sigs: DataFrame) -> DataFrame:
+    """The rows of signatures that two classes or more have."""
+    by_sig = Window.partitionBy("sig")
+    return sigs.withColumns({"lo": F.min("key").over(by_sig), "hi": F.max("key").over(by_sig)}).where("lo != hi").drop("lo", "hi")
+
+
 def _edges(docs: DataFrame, classes: DataFrame, buckets: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    # A class's weight is the number of bucket fellows; ties go to the smaller key.
+    """Links between classes, enough of them for the same components as all."""
+    # A class's weight is the number of its bucket fellows; a bucket's pivot has the greatest, ties go to the greater key.
     size = buckets.groupBy("sig").agg(F.count_distinct("key").alias("m"))
     weight = buckets.join(size, "sig").groupBy("key").agg(F.sum("m").alias("w"))
     weighed = scratch.keep(buckets.join(weight, "key").distinct(), "weighed")
-    pivots = weighed.groupBy("sig").agg(F.max(F.struct("w", "key")).alias("p")).select("sig", F.col("p.key").alias("pivot"))
-    meet = weighed.join(pivots, "sig").where("key != pivot").groupBy("key", "pivot").agg(F.count("*").alias("c"))
-    sizes = classes.select("key", "n")
-    meet = meet.join(sizes, "key").join(sizes.select(F.col("key").alias("pivot"), F.col("n").alias("pn")), "pivot")
-    meet = meet.where(F.least("n", "pn") * rule.den >= F.greatest("n", "pn") * rule.num)
-    first = meet.groupBy("key").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("pivot"))
-    tested = _verify(docs, classes, scratch.keep(first.select(F.col("key").alias("u"), F.col("pivot").alias("v")), "pairs"), rule, scratch)
-    edges = tested.where("linked").select("u", "v")
-    # What is left: classes of one bucket in different components.
-    comp = scratch.keep(components(edges, scratch), "comp").withColumnRenamed("node", "key")
-    to_pivot = tested.select(F.col("u").alias("key"), F.col("v").alias("p"), "dist")
-    placed = weighed.select("sig", "key").join(sizes, "key").join(comp, "key", "left").join(to_pivot, "key", "left")
-    placed = placed.select("sig", "key", "n", F.coalesce("component", "key").alias("c"), F.coalesce("p", "key").alias("p"), F.coalesce("dist", F.lit(0.0)).alias("d"))
-    by_sig = Window.partitionBy("sig")
-    mixed = placed.withColumns({"lo": F.min("c").over(by_sig), "hi": F.max("c").over(by_sig)}).where("lo != hi").drop("lo", "hi")
-    mixed = scratch.keep(mixed, "mixed")
-    a = mixed.select("sig", *(F.col(x).alias(f"{x}1") for x in ("key", "n", "c", "p", "d")))
-    b = mixed.select("sig", *(F.col(x).alias(f"{x}2") for x in ("key", "n", "c", "p", "d")))
-    room = (rule.den - rule.num) / rule.den + 1e-9
-    rest = a.join(b, "sig").where("key1 < key2 and c1 != c2").where(F.least("n1", "n2") * rule.den >= F.greatest("n1", "n2") * rule.num)
-    rest = rest.where(~((F.col("p1") == F.col("p2")) & (F.abs(F.col("d1") - F.col("d2")) > room))).select(F.col("key1").alias("u"), F.col("key2").alias("v")).distinct()
+    pivots = weighed.groupBy("sig").agg(F.max(F.struct("w", "key")).alias("p"))
+    met = scratch.keep(weighed.join(pivots, "sig").select("sig", "key", "p"), "met")
+    # A class is compared with the heaviest of its pivots, and with a bucket's own only where the fellows there differ in that.
+    best = met.groupBy("key").agg(F.max("p").alias("best"))
+    met = met.join(best, "key")
+    split = met.groupBy("sig").agg(F.min("best").alias("lo"), F.max("best").alias("hi")).where("lo != hi").select("sig")
+    pairs = met.select("key", F.col("best.key").alias("v")).unionByName(met.join(split, "sig", "left_semi").select("key", F.col("p.key").alias("v")))
+    pairs = pairs.where("key != v").select(F.col("key").alias("u"), "v").distinct()
+    tested = _verify(docs, classes, scratch.keep(pairs, "pairs"), rule, scratch)
     done = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    rest = rest.join(done, ["u", "v"], "left_anti")
-    rest = scratch.keep(rest, "rest")
+    edges = tested.where("linked").select("u", "v")
+    k = lambda x, y: f"({rule.den - rule.num} * ({x} + {y}) div {rule.den + rule.num})"
+    for r in range(1):
+        # Classes with an equal minimum are compared with the next in line: a linear number of pairs, which leaves few components.
+        left = _mixed(tested, edges, scratch)
+        own = left.select("v", "u", "n", "d", "c", F.posexplode("sketch").alias("i", "low"))
+        line = Window.partitionBy("v", "i", "low").orderBy("d", "u")
+        before = own.withColumns({f"{x}0": F.lag(x).over(line) for x in ("u", "n", "d", "c")})
+        near = before.where(f"c != c0 and abs(n - n0) <= {k('n', 'n0')} and abs(d - d0) <= {k('n', 'n0')}")
+        near = near.select(F.least("u", "u0").alias("u"), F.greatest("u", "u0").alias("v")).distinct().join(done, ["u", "v"], "left_anti")
+        more = _verify(docs, classes, scratch.keep(near, "near"), rule, scratch)
+        edges = edges.unionByName(more.where("linked").select("u", "v"))
+        done = done.unionByName(more.select("u", "v"))
+    left = _mixed(tested, edges, scratch)
+    if left.isEmpty():
+        return edges
+    common = _common(docs, classes, left, rule, scratch)
+    left = left.select("u", "v", "linked", "c").join(common, "v", "left")
+    rows = _with_sets(docs, classes, left, rule, scratch).select("u", "v", "linked", "c", "common", "x", "y")
+    rows = rows.mapInArrow(_differences(rule), "pivot long, key long, n long, d long, near boolean, c long, element long, place long")
+    rows = scratch.keep(rows, "differences")
+    a = rows.select("pivot", "element", *(F.col(x).alias(f"{x}1") for x in ("key", "n", "d", "near", "c", "place")))
+    b = rows.select("pivot", "element", *(F.col(x).alias(f"{x}2") for x in ("key", "n", "d", "near", "c", "place")))
+    most = k("n1", "n2")
+    may = f"key1 < key2 and c1 != c2 and not (near1 and near2) and abs(n1 - n2) <= {most} and abs(d1 - d2) <= {most} and if(element = 0, d1 + d2 <= {most}, 2 * least(d1 - place1, d2 - place2) >= d1 + d2 - {most})"
+    rest = a.join(b, ["pivot", "element"]).where(may).select(F.col("key1").alias("u"), F.col("key2").alias("v")).distinct()
+    rest = scratch.keep(rest.join(done, ["u", "v"], "left_anti"), "rest")
     more = _verify(docs, classes, rest, rule, scratch)
     return edges.unionByName(more.where("linked").select("u", "v"))
 
 
+def _common(docs: DataFrame, classes: DataFrame, left: DataFrame, rule: Rule, scratch: Scratch, members: int = 64) -> DataFrame:
+    """(v, common): for pivots with many classes, the elements in which many of them differ from it, the commonest last.
+
+    Taken from about ``members`` classes of each pivot. It only orders elements, so what it misses costs time and no link.
+    """
+    sizes = left.groupBy("v").agg(F.count("*").alias("m")).where("m >= 8")
+    some = left.join(sizes, "v").where(f"pmod(xxhash64(u), greatest(1, m div {members})) = 0").select("u", "v")
+
+    def run(batches):
+        for b in batches:
+            for v, (x, y) in zip(b.column("v").to_pylist(), _sorted_sets(b)):
+                e = np.concatenate([x[~_in(x, y)], y[~_in(y, x)]]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(e), v)), pa.array(e)], names=["v", "element"])
+
+    met = _with_sets(docs, classes, scratch.keep(some, "some"), rule, scratch).select("v", "x", "y").mapInArrow(run, "v long, element long")
+    often = met.groupBy("v", "element").agg(F.count("*").alias("m")).where("m >= 3")
+    return often.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("m", "element"))).alias("e")).select("v", F.col("e.element").alias("common"))
+
+
+def _mixed(tested: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``tested`` whose pivot v meets classes of more than one component, with c, the component of u."""
+    comp = scratch.keep(components(edges, scratch), "comp")
+    placed = tested.join(comp.select(F.col("node").alias("u"), F.col("component").alias("c")), "u", "left").join(comp.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
+    placed = scratch.keep(placed.withColumns({"c": F.coalesce("c", "u"), "cv": F.coalesce("cv", "v")}), "placed")
+    pivots = placed.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("v")
+    return scratch.keep(placed.join(pivots, "v").drop("cv"), "mixed")
+
+
 def keep_one_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
     """The rows of ``df`` whose id is their component's, with all columns; rows with a null id stay."""
     ids = jaccard_components(df, id_col, text_col, rule).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
