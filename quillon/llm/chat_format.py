@@ -5,10 +5,12 @@ Messages are one table: (conv_id, turn, role, text, call_id, name, arguments, an
 ``after`` lists the calls whose results a call builds on. Identifiers hold within a conversation.
 
 * Results meet calls by a hash join on (conv_id, identifier).
-* Levels give the topological order: a call is one level above the highest call it comes after, a result shares the
+* Levels give the topological order: a call's level is above that of every call it comes after, a result shares the
   call's level, other messages keep the level of the last call before them. (level, turn) sorts a
-  conversation so that every result follows its call and every call follows what it builds on. Levels come
-  from repeated joins, as many as the longest chain; calls on a cycle, or after one, get no level.
+  conversation so that every result follows its call and every call follows what it builds on. Where a conversation's calls
+  only build on earlier ones, the order of turns is such an order and levels are its numbers, whatever the chain's length.
+  Other conversations get theirs by repeated joins, as many as their longest chain (a call is one level above the highest
+  it comes after); calls on a cycle, or after one, get no level.
 * Arguments are valid if they are a JSON object with all required keys, no unknown ones and the stated types.
 * A message's canonical JSON has sorted keys, no white space and only the escapes that JSON asks for.
 
@@ -52,6 +54,18 @@ def canonical(arguments: Column) -> Column:
 
 def _levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
     """(conv, id, level) of the calls that aren't on or after a cycle. Names of calls that don't exist don't hold a call up."""
+    place = F.row_number().over(Window.partitionBy("conv").orderBy("t", "first_seq"))
+    calls = scratch.keep(calls.select("conv", "id", "after", place.alias("level")), "places")
+    at = calls.select("conv", F.col("id").alias("before"), F.col("level").alias("before_level"))
+    edges = calls.select("conv", "id", "level", F.explode("after").alias("before")).join(at, ["conv", "before"])
+    forward = scratch.keep(edges.where("before_level >= level").select("conv").distinct(), "forward")
+    if forward.isEmpty():
+        return calls.select("conv", "id", "level")
+    late = calls.join(forward, "conv", "left_semi")
+    return calls.join(forward, "conv", "left_anti").select("conv", "id", "level").unionByName(_longest_chains(late.drop("level"), scratch))
+
+
+def _longest_chains(calls: DataFrame, scratch: Scratch) -> DataFrame:
     edges = calls.select("conv", "id", F.explode("after").alias("before"))
     edges = scratch.keep(edges.join(calls.select(F.col("conv"), F.col("id").alias("before")), ["conv", "before"]).distinct(), "edges")
     done = calls.join(edges, ["conv", "id"], "left_anti").select("conv", "id", F.lit(1).alias("level"))
@@ -76,7 +90,7 @@ def format_chat(messages: DataFrame, tools: Tools) -> DataFrame:
     m = messages.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("\0")).alias("conv"), "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), "call_id", "name", "arguments", "answers", F.coalesce("after", F.array().cast("array<string>")).alias("after"))
     m = scratch.keep(m.withColumn("seq", F.monotonically_increasing_id()), "messages")
     calls = m.where("call_id is not null")
-    first = calls.groupBy("conv", F.col("call_id").alias("id")).agg(F.min(F.struct(F.coalesce("turn", F.lit(-1)).alias("t"), "seq", "after")).alias("f")).select("conv", "id", F.col("f.seq").alias("first_seq"), F.col("f.after").alias("after"))
+    first = calls.groupBy("conv", F.col("call_id").alias("id")).agg(F.min(F.struct(F.coalesce("turn", F.lit(-1)).alias("t"), "seq", "after")).alias("f")).select("conv", "id", F.col("f.t").alias("t"), F.col("f.seq").alias("first_seq"), F.col("f.after").alias("after"))
     first = scratch.keep(first, "calls")
     levels = _levels(first, scratch)
     known = first.select("conv", "id", "first_seq").join(levels, ["conv", "id"], "left")
