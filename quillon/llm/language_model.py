@@ -1,14 +1,19 @@
 """Language-model scoring by a hashed maximum-entropy model with a class-factored softmax.
 
-Slots are the end of a text, one for all words outside the vocabulary, and the most frequent words; SIDE slots by
-frequency make a class. P(slot) = P(class | features) P(slot in class | features, class), both softmaxes of sums of weight rows for
-the word before, the word two before (a skip), and, for classes, the hashed pair of both. A word outside the vocabulary also pays
-its share among such words, (c + 0.5) over their sum, so probabilities of all known words and one unseen word add up to 1.
+Slots are the end of a text, one for all other words, and the most frequent words; SIDE slots by frequency make a class.
+P(slot) = P(class | features) P(slot in class | features, class), both softmaxes of sums of weight rows for the word before, the
+word two before (a skip), and, for classes, the hashed pair of both. Features are of the words themselves: a word without a slot has its
+own hash in them, and weight rows grow with the number of distinct words between ROWS[0] and ROWS[1] (a task sends all its rows).
+
+The words of the other slot are the leaves of a binary tree, by the first bits of their hashes; its depth grows with their
+number, to a leaf a word on average, up to DEPTH, from where words share leaves. Each step down is a logistic of the step's share of the counts and
+of the rows of the word before, the skip and the pair. Words of one leaf share it by (c + 0.5). An unseen word has 0.5 of the other slot's
+sum, so probabilities of all known words and one unseen word add up to 1.
 
 * Counts: every training token; tasks combine words before the exchange, the counts are a written table.
 * Training: ROUNDS rounds. Each takes another part of the training texts (by hash, together all of them); every task
   updates its own copy of the weights in mini-batches by gradient, and the copies' changes are averaged, each weight row by how
-  often the tasks met it, in two levels of groups of bounded size.
+  often the tasks met it, in two levels of groups of bounded size. A round has a part of the texts, so a task takes several splits.
 * Scoring: one pass in sparse batches. The words of a bounded count table (at most TABLE words, by a count threshold)
   are looked up there; all others leave their hashes, which meet the written counts in a join and come back as sums by text.
 
@@ -17,7 +22,7 @@ Words are told apart by 64-bit hashes. Null and empty texts are one end token. W
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -33,14 +38,9 @@ SIDE = 32
 SLOTS = SIDE * SIDE
 TABLE = 1 << 17
 ROUNDS, BATCH, RATE = 3, 2048, 0.3
-PAIR_ROWS, WORD_ROWS = 1 << 13, 1 << 14
-#: First rows of the parts of the weight matrix, and its height.
-PREV, SKIP, PAIR = 0, SLOTS, 2 * SLOTS
-CLASS_BIAS = PAIR + PAIR_ROWS
-WORD_PREV = CLASS_BIAS + 1
-WORD_SKIP = WORD_PREV + WORD_ROWS
-WORD_BIAS = WORD_SKIP + WORD_ROWS
-HEIGHT = WORD_BIAS + SIDE
+#: Least and most rows of a part that is hashed, and the greatest depth of the tree (4 bytes a leaf, twice, are broadcast).
+ROWS = 1 << 13, 1 << 14
+DEPTH = 20
 BLOCK = 512
 #: The hash that stands for the end of a text, and the slots of the end and of other words.
 END = np.uint64(0xE0D0C0B0A0908071)
@@ -48,6 +48,23 @@ END_SLOT, OTHER = 0, 1
 _U = np.uint64
 
 
+class Parts:
+    """First rows of the parts of the weight matrix, and its height, by the rows of a hashed part."""
+
+    def __init__(self, rows: int):
+        self.rows = rows
+        sizes = {"prev": SLOTS + rows, "skip": SLOTS + rows, "pair": rows, "class_bias": 1, "word_prev": 2 * rows, "word_skip": 2 * rows, "word_bias": SIDE, "tree_prev": SLOTS + rows, "tree_skip": SLOTS + rows, "tree_pair": rows}
+        at = 0
+        for name, n in sizes.items():
+            setattr(self, name, at)
+            at += n
+        self.height = at
+
+    @classmethod
+    def of(cls, w: np.ndarray) -> Parts:
+        return cls((len(w) - cls(0).height) // (cls(1).height - cls(0).height))
+
+
 def _tokens(c) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes with an end after each text, and where each text begins (and the total)."""
     w = c.words(SPACED)
@@ -87,7 +104,10 @@ def _count_batch(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 @dataclass
 class Vocabulary:
-    """words: sorted hashes of the count table; counts and slots (OTHER: none of its own) go with them."""
+    """words: sorted hashes of the count table; counts and slots (OTHER: none of its own) go with them.
+
+    The tree of the words in OTHER: depth, each node's log odds of its second half by counts, and each leaf's log sum of (c + 0.5).
+    """
 
     words: np.ndarray
     counts: np.ndarray
@@ -96,6 +116,12 @@ class Vocabulary:
     distinct: int
     #: Summed (c + 0.5) of the words in OTHER, one unseen word included.
     other: float
+    depth: int = 0
+    odds: np.ndarray = field(default_factory=lambda: np.zeros(1, np.float32))
+    leaves: np.ndarray = field(default_factory=lambda: np.zeros(1, np.float32))
+
+    def leaf(self, h: np.ndarray) -> np.ndarray:
+        return (h >> _U(64 - self.depth)).astype(np.int64) if self.depth else np.zeros(len(h), np.int64)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slot and count of each hash; count -1 where the table doesn't have it."""
@@ -128,38 +154,76 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
     slots[h == END] = END_SLOT
     n, v = sums["n"] or 0, sums["v"]
     inside = slots != OTHER
-    other = (n - int(c[inside].sum())) + 0.5 * (v - int(inside.sum()) + 1)
-    return Vocabulary(h, c, slots, n, v, other)
+    rest = v - int(inside.sum())
+    other = (n - int(c[inside].sum())) + 0.5 * (rest + 1)
+    voc = Vocabulary(h, c, slots, n, v, other, min(DEPTH, max(rest - 1, 0).bit_length()))
+    _grow_tree(voc, counts, h[inside], c[inside])
+    return voc
+
+
+def _grow_tree(voc: Vocabulary, counts: DataFrame, own: np.ndarray, own_counts: np.ndarray) -> None:
+    """Sums of the leaves and odds of the nodes; ``own`` are the words that aren't in the tree."""
+    twice = np.zeros(1 << voc.depth, np.int64)
+    leaf = F.shiftrightunsigned("word", 64 - voc.depth) if voc.depth else F.lit(0)
+    sums = counts.groupBy(leaf.cast("int").alias("leaf")).agg(F.sum(2 * F.col("c") + 1).alias("n")).toArrow()
+    twice[sums["leaf"].to_numpy()] = sums["n"].to_numpy()
+    np.subtract.at(twice, voc.leaf(own), 2 * own_counts + 1)
+    mass = twice / 2
+    voc.leaves = np.log(np.maximum(mass, 0.5)).astype(np.float32)
+    voc.odds = np.zeros(1 << voc.depth, np.float32)
+    for k in range(voc.depth - 1, -1, -1):
+        left, right = mass[::2], mass[1::2]
+        with np.errstate(divide="ignore"):
+            # A half without words is never gone to.
+            voc.odds[1 << k : 2 << k] = np.where(left + right > 0, np.clip(np.log(right, where=right > 0, out=np.full(len(right), -99.0)) - np.log(left, where=left > 0, out=np.full(len(left), -99.0)), -60, 60), 0)
+        mass = left + right
 
 
 def first_weights(voc: Vocabulary) -> np.ndarray:
     """Zero but for the biases, which give the frequencies."""
-    w = np.zeros((HEIGHT, SIDE), np.float32)
+    parts = Parts(min(ROWS[1], max(ROWS[0], 1 << (max(voc.distinct - 1, 0) // 512).bit_length())))
+    w = np.zeros((parts.height, SIDE), np.float32)
     p = np.full(SLOTS, 0.5)
     np.add.at(p, voc.slots[voc.slots != OTHER], voc.counts[voc.slots != OTHER])
     p[OTHER] = voc.other
     grid = p.reshape(SIDE, SIDE)
-    w[CLASS_BIAS] = np.log(grid.sum(axis=1) / p.sum())
-    w[WORD_BIAS:] = np.log(grid / grid.sum(axis=1, keepdims=True))
+    w[parts.class_bias] = np.log(grid.sum(axis=1) / p.sum())
+    w[parts.word_bias : parts.word_bias + SIDE] = np.log(grid / grid.sum(axis=1, keepdims=True))
     return w
 
 
-def _rows(slots: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class rows (3 by token), word rows (2 by token) and the class of each token; before a text's first word stands the end."""
-    prev = np.r_[END_SLOT, slots[:-1]]
-    skip = np.r_[END_SLOT, END_SLOT, slots[:-2]][: len(slots)]
+def _before(x: np.ndarray, first: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the token before and of the one two before; before a text's first word stands the end."""
+    prev = np.r_[np.array([end], x.dtype), x[:-1]]
+    skip = np.r_[np.array([end, end], x.dtype), x[:-2]][: len(x)]
     heads = first[:-1]
-    prev[heads] = END_SLOT
-    skip[heads] = END_SLOT
+    prev[heads] = end
+    skip[heads] = end
     second = heads + 1
-    skip[second[second < len(slots)]] = END_SLOT
+    skip[second[second < len(x)]] = end
+    return prev, skip
+
+
+def _rows(parts: Parts, slots: np.ndarray, first: np.ndarray, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Class rows (3 by token), word rows (2 by token), tree rows (3 by token) and the class of each token. ``words``: the hashes, else the slots stand for them."""
+    own = slots if words is None else np.where(slots == OTHER, SLOTS + (words & _U(parts.rows - 1)).astype(np.int64), slots)
+    prev, skip = _before(own, first, END_SLOT)
+    prev_word, skip_word = _before(slots.astype(np.uint64) if words is None else words, first, _U(END_SLOT) if words is None else END)
+    cls = slots // SIDE
     with np.errstate(over="ignore"):
-        pair = (mix((prev * SLOTS + skip).astype(np.uint64)) % _U(PAIR_ROWS)).astype(np.int64)
-        cls = slots // SIDE
-        key = (prev * SIDE + cls).astype(np.uint64)
-        wp = (mix(key) % _U(WORD_ROWS)).astype(np.int64)
-        ws = (mix((skip * SIDE + cls).astype(np.uint64) + _U(1 << 40)) % _U(WORD_ROWS)).astype(np.int64)
-    return np.stack([PREV + prev, SKIP + skip, PAIR + pair]), np.stack([WORD_PREV + wp, WORD_SKIP + ws]), cls
+        pair = (mix(prev_word * _U(0x9E3779B97F4A7C15) + skip_word) & _U(parts.rows - 1)).astype(np.int64)
+        wp = (mix(prev_word * _U(SIDE) + cls.astype(np.uint64)) & _U(2 * parts.rows - 1)).astype(np.int64)
+        ws = (mix(skip_word * _U(SIDE) + cls.astype(np.uint64) + _U(1 << 40)) & _U(2 * parts.rows - 1)).astype(np.int64)
+    tree = np.stack([parts.tree_prev + prev, parts.tree_skip + skip, parts.tree_pair + pair])
+    return np.stack([parts.prev + prev, parts.skip + skip, parts.pair + pair]), np.stack([parts.word_prev + wp, parts.word_skip + ws]), tree, cls
+
+
+def _steps(w: np.ndarray, voc: Vocabulary, rt: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of the second half at each step to the leaves, and the halves taken."""
+    k = np.arange(voc.depth + 1, dtype=np.int32)
+    node = (1 << k) | (leaf.astype(np.int32)[:, None] >> (voc.depth - k))
+    z = (w[rt[0]] + w[rt[1]] + w[rt[2]])[:, : voc.depth] + voc.odds[node[:, :-1]]
+    return z, (node[:, 1:] & 1).astype(np.float32)
 
 
 def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,30 +234,56 @@ def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e / s, (np.log(s) + top)[:, 0]
 
 
-def log_probs(w: np.ndarray, slots: np.ndarray, first: np.ndarray) -> np.ndarray:
+def log_probs(w: np.ndarray, slots: np.ndarray, first: np.ndarray, words: np.ndarray | None = None, rows: tuple | None = None) -> np.ndarray:
     """Natural log probability of each token's slot."""
     out = np.empty(len(slots))
-    rc, rw, cls = _rows(slots, first)
+    parts = Parts.of(w)
+    rc, rw, _, cls = rows or _rows(parts, slots, first, words)
     for lo in range(0, len(slots), 16_384):
         s = slice(lo, lo + 16_384)
         n = np.arange(len(cls[s]))
-        z = w[rc[0, s]] + w[rc[1, s]] + w[rc[2, s]] + w[CLASS_BIAS]
-        y = w[rw[0, s]] + w[rw[1, s]] + w[WORD_BIAS + cls[s]]
+        z = w[rc[0, s]] + w[rc[1, s]] + w[rc[2, s]] + w[parts.class_bias]
+        y = w[rw[0, s]] + w[rw[1, s]] + w[parts.word_bias + cls[s]]
         out[s] = z[n, cls[s]] - _softmax(z)[1] + y[n, slots[s] % SIDE] - _softmax(y)[1]
     return out
 
 
-def _descend(w: np.ndarray, hist: np.ndarray, met: np.ndarray, slots: np.ndarray, first: np.ndarray) -> None:
+def tree_log_probs(w: np.ndarray, voc: Vocabulary, slots: np.ndarray, first: np.ndarray, words: np.ndarray, rows: tuple | None = None) -> np.ndarray:
+    """For the tokens in OTHER: natural log probability there of a word of the leaf, by its (c + 0.5), which isn't in it. Other tokens have 0."""
+    out = np.zeros(len(slots))
+    at = np.flatnonzero(slots == OTHER)
+    rt = (_rows(Parts.of(w), slots, first, words) if rows is None else rows)[2][:, at]
+    leaf = voc.leaf(words[at])
+    known = np.log(max(voc.other - 0.5, 0.5) / voc.other)
+    for lo in range(0, len(at), 4096):
+        s = slice(lo, lo + 4096)
+        z, second = _steps(w, voc, rt[:, s], leaf[s])
+        z *= 1 - 2 * second
+        # A product of at most DEPTH numbers, whose logs stay far from a double's bound.
+        out[at[s]] = known - voc.leaves[leaf[s]] - np.log((1 + np.exp(np.minimum(z, 80))).prod(axis=1, dtype=np.float64))
+    return out
+
+
+def _descend(w: np.ndarray, hist: np.ndarray, met: np.ndarray, voc: Vocabulary, words: np.ndarray, first: np.ndarray) -> None:
     """Gradient steps over the tokens, in mini-batches; a row's step shrinks with the gradients it has seen."""
-    rc, rw, cls = _rows(slots, first)
+    slots = voc.find(words)[0]
+    parts = Parts.of(w)
+    rc, rw, rt, cls = _rows(parts, slots, first, words)
     for lo in range(0, len(slots), BATCH):
         s = slice(lo, lo + BATCH)
         n = np.arange(len(cls[s]))
-        gz, _ = _softmax(w[rc[0, s]] + w[rc[1, s]] + w[rc[2, s]] + w[CLASS_BIAS])
-        gy, _ = _softmax(w[rw[0, s]] + w[rw[1, s]] + w[WORD_BIAS + cls[s]])
+        gz, _ = _softmax(w[rc[0, s]] + w[rc[1, s]] + w[rc[2, s]] + w[parts.class_bias])
+        gy, _ = _softmax(w[rw[0, s]] + w[rw[1, s]] + w[parts.word_bias + cls[s]])
         gz[n, cls[s]] -= 1
         gy[n, slots[s] % SIDE] -= 1
-        for rows, g in ((rc[0, s], gz), (rc[1, s], gz), (rc[2, s], gz), (rw[0, s], gy), (rw[1, s], gy)):
+        steps = [(rc[0, s], gz), (rc[1, s], gz), (rc[2, s], gz), (rw[0, s], gy), (rw[1, s], gy)]
+        at = lo + np.flatnonzero(slots[s] == OTHER)
+        if voc.depth and len(at):
+            z, second = _steps(w, voc, rt[:, at], voc.leaf(words[at]))
+            gt = np.zeros((len(at), SIDE), np.float32)
+            gt[:, : voc.depth] = 1 / (1 + np.exp(-z)) - second
+            steps += [(r[at], gt) for r in rt]
+        for rows, g in steps:
             order = np.argsort(rows, kind="stable")
             r = rows[order]
             heads = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
@@ -207,15 +297,15 @@ def _descend(w: np.ndarray, hist: np.ndarray, met: np.ndarray, slots: np.ndarray
 def _local_updates(voc, weights):
     def run(batches):
         v, start = voc.value, weights.value
-        w, hist, met = start.copy(), np.full(HEIGHT, 1.0, np.float32), np.zeros(HEIGHT, np.int64)
+        w, hist, met = start.copy(), np.full(len(start), 1.0, np.float32), np.zeros(len(start), np.int64)
         for b in batches:
             for c in chunks(b.column("text")):
                 h, first = _tokens(c)
-                _descend(w, hist, met, v.find(h)[0], first)
+                _descend(w, hist, met, v, h, first)
         if met.any():
             change = (w - start) * met[:, None]
             task = TaskContext.get().partitionId()
-            for lo in range(0, HEIGHT, BLOCK):
+            for lo in range(0, len(start), BLOCK):
                 if met[lo : lo + BLOCK].any():
                     yield pa.RecordBatch.from_arrays([pa.array([lo], pa.int32()), pa.array([task // 64], pa.int32()), pa.array([met[lo : lo + BLOCK].tobytes()]), pa.array([change[lo : lo + BLOCK].astype(np.float32).tobytes()])], names=["block", "part", "met", "change"])
 
@@ -236,9 +326,10 @@ def train(texts: DataFrame, voc: Vocabulary) -> np.ndarray:
     sc = texts.sparkSession.sparkContext
     shared = sc.broadcast(voc)
     w = first_weights(voc)
+    tasks = max(sc.defaultParallelism, -(-texts.rdd.getNumPartitions() // ROUNDS))
     for r in range(ROUNDS):
         now = sc.broadcast(w)
-        ups = texts.where(F.col("part") == r).select("text").mapInArrow(_local_updates(shared, now), _UPDATE)
+        ups = texts.where(F.col("part") == r).select("text").coalesce(tasks).mapInArrow(_local_updates(shared, now), _UPDATE)
         ups = ups.groupBy("block", "part").applyInPandas(_add_up, _UPDATE).groupBy("block").applyInPandas(_add_up, _UPDATE)
         w = w.copy()
         for u in ups.toLocalIterator():
@@ -248,7 +339,7 @@ def train(texts: DataFrame, voc: Vocabulary) -> np.ndarray:
     return w
 
 
-_SCORES = "n_tokens long, n_known long, base_ln double, score_ln double, rare array<long>"
+_SCORES = "n_tokens long, n_known long, base_ln double, score_ln double, rare array<struct<word: long, more: float>>"
 
 
 def _score_rows(voc, weights):
@@ -261,14 +352,18 @@ def _score_rows(voc, weights):
             for c in chunks(b.column("text")):
                 h, first = _tokens(c)
                 slots, counts = v.find(h)
-                p = log_probs(w, slots, first)
+                at = _rows(Parts.of(w), slots, first, h)
+                p = log_probs(w, slots, first, h, at)
                 tabled = counts >= 0
                 own = np.where(tabled, np.log(np.maximum(counts, 0) + 0.5), 0.0)
-                p += np.where(slots == OTHER, own - np.log(v.other), 0.0)
+                other, seen = slots == OTHER, tree_log_probs(w, v, slots, first, h, at)
+                unseen = np.where(other, -np.log(v.other), 0.0)
+                p += np.where(other, np.where(tabled, own + seen, unseen), 0.0)
                 rare = ~tabled
                 add = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  each text has its end, so none is empty
                 cuts = np.r_[0, np.cumsum(rare)][first].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(h[rare].view(np.int64)))
+                more = pa.array((seen - unseen)[rare].astype(np.float32))
+                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.StructArray.from_arrays([pa.array(h[rare].view(np.int64)), more], names=["word", "more"]))
                 ids = b.column("id").slice(lo, c.hi - lo)
                 lo = c.hi
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(first)), pa.array(add((counts > 0).astype(np.int64))), pa.array(add(own)), pa.array(add(p)), lists], names=names)
@@ -293,11 +388,11 @@ def score_texts(df: DataFrame, learns: Column, id_col: str = "doc_id", text_col:
     src = df.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows = src.mapInArrow(_score_rows(sc.broadcast(voc), sc.broadcast(w)), f"id {kind}, {_SCORES}")
     rows = scratch.keep(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
-    # What the table lacks. A word is at most as frequent here as the table's threshold, or never learnt.
-    rare = rows.select("row", F.explode("rare").alias("word"))
-    seen = rare.join(counts, "word", "left").groupBy("row").agg(F.sum(F.log(F.coalesce("c", F.lit(0)) + 0.5)).alias("ln"), F.count("c").alias("known"))
+    # What the table lacks. A word is at most as frequent here as the table's threshold, or never learnt; a learnt one has ``more`` by the tree.
+    rare = rows.select("row", F.inline("rare"))
+    seen = rare.join(counts, "word", "left").groupBy("row").agg(F.sum(F.log(F.coalesce("c", F.lit(0)) + 0.5)).alias("ln"), F.count("c").alias("known"), F.sum(F.when(F.col("c").isNotNull(), F.col("more").cast("double"))).alias("more"))
     out = rows.drop("rare").join(seen, "row", "left")
     ln = F.coalesce("ln", F.lit(0.0))
     ten = float(np.log(10))
     base = F.col("base_ln") + ln - F.col("n_tokens") * float(np.log(voc.total + 0.5 * (voc.distinct + 1)))
-    return out.select(F.col("id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(voc.total).cast("long").alias("train_tokens"), (base / ten).alias("base_score"), ((F.col("score_ln") + ln) / ten).alias("score"))
+    return out.select(F.col("id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(voc.total).cast("long").alias("train_tokens"), (base / ten).alias("base_score"), ((F.col("score_ln") + ln + F.coalesce("more", F.lit(0.0))) / ten).alias("score"))

@@ -312,6 +312,30 @@ def test_language_model_is_a_distribution():
     assert p.sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_learns_words_without_a_slot(spark):
+    """A rare word is likelier after the word it always follows than after another: both have the same counts."""
+    common = " ".join(f"c{i}" for i in range(1100))
+    learnt = [common] * 60 + [f"x{i} y{i}" for i in range(200) for _ in range(40)]
+    asked = [f"x{i} y{i}" for i in range(200)] + [f"x{i} y{(i + 1) % 200}" for i in range(200)]
+    df = frame(spark, learnt + asked)
+    got = {r["doc_id"]: r["score"] for r in language_model.score_texts(df, F.col("doc_id") < len(learnt)).collect()}
+    right, wrong = (sum(got[len(learnt) + k + i] for i in range(200)) / 200 for k in (0, 200))
+    assert right > wrong + 1
+
+
+def test_language_model_tree_is_a_distribution(spark):
+    words_ = np.sort(tokens.mix(np.arange(1, 5001, dtype=np.uint64)))
+    c = 1 + np.arange(5000) % 7
+    voc = language_model.build_vocabulary(spark.createDataFrame([(int(w), int(n)) for w, n in zip(words_.view(np.int64), c)], "word long, c long"))
+    w = np.random.default_rng(0).normal(0, 0.5, language_model.first_weights(voc).shape).astype(np.float32)
+    rare = words_[voc.find(words_)[0] == language_model.OTHER]
+    assert len(rare) == 5000 - 1022 and 1 << voc.depth >= len(rare)
+    at = np.arange(0, 2 * len(rare) + 1, 2)
+    texts = np.stack([np.full(len(rare), words_[17]), rare], axis=1).ravel()
+    p = language_model.tree_log_probs(w, voc, voc.find(texts)[0], at, texts)[1::2]
+    assert (np.exp(p) * (voc.find(rare)[1] + 0.5)).sum() + 0.5 / voc.other == pytest.approx(1, abs=1e-3)
+
+
 def labelled(spark, n, bad):
     rng = random.Random(3)
     rows, labels = [], []
