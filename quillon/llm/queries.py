@@ -15,8 +15,9 @@ from quillon.llm.jaccard_join import Rule, jaccard_components
 from quillon.llm.language_model import score_texts
 from quillon.llm.quality_classifier import classify
 from quillon.llm.quality_rules import quality_cascade
+from quillon.llm.scratch import Scratch
 from quillon.llm.sentencepiece_sampling import decode, encode
-from quillon.llm.sharding import shard
+from quillon.llm.sharding import shard, write_shards
 from quillon.llm.toxicity import fit_toxicity, score_toxicity
 from quillon.llm.url_filter import filter_urls, parse_rule
 
@@ -48,7 +49,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = shard(table(spark, sf_dir, "documents"), shards=16)
+    out = write_shards(shard(table(spark, sf_dir, "documents"), shards=16), Scratch(spark, "shards").base)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -31,10 +31,10 @@ class Scratch:
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def keep(self, df: DataFrame, name: str = "t", codec: str = "snappy") -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

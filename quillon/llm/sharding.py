@@ -1,14 +1,14 @@
 """Sharding by a Feistel permutation of global row numbers, with cycle walking; DataFrame operations only.
 
-Rows get numbers 0..n-1 in the order of (key, text CRC, size): a range exchange of those three narrow columns, a sort
-within partitions, and an offset for each partition. A row number x is written as (x div b, x mod b) with
+Rows get numbers 0..n-1 in the order of (key, text CRC, size, hash of all columns): a range exchange of the whole rows, a sort
+within partitions, and an offset for each partition. ``write_shards`` sends the rows on to their shards, in the order of their slots. A row number x is written as (x div b, x mod b) with
 a*b >= n and a, b near the square root of n; six rounds add to one half, modulo its range, a keyed hash of the
 other, which is a bijection of 0..a*b-1. Values of n and more are permuted again until they fall below n, which makes
 it one of 0..n-1. Position p is shard p mod k, slot p div k, so shard counts are at most one apart and every
 row's place is computable from its number, n, k and the seed.
 
-Null keys come first; a null text has size 1 and the CRC of no bytes. Rows equal in all three columns
-may swap places, which no reader can tell. An empty table gives no rows.
+Null keys come first; a null text has size 1 and the CRC of no bytes. Equal rows may swap places, which no reader can tell (maps and
+variants can't be hashed: rows that differ only there may swap, too). An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -57,13 +57,21 @@ def permuted(x: Column, n: int, seed: int = 0) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(walk)), once, lambda acc, _: F.when(acc < n_, acc).otherwise(_permute(acc, n, seed)))
 
 
+#: The columns that ``shard`` adds.
+ADDED = ("size", "text_crc32", "row_number", "shard", "slot")
+
+
 def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 16, seed: int = 0) -> DataFrame:
-    """One row per input row: id, size, text_crc32, row_number, shard and slot."""
+    """The rows of ``df`` with all columns and size, text_crc32, row_number, shard and slot."""
+    clash = sorted({c.lower() for c in df.columns} & set(ADDED))
+    if clash:
+        raise ValueError(f"columns to be added are there already: {clash}")
     scratch = Scratch(df.sparkSession, "shard")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"))
-    order = ["id", "crc", "size"]
-    rows = scratch.keep(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "rows")
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(*hashed).alias("tie"))
+    order = ["id", "crc", "size", "tie"]
+    rows = scratch.keep(rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("id", "tie").withColumn("at", F.monotonically_increasing_id()), "rows", "zstd")
     part = F.shiftright("at", 33)
     # One row a partition, so small whatever the input.
     sizes = rows.groupBy(part.alias("part")).count()
@@ -73,4 +81,14 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
     placed = numbered.withColumn("p", permuted(F.col("row_number"), n, seed))
     # A walk that ran out of steps would give no place; none is passed on.
     p = F.when(F.col("p") < n, F.col("p")).otherwise(F.raise_error(F.lit("a cycle walk ended early; change the seed")).cast("long"))
-    return placed.withColumn("p", p).select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "row_number", (F.col("p") % shards).cast("int").alias("shard"), F.expr(f"p div {shards}").alias("slot"))
+    return placed.withColumn("p", p).select("row.*", "size", F.col("crc").alias("text_crc32"), "row_number", (F.col("p") % shards).cast("int").alias("shard"), F.expr(f"p div {shards}").alias("slot"))
+
+
+def write_shards(sharded: DataFrame, path: str) -> DataFrame:
+    """Writes the rows of ``shard`` as Parquet to a folder ``shard=N`` for each shard, in the order of their slots; returns what was written.
+
+    A shard may have several files; their names follow the slots. ``path`` must not exist.
+    """
+    places = ["shard", "slot"]
+    sharded.repartitionByRange(*places).sortWithinPartitions(*places).write.partitionBy("shard").parquet(path, compression="zstd")
+    return sharded.sparkSession.read.schema(sharded.select(*(c for c in sharded.columns if c != "shard"), "shard").schema).parquet(path)

@@ -129,6 +129,24 @@ def test_sharding(spark, n):
     assert {(r["doc_id"], r["shard"], r["slot"]) for r in got} == {(r["doc_id"], r["shard"], r["slot"]) for r in again}
 
 
+def test_sharding_keeps_and_writes_whole_rows(spark, tmp_path):
+    rows = [(None if i % 9 == 0 else i // 2, None if i % 7 == 3 else f"text {i % 5}", ["a", str(i)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tags array<string>").repartition(3)
+    out = sharding.shard(df, shards=4)
+    assert out.columns == [*df.columns, *sharding.ADDED]
+    placed = {(r["doc_id"], r["text"], *r["tags"]): (r["shard"], r["slot"]) for r in out.collect()}
+    assert set(placed) == {(i, t, *tags) for i, t, tags in rows} and len(set(placed.values())) == 300
+    back = sharding.write_shards(out, str(tmp_path / "out"))
+    assert {(r["doc_id"], r["text"], *r["tags"]): (r["shard"], r["slot"]) for r in back.collect()} == placed
+    for k in range(4):
+        one = [spark.read.parquet(str(f)).collect() for f in sorted((tmp_path / "out" / f"shard={k}").glob("*.parquet"))]
+        assert [r["slot"] for rows in one for r in rows] == list(range(75))
+    again = sharding.shard(df.repartition(7), shards=4).collect()
+    assert {(r["doc_id"], r["text"], *r["tags"]): (r["shard"], r["slot"]) for r in again} == placed
+    with pytest.raises(ValueError):
+        sharding.shard(out)
+
+
 # --- quality rules ----------------------------------------------------------------------------------------------------
 def brute_measures(t):
     t = t or ""
