@@ -144,7 +144,8 @@ def signatures(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
             sig = mix(mix(sums) + tag)
             full = sizes > 0
             empty = int((~full).any(axis=1).sum())
-            own, least = (sig.ravel(), b.spare + 1) if empty > b.spare else (sig[full], b.spare + 1 - empty)
+            # A partner that doesn't sign its empty subsets may share only one with a set that does.
+            own, least = (sig.ravel(), 1) if empty > b.spare else (sig[full], b.spare + 1 - empty)
             out.append(own)
             info.append(np.full(len(own), (b.index << 16) + least, np.int32))
     return np.concatenate(out), np.concatenate(info)

@@ -108,6 +108,19 @@ def test_signatures_are_complete():
                 assert any(np.isin(x[p >> 16 == k], shared).sum() >= (p[p >> 16 == k][0] & 65535) for k in bands)
 
 
+@pytest.mark.parametrize("seed", [28480, 45633, 49335, 90822])
+def test_signature_filter_keeps_both_sides_of_short_pairs(seed):
+    """Sets of 30 and 26 shingles, one with many empty groups and one with few: both stay in a band in which they share signatures."""
+    rng, rule = np.random.default_rng(seed), jaccard_join.Rule(4, 85, 100)
+    a = np.unique(rng.integers(0, 2**63, 30).astype(np.uint64))
+    b = np.sort(rng.permutation(a)[:26])
+    assert rule.linked(np.array(26), 30, 26)
+    (x, p), (y, q) = jaccard_join.signatures(a, rule), jaccard_join.signatures(b, rule)
+    shared = np.intersect1d(x, y)
+    stays = lambda s, info, k: np.isin(s[info >> 16 == k], shared).sum() >= (info[info >> 16 == k][0] & 65535)
+    assert any(stays(x, p, k) and stays(y, q, k) for k in set((p[np.isin(x, shared)] >> 16).tolist()))
+
+
 def test_components_of_chains_and_stars(spark):
     e = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(7, 7)]
     got = components.components(spark.createDataFrame(e, "u long, v long"), scratch.Scratch(spark, "t"))
