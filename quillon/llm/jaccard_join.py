@@ -339,12 +339,8 @@ def _difference_batch(rows: list, elements: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(elements)), pa.array(place)], names=["pivot", "key", "n", "d", "near", "c", "element", "place"])
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
-    """One row per input row: id, n_shingles, class_key (null: empty set), class_size, n_linked (verified links of the class to others), component_id.
-
-    component_id is the smallest id reachable by links, the row's own included. Rows with a null id are kept, each
-    alone (component null). Other columns of ``df`` aren't read.
-    """
+def _join(df: DataFrame, id_col: str, text_col: str, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame, Scratch]:
+    """Rows (id, n, key), classes (key, rep, class_size, n), verified links between classes (u, v), and where they're kept."""
     spark = df.sparkSession
     scratch = Scratch(spark, "jaccard")
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -363,15 +359,36 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         edges = spark.createDataFrame([], "u long, v long")
     else:
         edges = _edges(docs, classes, buckets, rule, scratch)
+    return rows, classes, edges, scratch
+
+
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
+    """One row per input row: id, n_shingles, class_key (null: empty set), class_size, component_id.
 
-    linked = edges.select(F.col("u").alias("key")).unionByName(edges.select(F.col("v").alias("key"))).groupBy("key").agg(F.count("*").alias("n_linked"))
+    component_id is the smallest id reachable by links, the row's own included. Rows with a null id are kept, each
+    alone (component null). Other columns of ``df`` aren't read.
+    """
+    rows, classes, edges, scratch = _join(df, id_col, text_col, rule)
     found = components(edges, scratch).withColumnRenamed("node", "key")
     small = found.join(classes.select("key", "rep"), "key").groupBy("component").agg(F.min("rep").alias("component_id"))
-    found = found.join(small, "component").select("key", "component_id").join(linked, "key", "left")
-    named = classes.join(found, "key", "left").select("key", "class_size", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"))
+    found = found.join(small, "component").select("key", "component_id")
+    named = classes.join(found, "key", "left").select("key", "class_size", F.coalesce("component_id", "rep").alias("component_id"))
     out = rows.where("key is not null and id is not null").join(named, "key")
-    alone = rows.where("key is null or id is null").select("key", "id", "n", F.lit(1).cast("long").alias("class_size"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_linked"))
-    return out.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("key").alias("class_key"), "class_size", "n_linked", "component_id")
+    alone = rows.where("key is null or id is null").select("key", "id", "n", F.lit(1).cast("long").alias("class_size"), F.col("id").alias("component_id"))
+    return out.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("key").alias("class_key"), "class_size", "component_id")
+
+
+def jaccard_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
+    """Representative pairs (id_a, id_b), id_a < id_b, each once and each at the threshold or above by the whole sets.
+
+    They connect every component. A component of m rows has m*(m-1)/2 links at most, so neither all
+    links nor their number by row are given. A class stands for its equal texts by its smallest id, to which each of the others is a pair.
+    """
+    rows, classes, edges, _ = _join(df, id_col, text_col, rule)
+    rep = classes.select("key", "rep")
+    between = edges.join(rep.select(F.col("key").alias("u"), F.col("rep").alias("a")), "u").join(rep.select(F.col("key").alias("v"), F.col("rep").alias("b")), "v").select("a", "b")
+    copies = rows.where("id is not null").join(rep, "key").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    return between.unionByName(copies).where("a != b").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
 
 
 def _shared(sigs: DataFrame) -> DataFrame:

@@ -89,6 +89,24 @@ def test_jaccard_repeats_nulls_and_nothing(spark):
     assert sorted(((r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(df).collect()), key=str) == sorted([(3, 1), (3, 1), (1, 1), (None, None), (5, 5)], key=str)
 
 
+def test_jaccard_pairs_are_links_and_connect_components(spark):
+    """No partial count of links is given; the pairs given are links, and join what brute force joins."""
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in (3, 40, 80, 118)] + [" ".join(base)] * 3 + ["other text of one", None]
+    df, rule = frame(spark, texts), jaccard_join.Rule(4, 85, 100)
+    assert jaccard_join.jaccard_components(df, rule=rule).columns == ["doc_id", "n_shingles", "class_key", "class_size", "component_id"]
+    pairs = [tuple(r) for r in jaccard_join.jaccard_pairs(df, rule=rule).collect()]
+    assert len(set(pairs)) == len(pairs) and all(a < b for a, b in pairs)
+    for a, b in pairs:
+        assert brute_components([texts[a], texts[b]], 4, 85, 100)[1][2] == 0
+    parent = list(range(len(texts)))
+    for _ in texts:
+        for a, b in pairs:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    assert parent == [c for _, _, c in brute_components(texts, 4, 85, 100)]
+    assert jaccard_join.jaccard_pairs(df.limit(0), rule=rule).count() == 0
+
+
 def test_signatures_are_complete():
     """Any two linked sets share a signature, for random pairs at the threshold."""
     rng = np.random.default_rng(0)
