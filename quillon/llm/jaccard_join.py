@@ -6,18 +6,22 @@ first-level groups and each group into n2 second-level parts, and every subset o
 signature: the hash of what the set has in it. By the pigeonhole principle similar sets share a signature. A set
 also enters the band above when it can have a partner there.
 
-Subsets that hold nothing would put unrelated sets together. n1 has ``spare`` more groups than the argument needs,
-and only a set with more empty groups than that signs for its empty subsets, which keeps the join complete.
+Subsets that hold next to nothing would put unrelated sets together. n1 has ``spare`` more groups than the argument
+needs, so linked sets share signatures of spare + 1 groups at least. A set with at most ``spare`` thin groups (one of their subsets has
+fewer than ``least`` elements) doesn't sign for thin subsets; any other set signs for all. A shared subset is thin for both sets or
+for neither, so a set still shares spare + 1 - (its thin groups) signatures with each partner, and the join stays complete.
 
 What happens to the buckets:
 * Equal sets are one class, named by a 64-bit hash of the set; all work is on classes, so copies cost one row each.
 * A bucket's classes are compared with one pivot, the class that meets most others; verified pairs are edges.
 * A bucket fellow of fewer shared signatures than linked sets must share is out before that.
-* After components of those edges, only pairs of classes of one pivot and of different components are left. Two rounds of
-  comparisons between likely fellows, a linear number, leave few components. The rest is complete:
+* After components of those edges, only pairs of classes of one pivot and of different components are left. A round of
+  comparisons between likely fellows, a linear number, leaves few components. The rest is complete:
   pairs are found by what they differ in from the pivot: linked classes have a certain part of those differences in common, so
   one lies in a prefix of both (see ``_differences``), and they're compared too. No link that matters for
   components is lost, and no bucket is expanded into all pairs.
+* The sets of classes that share a bucket are written once; each text is split into words three times in all.
+* All rows of a signature meet in one window task, 20 bytes a class and signature; other groups are joins and sums, which are combined or split.
 
 Nulls and texts without a word have an empty set, no link and a class of their own. Two different sets are taken for
 equal with a chance of 2**-64 for each pair.
@@ -26,6 +30,7 @@ equal with a chance of 2**-64 for each pair.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -40,8 +45,10 @@ from quillon.llm.scratch import Scratch
 from quillon.llm.tokens import SPACED, chunks, mix, windows
 
 _U = np.uint64
-#: Bits of the filter that marks the documents whose sets a comparison needs: 4 MB, whatever the input.
-FILTER_BITS = 25
+#: Least and most bits, as powers of two, of the filter that marks the documents whose sets are needed (32 MB at most; beyond that more sets than needed are passed on).
+FILTER_BITS = 16, 28
+#: Groups beyond those that the argument needs, as a share of them.
+SPARE = 0.25
 
 
 @dataclass(frozen=True)
@@ -69,6 +76,12 @@ class Band:
     n2: int
     k2: int
     spare: int
+    least: int
+
+
+def _weak_share(mean: float, least: int, subsets: int) -> float:
+    """About the share of groups with a subset of fewer than ``least`` elements, where a subset has ``mean`` on average."""
+    return min(1.0, subsets * sum(math.exp(-mean) * mean**i / math.factorial(i) for i in range(least)))
 
 
 @lru_cache(maxsize=4096)
@@ -82,8 +95,13 @@ def band(rule: Rule, index: int) -> Band:
     else:
         n2, k2 = 1, 0
     n1 = k // (k2 + 1) + 1
-    spare = 0 if n1 <= 4 else 2 + n1 // 12
-    return Band(index, low, high, n1 + spare, n2, k2, spare)
+    spare = 0 if n1 <= 4 else 2 + int(n1 * SPARE)
+    total = n1 + spare
+    mean, subsets = low * (n2 - k2) / (total * n2), math.comb(n2, k2)
+    least = 1
+    while least < 8 and (weak := total * _weak_share(mean, least + 1, subsets)) + 2 * math.sqrt(weak) <= spare:
+        least += 1
+    return Band(index, low, high, total, n2, k2, spare, least)
 
 
 def bands_of(rule: Rule, n: int) -> list[Band]:
@@ -142,7 +160,7 @@ def signatures(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
                 sizes = np.stack([c[:, j].sum(axis=1) for j in map(list, subsets)], axis=1)
             tag = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + _U(b.index << 32)
             sig = mix(mix(sums) + tag)
-            full = sizes > 0
+            full = sizes >= b.least
             empty = int((~full).any(axis=1).sum())
             # A partner that doesn't sign its empty subsets may share only one with a set that does.
             own, least = (sig.ravel(), 1) if empty > b.spare else (sig[full], b.spare + 1 - empty)
@@ -191,35 +209,37 @@ def _signature_batch(sig: list, key: list, info: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(k), pa.array(np.concatenate(info))], names=["sig", "key", "info"])
 
 
-def _slot(ids: np.ndarray) -> np.ndarray:
+def _slot(ids: np.ndarray, bits: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return (mix(ids.astype(np.int64).view(np.uint64)) >> _U(64 - FILTER_BITS)).astype(np.int64)
+        return (mix(ids.astype(np.int64).view(np.uint64)) >> _U(64 - bits)).astype(np.int64)
 
 
 def _needed_filter(ids: DataFrame):
-    """A broadcast bit table of 2**FILTER_BITS bits with the slots of ``id``; slots are combined before they're sent."""
+    """The number of bits, as a power of two, and a broadcast table of them that has the slots of ``id`` set; slots are combined before they're sent."""
+    least, most = FILTER_BITS
+    n_bits = min(most, max(least, (8 * ids.count()).bit_length()))
 
     def fill(batches):
-        bits = np.zeros(1 << FILTER_BITS, bool)
+        bits = np.zeros(1 << n_bits, bool)
         for b in batches:
-            bits[_slot(b.column("id").to_numpy(zero_copy_only=False))] = True
+            bits[_slot(b.column("id").to_numpy(zero_copy_only=False), n_bits)] = True
         words = np.packbits(bits).view(np.int64)
         at = np.flatnonzero(words)
         for i in range(0, len(at), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(words[at[i : i + 100_000]])], names=["at", "bits"])
 
-    got = ids.select("id").mapInArrow(fill, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    words = np.zeros((1 << FILTER_BITS) // 64, np.int64)
+    got = ids.select("id").coalesce(8).mapInArrow(fill, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
+    words = np.zeros((1 << n_bits) // 64, np.int64)
     words[got["at"].to_numpy()] = got["bits"].to_numpy()
-    return ids.sparkSession.sparkContext.broadcast(words.tobytes())
+    return n_bits, ids.sparkSession.sparkContext.broadcast(words.tobytes())
 
 
-def _set_rows(rule: Rule, needed):
+def _set_rows(rule: Rule, n_bits: int, needed):
     def run(batches):
         bits = np.frombuffer(needed.value, np.uint8)
         for b in batches:
             ids = b.column("id").to_numpy(zero_copy_only=False)
-            slot = _slot(ids)
+            slot = _slot(ids, n_bits)
             hit = np.flatnonzero(bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
             for lo in range(0, len(hit), 1000):
                 at = hit[lo : lo + 1000]
@@ -269,25 +289,29 @@ def _compare(rule: Rule):
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """(key, grams) of the classes named; each is read from the text of its first document, and no other text's set is passed on."""
+    """(key, grams) of the classes named, written; each is read from the text of its first document, and hardly any other text's set is passed on."""
     need = scratch.keep(keys.join(classes, "key").select("key", F.col("rep").alias("id")), "need")
-    needed = _needed_filter(need)
-    sets = docs.where("id is not null").mapInArrow(_set_rows(rule, needed), "id long, key long, grams binary")
-    return sets.join(need, ["id", "key"]).select("key", "grams")
+    n_bits, needed = _needed_filter(need)
+    sets = docs.where("id is not null").mapInArrow(_set_rows(rule, n_bits, needed), "id long, key long, grams binary")
+    # A row that is in the table twice, id included, gives its set twice.
+    sets = scratch.keep(sets.join(need, ["id", "key"]).select("key", "grams").dropDuplicates(["key"]), "sets", "none")
+    scratch.drop(need)
+    return sets
+
 
+def _with_sets(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (u, v, ..., a written table) with x and y, the sets of u and v. Only sets that a pair needs are joined."""
 
-def _with_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """``pairs`` (u, v, ...) with x and y, the sets of u and v."""
-    keys = pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct()
-    sets = _sets_of(docs, classes, keys, rule, scratch)
-    return pairs.join(sets.select(F.col("key").alias("u"), F.col("grams").alias("x")), "u").join(sets.select(F.col("key").alias("v"), F.col("grams").alias("y")), "v")
+    def named(key: str, grams: str) -> DataFrame:
+        return sets.select(F.col("key").alias(key), F.col("grams").alias(grams)).join(pairs.select(key).distinct(), key, "left_semi")
 
+    return pairs.join(named("u", "x"), "u").join(named("v", "y"), "v")
 
-def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+
+def _verify(sets: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     """(u, v, linked, n, d, sketch) of the class pairs, by their whole sets."""
-    tested = _with_sets(docs, classes, pairs, rule, scratch).select("u", "v", "x", "y").mapInArrow(_compare(rule), "u long, v long, linked boolean, n long, d long, sketch array<long>")
-    # A row that is in the table twice, id included, gives its pairs twice.
-    return scratch.keep(tested.dropDuplicates(["u", "v"]), "tested")
+    tested = _with_sets(sets, pairs).select("u", "v", "x", "y").mapInArrow(_compare(rule), "u long, v long, linked boolean, n long, d long, sketch array<long>")
+    return scratch.keep(tested, "tested")
 
 
 def _differences(rule: Rule):
@@ -296,7 +320,11 @@ def _differences(rule: Rule):
     For classes a, b of one pivot, |a ^ b| = |A| + |B| - 2 |A & B|, where A and B are their differences to the pivot. Linked
     classes differ in at most k elements, so |A & B| >= t = (|A| + |B| - k) / 2, and in any fixed order of the elements
     the first |A| - t + 1 of A and |B| - t + 1 of B have one in common, after which (it included) both have t elements or more. Elements that are common among the
-    pivot's classes come last, and those that the pivot lacks first: edits made independently rarely share them. Element 0 stands for t <= 0.
+    pivot's classes come last, and those that the pivot lacks first: edits made independently rarely share them.
+
+    Where t <= 0, both classes are linked to the pivot: with r = (den - num) / (den + num), sets link when they differ in at most r (a + b)
+    elements. |A| + |B| <= r (a + b) means that one of them, say A, has |A| <= r a, so it's linked to the pivot p; and |B| <= r a - |A| + r b,
+    where a <= p + |A|, so |B| <= r (p + b). Such pairs are of one component, and need no row.
     """
 
     def run(batches):
@@ -318,8 +346,7 @@ def _differences(rule: Rule):
                     # A class linked to the pivot is of its component: only classes that aren't can add something.
                     least = max(least, rule.differ(-(-n * rule.num // rule.den), len(y)) + 1)
                 t = -((k - d - least) // 2)
-                prefix = both[: max(0, min(d, d - t + 1))]
-                e = np.concatenate([np.zeros(int(t <= 0), np.uint64), prefix]).view(np.int64)
+                e = both[: max(0, min(d, d - t + 1))].view(np.int64)
                 rows.append((v, u, n, d, near, c, len(e)))
                 elements.append(e)
                 size += len(e)
@@ -335,7 +362,7 @@ def _differences(rule: Rule):
 def _difference_batch(rows: list, elements: list) -> pa.RecordBatch:
     v, u, n, d, near, c, size = (np.array(x) for x in zip(*rows))
     cols = [pa.array(np.repeat(x, size)) for x in (v, u, n, d, near, c)]
-    place = np.concatenate([np.arange(len(e)) - (e[0] == 0) for e in elements if len(e)])
+    place = np.concatenate([np.arange(len(e)) for e in elements])
     return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(elements)), pa.array(place)], names=["pivot", "key", "n", "d", "near", "c", "element", "place"])
 
 
@@ -345,7 +372,7 @@ def _join(df: DataFrame, id_col: str, text_col: str, rule: Rule) -> tuple[DataFr
     scratch = Scratch(spark, "jaccard")
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = scratch.keep(docs.mapInArrow(_class_rows(rule), "id long, n long, key long"), "rows")
-    classes = scratch.keep(rows.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("class_size"), F.first("n").alias("n")), "classes")
+    classes = scratch.keep(rows.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("class_size")), "classes")
 
     # Buckets with two classes or more.
     buckets = scratch.keep(_shared(docs.where("id is not null").mapInArrow(_signature_rows(rule), "sig long, key long, info int")), "buckets")
@@ -363,7 +390,7 @@ def _join(df: DataFrame, id_col: str, text_col: str, rule: Rule) -> tuple[DataFr
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
-    """One row per input row: id, n_shingles, class_key (null: empty set), class_size, component_id.
+    """One row per input row: id, n_shingles, component_id, class_key (null: empty set), class_size.
 
     component_id is the smallest id reachable by links, the row's own included. Rows with a null id are kept, each
     alone (component null). Other columns of ``df`` aren't read.
@@ -375,7 +402,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = classes.join(found, "key", "left").select("key", "class_size", F.coalesce("component_id", "rep").alias("component_id"))
     out = rows.where("key is not null and id is not null").join(named, "key")
     alone = rows.where("key is null or id is null").select("key", "id", "n", F.lit(1).cast("long").alias("class_size"), F.col("id").alias("component_id"))
-    return out.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("key").alias("class_key"), "class_size", "component_id")
+    return out.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("key").alias("class_key"), "class_size")
 
 
 def jaccard_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
@@ -399,68 +426,111 @@ def _shared(sigs: DataFrame) -> DataFrame:
 
 def _edges(docs: DataFrame, classes: DataFrame, buckets: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
     """Links between classes, enough of them for the same components as all."""
+    pairs = _pivot_pairs(buckets, scratch)
+    scratch.drop(buckets)
+    # Pairs between a pivot's classes come later: each of those classes is in a pair with it.
+    sets = _sets_of(docs, classes, pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct(), rule, scratch)
+    tested = _verify(sets, pairs, rule, scratch)
+    scratch.drop(pairs)
+    done = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    edges = tested.where("linked").select("u", "v")
+    k = lambda x, y: f"({rule.den - rule.num} * ({x} + {y}) div {rule.den + rule.num})"
+    # Classes with an equal minimum are compared with the next in line: a linear number of pairs, which leaves few components.
+    left = _mixed(tested, edges, scratch)
+    own = left.select("v", "u", "n", "d", "c", F.posexplode("sketch").alias("i", "low"))
+    line = Window.partitionBy("v", "i", "low").orderBy("d", "u")
+    before = own.withColumns({f"{x}0": F.lag(x).over(line) for x in ("u", "n", "d", "c")})
+    near = before.where(f"c != c0 and abs(n - n0) <= {k('n', 'n0')} and abs(d - d0) <= {k('n', 'n0')}")
+    near = near.select(F.least("u", "u0").alias("u"), F.greatest("u", "u0").alias("v")).distinct().join(done, ["u", "v"], "left_anti")
+    more = _verify(sets, scratch.keep(near, "near"), rule, scratch)
+    scratch.drop(left)
+    edges = edges.unionByName(more.where("linked").select("u", "v"))
+    done = done.unionByName(more.select("u", "v"))
+    left = _mixed(tested, edges, scratch)
+    if not left.isEmpty():
+        left = scratch.keep(left.select("u", "v", "linked", "c").join(_common(sets, left, scratch), "v", "left"), "left")
+        rows = _with_sets(sets, left).select("u", "v", "linked", "c", "common", "x", "y")
+        rows = rows.mapInArrow(_differences(rule), "pivot long, key long, n long, d long, near boolean, c long, element long, place long")
+        rows = scratch.keep(rows, "differences")
+        a = rows.select("pivot", "element", *(F.col(x).alias(f"{x}1") for x in ("key", "n", "d", "near", "c", "place")))
+        b = rows.select("pivot", "element", *(F.col(x).alias(f"{x}2") for x in ("key", "n", "d", "near", "c", "place")))
+        most = k("n1", "n2")
+        may = f"key1 < key2 and c1 != c2 and not (near1 and near2) and abs(n1 - n2) <= {most} and abs(d1 - d2) <= {most} and 2 * least(d1 - place1, d2 - place2) >= d1 + d2 - {most}"
+        rest = a.join(b, ["pivot", "element"]).where(may).select(F.col("key1").alias("u"), F.col("key2").alias("v")).distinct()
+        last = _verify(sets, scratch.keep(rest.join(done, ["u", "v"], "left_anti"), "rest"), rule, scratch)
+        scratch.drop(rows)
+        edges = edges.unionByName(last.where("linked").select("u", "v"))
+    edges = scratch.keep(edges, "links")
+    scratch.drop(sets)
+    return edges
+
+
+def _pivot_pairs(buckets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(u, v): each class of a bucket with a pivot v that all classes of the bucket are compared with."""
     # A class's weight is the number of its bucket fellows; a bucket's pivot has the greatest, ties go to the greater key.
     size = buckets.groupBy("sig").agg(F.count_distinct("key").alias("m"))
     weight = buckets.join(size, "sig").groupBy("key").agg(F.sum("m").alias("w"))
-    weighed = scratch.keep(buckets.join(weight, "key").distinct(), "weighed")
+    weighed = scratch.keep(buckets.join(weight, "key").select("sig", "key", "w").distinct(), "weighed")
     pivots = weighed.groupBy("sig").agg(F.max(F.struct("w", "key")).alias("p"))
     met = scratch.keep(weighed.join(pivots, "sig").select("sig", "key", "p"), "met")
+    scratch.drop(weighed)
     # A class is compared with the heaviest of its pivots, and with a bucket's own only where the fellows there differ in that.
     best = met.groupBy("key").agg(F.max("p").alias("best"))
-    met = met.join(best, "key")
-    split = met.groupBy("sig").agg(F.min("best").alias("lo"), F.max("best").alias("hi")).where("lo != hi").select("sig")
-    pairs = met.select("key", F.col("best.key").alias("v")).unionByName(met.join(split, "sig", "left_semi").select("key", F.col("p.key").alias("v")))
-    pairs = pairs.where("key != v").select(F.col("key").alias("u"), "v").distinct()
-    tested = _verify(docs, classes, scratch.keep(pairs, "pairs"), rule, scratch)
-    done = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    edges = tested.where("linked").select("u", "v")
-    k = lambda x, y: f"({rule.den - rule.num} * ({x} + {y}) div {rule.den + rule.num})"
-    for r in range(1):
-        # Classes with an equal minimum are compared with the next in line: a linear number of pairs, which leaves few components.
-        left = _mixed(tested, edges, scratch)
-        own = left.select("v", "u", "n", "d", "c", F.posexplode("sketch").alias("i", "low"))
-        line = Window.partitionBy("v", "i", "low").orderBy("d", "u")
-        before = own.withColumns({f"{x}0": F.lag(x).over(line) for x in ("u", "n", "d", "c")})
-        near = before.where(f"c != c0 and abs(n - n0) <= {k('n', 'n0')} and abs(d - d0) <= {k('n', 'n0')}")
-        near = near.select(F.least("u", "u0").alias("u"), F.greatest("u", "u0").alias("v")).distinct().join(done, ["u", "v"], "left_anti")
-        more = _verify(docs, classes, scratch.keep(near, "near"), rule, scratch)
-        edges = edges.unionByName(more.where("linked").select("u", "v"))
-        done = done.unionByName(more.select("u", "v"))
-    left = _mixed(tested, edges, scratch)
-    if left.isEmpty():
-        return edges
-    common = _common(docs, classes, left, rule, scratch)
-    left = left.select("u", "v", "linked", "c").join(common, "v", "left")
-    rows = _with_sets(docs, classes, left, rule, scratch).select("u", "v", "linked", "c", "common", "x", "y")
-    rows = rows.mapInArrow(_differences(rule), "pivot long, key long, n long, d long, near boolean, c long, element long, place long")
-    rows = scratch.keep(rows, "differences")
-    a = rows.select("pivot", "element", *(F.col(x).alias(f"{x}1") for x in ("key", "n", "d", "near", "c", "place")))
-    b = rows.select("pivot", "element", *(F.col(x).alias(f"{x}2") for x in ("key", "n", "d", "near", "c", "place")))
-    most = k("n1", "n2")
-    may = f"key1 < key2 and c1 != c2 and not (near1 and near2) and abs(n1 - n2) <= {most} and abs(d1 - d2) <= {most} and if(element = 0, d1 + d2 <= {most}, 2 * least(d1 - place1, d2 - place2) >= d1 + d2 - {most})"
-    rest = a.join(b, ["pivot", "element"]).where(may).select(F.col("key1").alias("u"), F.col("key2").alias("v")).distinct()
-    rest = scratch.keep(rest.join(done, ["u", "v"], "left_anti"), "rest")
-    more = _verify(docs, classes, rest, rule, scratch)
-    return edges.unionByName(more.where("linked").select("u", "v"))
-
-
-def _common(docs: DataFrame, classes: DataFrame, left: DataFrame, rule: Rule, scratch: Scratch, members: int = 64) -> DataFrame:
-    """(v, common): for pivots with many classes, the elements in which many of them differ from it, the commonest last.
-
-    Taken from about ``members`` classes of each pivot. It only orders elements, so what it misses costs time and no link.
+    told = met.join(best, "key")
+    split = told.groupBy("sig").agg(F.min("best").alias("lo"), F.max("best").alias("hi")).where("lo != hi").select("sig")
+    pairs = told.select("key", F.col("best.key").alias("v")).unionByName(told.join(split, "sig", "left_semi").select("key", F.col("p.key").alias("v")))
+    pairs = scratch.keep(pairs.where("key != v").select(F.col("key").alias("u"), "v").distinct(), "pairs")
+    scratch.drop(met)
+    return pairs
+
+
+#: Elements a task names for a pivot as common, and the differences it holds before it counts them.
+COMMON, HELD = 128, 1 << 20
+
+
+def _common(sets: DataFrame, left: DataFrame, scratch: Scratch) -> DataFrame:
+    """(v, common): for pivots with many classes, elements in which many of them differ from it, the commonest last.
+
+    Each task counts what it meets and names a bounded number of elements by pivot. This only orders elements, so what
+    it misses costs time and no link.
     """
-    sizes = left.groupBy("v").agg(F.count("*").alias("m")).where("m >= 8")
-    some = left.join(sizes, "v").where(f"pmod(xxhash64(u), greatest(1, m div {members})) = 0").select("u", "v")
+    many = left.groupBy("v").agg(F.count("*").alias("m")).where("m >= 32").select("v")
+
+    def counted(vs: list, es: list) -> Iterator[pa.RecordBatch]:
+        v = np.repeat(np.array(vs, np.int64), [len(e) for e in es])
+        e = np.concatenate(es)
+        order = np.lexsort((e, v))
+        v, e = v[order], e[order]
+        heads = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]) | (e[1:] != e[:-1])])
+        n = np.diff(np.r_[heads, len(e)])
+        v, e, n = v[heads][n > 2], e[heads][n > 2], n[n > 2]
+        order = np.lexsort((e, -n, v))
+        v, e, n = v[order], e[order], n[order]
+        place = np.arange(len(v)) - np.searchsorted(v, v)
+        top = place < COMMON
+        if top.any():
+            yield pa.RecordBatch.from_arrays([pa.array(v[top]), pa.array(e[top]), pa.array(n[top])], names=["v", "element", "n"])
 
     def run(batches):
+        vs, es, held = [], [], 0
         for b in batches:
             for v, (x, y) in zip(b.column("v").to_pylist(), _sorted_sets(b)):
-                e = np.concatenate([x[~_in(x, y)], y[~_in(y, x)]]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(e), v)), pa.array(e)], names=["v", "element"])
-
-    met = _with_sets(docs, classes, scratch.keep(some, "some"), rule, scratch).select("v", "x", "y").mapInArrow(run, "v long, element long")
-    often = met.groupBy("v", "element").agg(F.count("*").alias("m")).where("m >= 3")
-    return often.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("m", "element"))).alias("e")).select("v", F.col("e.element").alias("common"))
+                vs.append(v)
+                es.append(np.concatenate([x[~_in(x, y)], y[~_in(y, x)]]).view(np.int64))
+                held += len(es[-1])
+                if held > HELD:
+                    yield from counted(vs, es)
+                    vs, es, held = [], [], 0
+        if vs:
+            yield from counted(vs, es)
+
+    some = scratch.keep(left.join(many, "v", "left_semi").select("u", "v"), "some")
+    met = _with_sets(sets, some).select("v", "x", "y").mapInArrow(run, "v long, element long, n long")
+    often = met.groupBy("v", "element").agg(F.sum("n").alias("n"))
+    # The more tasks name elements for a pivot, the more of them repeat each other; the commonest of all are kept.
+    rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("n"), "element"))
+    often = often.withColumn("rank", rank).where(F.col("rank") <= 8 * COMMON)
+    return scratch.keep(often.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("n", "element"))).alias("e")).select("v", F.col("e.element").alias("common")), "common")
 
 
 def _mixed(tested: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -469,10 +539,19 @@ def _mixed(tested: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     placed = tested.join(comp.select(F.col("node").alias("u"), F.col("component").alias("c")), "u", "left").join(comp.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
     placed = scratch.keep(placed.withColumns({"c": F.coalesce("c", "u"), "cv": F.coalesce("cv", "v")}), "placed")
     pivots = placed.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("v")
-    return scratch.keep(placed.join(pivots, "v").drop("cv"), "mixed")
+    out = scratch.keep(placed.join(pivots, "v").drop("cv"), "mixed")
+    scratch.drop(comp)
+    scratch.drop(placed)
+    return out
 
 
 def keep_one_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
-    """The rows of ``df`` whose id is their component's, with all columns; rows with a null id stay."""
-    ids = jaccard_components(df, id_col, text_col, rule).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    return df.join(ids, df[id_col] == ids["_kept"], "left_semi").unionByName(df.where(F.col(id_col).isNull()))
+    """One row of ``df``, with all columns, for each component: that of the smallest id. Of rows that repeat that id one stays.
+
+    Rows with a null id are in no group and all stay, copies too.
+    """
+    found = jaccard_components(df, id_col, text_col, rule)
+    kept = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("_n"))
+    kept = Scratch(df.sparkSession, "kept").keep(kept, "ids")
+    once, more = (df.join(kept.where(c), df[id_col] == kept["_kept"], "left_semi") for c in ("_n = 1", "_n > 1"))
+    return once.unionByName(more.dropDuplicates([id_col])).unionByName(df.where(F.col(id_col).isNull()))

@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"), rule=Rule(size=4, num=85, den=100))
+    return jaccard_components(table(spark, sf_dir, "documents"), rule=Rule(size=4, num=85, den=100)).select("doc_id", "n_shingles", "component_id")
 
 
 def fold(other: str = "doc_id") -> Column:

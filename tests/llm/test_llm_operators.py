@@ -94,7 +94,7 @@ def test_jaccard_pairs_are_links_and_connect_components(spark):
     base = [f"w{i}" for i in range(120)]
     texts = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in (3, 40, 80, 118)] + [" ".join(base)] * 3 + ["other text of one", None]
     df, rule = frame(spark, texts), jaccard_join.Rule(4, 85, 100)
-    assert jaccard_join.jaccard_components(df, rule=rule).columns == ["doc_id", "n_shingles", "class_key", "class_size", "component_id"]
+    assert jaccard_join.jaccard_components(df, rule=rule).columns == ["doc_id", "n_shingles", "component_id", "class_key", "class_size"]
     pairs = [tuple(r) for r in jaccard_join.jaccard_pairs(df, rule=rule).collect()]
     assert len(set(pairs)) == len(pairs) and all(a < b for a, b in pairs)
     for a, b in pairs:
