@@ -1,7 +1,8 @@
 """Corpus pipeline: toxicity, quality rules, near-duplicates, benchmark decontamination, SentencePiece encoding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next stage's
-``docs``. The first four return the columns of documents; the last returns doc_id, lang, source, n_pieces and pieces.
+``docs``. The first four return the columns of documents; the last returns doc_id, lang, source, n_pieces, pieces and lossless (decoding the pieces
+gives the text).
 """
 
 from __future__ import annotations
@@ -43,8 +44,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations."""
-    return encode(docs, PIECE_MODEL).select("doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces")
+    """Sampled segmentations, and whether they decode to the text."""
+    out = encode(docs, PIECE_MODEL, decoded_col="decoded")
+    return out.select("doc_id", "lang", "source", F.size("pieces").cast("long").alias("n_pieces"), "pieces", F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
 STAGES: list[tuple[str, Stage]] = [("toxicity", toxicity), ("quality rules", quality_rules), ("n-gram Jaccard join", jaccard_join), ("benchmark decontamination", decontamination), ("SentencePiece encoding and decoding", sentencepiece)]

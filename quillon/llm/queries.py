@@ -16,7 +16,7 @@ from quillon.llm.language_model import score_texts
 from quillon.llm.quality_classifier import classify
 from quillon.llm.quality_rules import quality_cascade
 from quillon.llm.scratch import Scratch
-from quillon.llm.sentencepiece_sampling import decode, encode
+from quillon.llm.sentencepiece_sampling import encode
 from quillon.llm.sharding import shard, write_shards
 from quillon.llm.toxicity import fit_toxicity, score_toxicity
 from quillon.llm.url_filter import filter_urls, parse_rule
@@ -87,7 +87,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = decode(encode(docs, PIECE_MODEL), PIECE_MODEL)
+    out = encode(docs, PIECE_MODEL, decoded_col="decoded")
     return out.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.xxhash64("pieces").alias("pieces_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 

@@ -22,19 +22,21 @@ draw as key 0, equal rows draw equally.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm.tokens import chunks, mix
 
 ALPHA, SEED = 1.0, 0
 LONG = 48
-CHUNK = 1 << 19
+CHUNK = 1 << 21
+FILTER_BITS = 17
 #: Distinct units in one vectorised pass.
 DISTINCT = 8_000
 _U = np.uint64
@@ -44,10 +46,10 @@ _MARK = 0x2581
 class Pieces:
     """The vocabulary as tables: piece hashes by length, weights, bytes of each piece."""
 
-    def __init__(self, path: str, alpha: float):
+    def __init__(self, model: bytes, alpha: float):
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = sp.vocab_size()
         self.byte_ids = np.full(256, -1, np.int32)
         by_length: dict[int, list[tuple[int, int]]] = {}
@@ -82,7 +84,10 @@ class Pieces:
             items.sort()
             h = np.array([x for x, _ in items], np.uint64)
             assert len(np.unique(h)) == len(h)
-            self.tables[length] = (h, np.array([i for _, i in items], np.int32))
+            # Most runs of characters are no piece: a table of the hashes' first bits says so without a search.
+            seen = np.zeros(1 << FILTER_BITS, bool)
+            seen[h >> _U(64 - FILTER_BITS)] = True
+            self.tables[length] = (h, np.array([i for _, i in items], np.int32), seen)
         self.single = np.zeros(0x110000, bool)
         self.single[[ord(x) for x in singles]] = True
         self.single[[0x20, _MARK]] = [("▁" in singles), False]
@@ -100,15 +105,25 @@ class Pieces:
 
     def lookup(self, length: int, h: np.ndarray) -> np.ndarray:
         """Piece ids, -1 where there is none."""
-        keys, ids = self.tables[length]
-        at = np.searchsorted(keys, h)
+        keys, ids, seen = self.tables[length]
+        out = np.full(len(h), -1, np.int32)
+        some = np.flatnonzero(seen[h >> _U(64 - FILTER_BITS)])
+        own = h[some]
+        at = np.searchsorted(keys, own)
         at[at == len(keys)] = 0
-        return np.where(keys[at] == h, ids[at], -1)
+        out[some] = np.where(keys[at] == own, ids[at], -1)
+        return out
 
 
 @lru_cache(maxsize=2)
-def pieces(path: str, alpha: float = ALPHA) -> Pieces:
-    return Pieces(path, alpha)
+def pieces(model: bytes, alpha: float = ALPHA) -> Pieces:
+    return Pieces(model, alpha)
+
+
+def _shipped(spark: SparkSession, path: str):
+    """The model file's bytes, read by the driver and broadcast (a file of some hundred KB): workers need no such path."""
+    with open(path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
 
 
 def _uniform(key: np.ndarray, unit: np.ndarray, step: int) -> np.ndarray:
@@ -138,33 +153,30 @@ def encode_chunk(codes: np.ndarray, texts: np.ndarray, keys: np.ndarray, p: Piec
     text = np.searchsorted(texts, start, "right") - 1
     number = (np.arange(len(start)) - np.searchsorted(start, texts[text])).astype(np.uint64)
     key = keys[text]
-    out_unit, out_place, out_id = [], [], []
+    # Pieces begin at characters of their own; a character without a piece gives as many as it has bytes.
+    piece = np.full(len(codes), -1, np.int32)
+    count = np.zeros(len(codes), np.int64)
     bare = ~p.single[codes[start]]
-    if bare.any():
-        at = np.flatnonzero(bare)
-        raw = [chr(c).encode("utf-8", "surrogatepass") for c in codes[start[at]]]
-        n = np.array([len(x) for x in raw])
-        out_unit.append(np.repeat(at, n))
-        out_place.append(np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-        out_id.append(p.byte_ids[np.frombuffer(b"".join(raw), np.uint8)])
     marked = np.where(codes == 0x20, _MARK, codes)
     for lo, hi in ((1, 4), (5, 8), (9, 12), (13, 20), (21, LONG)):
         at = np.flatnonzero(~bare & (size >= lo) & (size <= hi))
         if len(at):
             for x, y, z in _draw(marked, start[at], size[at], key[at], number[at], hi, p):
-                out_unit.append(at[x])
-                out_place.append(y)
-                out_id.append(z)
+                piece[start[at[x]] + y] = z
     for u in np.flatnonzero(~bare & (size > LONG)):
-        ids = _draw_long(marked[start[u] : start[u] + size[u]], key[u : u + 1], number[u : u + 1], p)
-        out_unit.append(np.full(len(ids), u))
-        out_place.append(np.arange(len(ids)))
-        out_id.append(ids)
-    unit, place, ids = np.concatenate(out_unit), np.concatenate(out_place), np.concatenate(out_id)
-    # Places are ascending character positions or counts within a unit, under 2**32.
-    order = np.argsort((unit.astype(np.int64) << 32) + place, kind="stable")
-    unit, ids = unit[order], ids[order].astype(np.int32)
-    return ids, np.searchsorted(text[unit], np.arange(len(texts)))
+        places, ids = _draw_long(marked[start[u] : start[u] + size[u]], key[u : u + 1], number[u : u + 1], p)
+        piece[start[u] + places] = ids
+    count[piece >= 0] = 1
+    own = start[bare]
+    raw = [chr(c).encode("utf-8", "surrogatepass") for c in codes[own]]
+    count[own] = [len(x) for x in raw]
+    first = np.r_[0, np.cumsum(count)]
+    ids = np.empty(first[-1], np.int32)
+    ids[first[:-1][piece >= 0]] = piece[piece >= 0]
+    if len(own):
+        n = count[own]
+        ids[np.arange(n.sum()) + np.repeat(first[own] - (np.cumsum(n) - n), n)] = p.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
+    return ids, first[texts]
 
 
 def _edges(grid: np.ndarray, size: np.ndarray, p: Pieces) -> tuple[np.ndarray, list[int]]:
@@ -174,30 +186,32 @@ def _edges(grid: np.ndarray, size: np.ndarray, p: Pieces) -> tuple[np.ndarray, l
     ids = np.full((len(lengths), n, width + 1), -1, np.int32)
     with np.errstate(over="ignore"):
         mixed = mix(grid.astype(np.uint64) + _U(1))
-        for k, length in enumerate(lengths):
+        h = np.zeros((n, width), np.uint64)
+        for length in range(1, (lengths or [0])[-1] + 1):
             span = width - length + 1
-            h = np.zeros((n, span), np.uint64)
-            for j in range(length):
-                h = h * _U(0x9E3779B97F4A7C15) + mixed[:, j : j + span]
-            found = p.lookup(length, h.ravel()).reshape(n, span)
-            ends = np.arange(length, width + 1)
-            ids[k, :, length:] = np.where(ends[None, :] <= size[:, None], found, -1)
+            h = h[:, :span] * _U(0x9E3779B97F4A7C15) + mixed[:, length - 1 :]
+            if length in p.tables:
+                found = p.lookup(length, h.ravel()).reshape(n, span)
+                ends = np.arange(length, width + 1)
+                ids[lengths.index(length), :, length:] = np.where(ends[None, :] <= size[:, None], found, -1)
     return ids, lengths
 
 
 def _forward(ids: np.ndarray, lengths: list[int], p: Pieces) -> np.ndarray:
     """For each unit and position the cumulated sums of the edges that end there; the last is the sum of all ways to reach it."""
     kinds, n, ends = ids.shape
-    w = np.where(ids >= 0, p.weight[ids], 0.0)
-    alpha = np.zeros((n, ends))
-    alpha[:, 0] = 1
+    w = np.where(ids >= 0, p.weight[ids], 0.0).transpose(2, 0, 1).copy()
+    lens = np.array(lengths)
+    alpha = np.zeros((ends, n))
+    alpha[0] = 1
     share = np.zeros((n, ends, kinds))
     for j in range(1, ends):
-        for k, length in enumerate(lengths):
-            if length <= j:
-                share[:, j, k] = alpha[:, j - length] * w[k, :, j]
-        alpha[:, j] = share[:, j].sum(axis=1)
-    return np.cumsum(share, axis=2)
+        here = lens <= j
+        ways = np.cumsum(alpha[j - lens[here]] * w[j, here], axis=0)
+        alpha[j] = ways[-1]
+        share[:, j, here] = ways.T
+        share[:, j, ~here] = ways[-1][:, None]
+    return share
 
 
 def _draw(codes: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray, number: np.ndarray, width: int, p: Pieces):
@@ -228,31 +242,50 @@ def _draw(codes: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarra
             step += 1
 
 
-def _draw_long(codes: np.ndarray, key: np.ndarray, number: np.ndarray, p: Pieces) -> np.ndarray:
-    """One unit of any length, its sums as logarithms."""
+def _draw_long(codes: np.ndarray, key: np.ndarray, number: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Start characters and ids of the pieces of one unit of any length. Its sums are scaled back now and then, each with the power it was scaled by."""
     n = len(codes)
-    ids = {x: p.lookup(x, p._hash(np.lib.stride_tricks.sliding_window_view(codes, x))).tolist() for x in p.lengths if x <= n}
-    weights = np.log(np.where(p.weight > 0, p.weight, 1)).tolist()
-    alpha = [0.0] * (n + 1)
-
-    def into(j: int) -> list[tuple[int, int, float]]:
-        """(length, piece, log of the sum of the ways that end with it) of the edges that end at j."""
-        return [(x, i, alpha[j - x] + weights[i]) for x, found in ids.items() if x <= j and (i := found[j - x]) >= 0]
+    end, length, ids = [], [], []
+    for x in p.lengths:
+        if x <= n:
+            found = p.lookup(x, p._hash(np.lib.stride_tricks.sliding_window_view(codes, x)))
+            at = np.flatnonzero(found >= 0)
+            end.append(at + x)
+            length.append(np.full(len(at), x))
+            ids.append(found[at])
+    end, length, ids = np.concatenate(end), np.concatenate(length), np.concatenate(ids)
+    order = np.argsort(end, kind="stable")
+    first = np.searchsorted(end[order], np.arange(n + 2)).tolist()
+    weight = p.weight[ids[order]].tolist()
+    length, ids = length[order].tolist(), ids[order].tolist()
+    alpha, power = [1.0], [0]
+
+    def ways(j: int) -> list[float]:
+        """For the edges that end at j, sums of the ways that end with them and those before, on the scale of position j - 1."""
+        scale, total, out = power[j - 1], 0.0, []
+        for e in range(first[j], first[j + 1]):
+            i = j - length[e]
+            x = alpha[i] * weight[e]
+            total += x if power[i] == scale else math.ldexp(x, power[i] - scale)
+            out.append(total)
+        return out
 
     for j in range(1, n + 1):
-        logs = [x for _, _, x in into(j)]
-        top = max(logs)
-        alpha[j] = top + math.log(sum(math.exp(x - top) for x in logs))
-    out, j, step = [], n, 0
+        total, scale = ways(j)[-1], power[j - 1]
+        if total < 2.0**-500:
+            total, scale = total * 2.0**500, scale - 500
+        alpha.append(total)
+        power.append(scale)
+    places, out, j, step = [], [], n, 0
     while j > 0:
-        edges = into(j)
-        shares = np.cumsum([math.exp(x - alpha[j]) for _, _, x in edges])
+        shares = ways(j)
         u = float(_uniform(key, number, step)[0]) * shares[-1]
-        length, i, _ = edges[min(int((shares <= u).sum()), len(edges) - 1)]
-        out.append(i)
-        j -= length
+        e = first[j] + min(bisect_right(shares, u), len(shares) - 1)
+        out.append(ids[e])
+        j -= length[e]
+        places.append(j)
         step += 1
-    return np.array(out[::-1], np.int32)
+    return np.array(places), np.array(out, np.int32)
 
 
 def decode_ids(ids: np.ndarray, first: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -270,13 +303,20 @@ def _code_points(c) -> tuple[np.ndarray, np.ndarray]:
     return codes, heads[c.offsets]
 
 
-def encode(df: DataFrame, model: str, key_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """``df`` with one more column, ``pieces`` (array of ids; a column of that name is replaced)."""
-    cols = [c for c in df.columns if c != "pieces"]
+def _strings(data: np.ndarray, at: np.ndarray, null: pa.Array | None) -> pa.Array:
+    text = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))).cast(pa.string())
+    return text if null is None else pa.compute.if_else(null, pa.scalar(None, pa.string()), text)
+
+
+def encode(df: DataFrame, model: str, key_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, seed: int = SEED, decoded_col: str | None = None) -> DataFrame:
+    """``df`` with one more column, ``pieces`` (array of ids), and the texts decoded from them in ``decoded_col``, if named; columns of these names are replaced."""
+    new = ["pieces", *([decoded_col] if decoded_col else [])]
+    cols = [c for c in df.columns if c not in new]
     k = cols.index(text_col)
+    shipped = _shipped(df.sparkSession, model)
 
     def run(batches):
-        p = pieces(model, alpha)
+        p = pieces(shipped.value, alpha)
         for b in batches:
             key = b.column(len(cols)).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             with np.errstate(over="ignore"):
@@ -288,12 +328,15 @@ def encode(df: DataFrame, model: str, key_col: str = "doc_id", text_col: str = "
                 ids, first = encode_chunk(codes, texts, key[c.lo : c.hi], p)
                 part = b.slice(lo, c.hi - lo)
                 lo = c.hi
-                null = np.asarray(text.slice(c.lo, c.hi - c.lo).is_null())
-                lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids), mask=pa.array(null) if null.any() else None)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(cols)], lists], names=[*cols, "pieces"])
+                null = text.slice(c.lo, c.hi - c.lo).is_null() if text.null_count else None
+                out = [pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids), mask=null)]
+                if decoded_col:
+                    out.append(_strings(*decode_ids(ids, first, p), null))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(cols)], *out], names=[*cols, *new])
 
     src = df.select(*cols, F.coalesce(F.col(key_col).cast("long"), F.lit(0).cast("long")).alias("_draw"))
-    schema = df.select(cols).withColumn("pieces", F.lit(None).cast("array<int>")).schema
+    kinds = {"pieces": "array<int>", decoded_col: "string"}
+    schema = df.select(cols).withColumns({c: F.lit(None).cast(kinds[c]) for c in new}).schema
     return src.mapInArrow(run, schema)
 
 
@@ -301,19 +344,17 @@ def decode(df: DataFrame, model: str, pieces_col: str = "pieces", out_col: str =
     """``df`` with the texts of its pieces in ``out_col``."""
     cols = [c for c in df.columns if c != out_col]
     k = cols.index(pieces_col)
+    shipped = _shipped(df.sparkSession, model)
 
     def run(batches):
-        p = pieces(model)
+        p = pieces(shipped.value)
         for b in batches:
             for lo in range(0, b.num_rows, 200):
                 part = b.slice(lo, 200)
                 lists = part.column(k)
                 n = np.asarray(lists.value_lengths().fill_null(0), dtype=np.int64)
                 ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                data, at = decode_ids(ids, np.r_[0, np.cumsum(n)], p)
-                text = pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))).cast(pa.string())
-                if lists.null_count:
-                    text = pa.compute.if_else(lists.is_null(), pa.scalar(None, pa.string()), text)
+                text = _strings(*decode_ids(ids, np.r_[0, np.cumsum(n)], p), lists.is_null() if lists.null_count else None)
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(cols)], text], names=[*cols, out_col])
 
     schema = df.select(cols).withColumn(out_col, F.lit(None).cast("string")).schema

@@ -266,6 +266,24 @@ def test_decontamination_equals_brute_force(spark, block, shortest):
     assert decontaminate.find_contamination(frame(spark, texts), bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_decontamination_in_many_blocks(spark):
+    """Blocks in several passes find what one block finds; a worker builds each automaton once, and the driver reads one pass at a time."""
+    rng = random.Random(7)
+    items = spark.createDataFrame([(i % 50, " ".join(f"x{rng.randrange(400)}" for _ in range(rng.randrange(3, 40)))) for i in range(60)], "item_id long, text string")
+    items = items.unionByName(items.limit(5)).unionByName(spark.createDataFrame([(None, "only here now"), (7, None)], items.schema))
+    listed = [r["text"] or "" for r in items.collect()]
+    texts = [" ".join(rng.choice(listed) if rng.random() < 0.4 else f"y{rng.randrange(99)}" for _ in range(12)) for _ in range(60)] + [None, "", "z " * 30_000 + listed[0]]
+    df = frame(spark, texts + texts[:4]).withColumn("spans", F.lit(1))
+    whole, split = (decontaminate.find_contamination(df, items, block_words=n).orderBy("doc_id").collect() for n in (10**6, 120))
+    scratch_ = scratch.Scratch(spark, "blocks")
+    blocks = decontaminate.ItemBlocks(items, "item_id", "text", 120, scratch_)
+    assert blocks.passes >= 3 and all(len(blocks.read(i)[1]) <= decontaminate.PASS for i in range(blocks.passes))
+    assert whole == split and any(r["n_hit"] for r in whole)
+    left = [sorted(decontaminate.decontaminate(df, items, block_words=n).collect(), key=lambda r: (r["doc_id"], r["text"] or "")) for n in (10**6, 120)]
+    assert left[0] == left[1]
+    assert decontaminate.find_contamination(df.limit(0), items).count() == 0
+
+
 # --- url filter -------------------------------------------------------------------------------------------------------
 def test_url_filter_equals_brute_force(spark):
     rng = random.Random(1)
@@ -297,7 +315,8 @@ def test_sentencepiece_is_lossless_and_reproducible(spark):
 
 def test_sentencepiece_samples_the_lattice():
     """Shares of drawn segmentations against all segmentations of a word, for the vectorised and the one-by-one form."""
-    p = sentencepiece_sampling.pieces(PIECE_MODEL)
+    with open(PIECE_MODEL, "rb") as f:
+        p = sentencepiece_sampling.pieces(f.read())
     text = " there"
     codes = np.array([ord(c) for c in text])
     marked = np.where(codes == 32, 0x2581, codes)
