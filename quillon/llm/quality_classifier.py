@@ -2,12 +2,13 @@
 
 A row's statistics are ratios and logarithms of counts in its whole text. Class moments are sums over all labelled
 training rows, so they come from one grouped aggregate and nothing is sampled. Each class covariance S becomes
-(1 - a) S + a diag(v) + r I, with v the pooled variances; its Cholesky factor is kept, and a score is the
-logistic function of the log-density difference (Mahalanobis terms by triangular solve) plus the log prior ratio,
+(1 - a) S + a diag(v) + r I, with v the pooled variances; the inverse of its Cholesky factor is computed once and kept, and a score is the
+logistic function of the log-density difference (Mahalanobis terms: squared lengths of that inverse times the centred row) plus the log prior ratio,
 divided by ``TEMPER`` so that clear cases keep an order.
 
 Nulls and empty texts have all counts 0 and get a score like any other. Without training rows of both classes each
-score is the share of class 1 (0.5 with no row at all). Repeated rows count as often as they come.
+score is the share of class 1 (0.5 with no row at all). Repeated rows count as often as they come, and an id with both labels counts for both
+classes. Columns other than the named ones aren't read.
 """
 
 from __future__ import annotations
@@ -95,7 +96,8 @@ def with_statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 @dataclass
 class Discriminant:
     mean: np.ndarray
-    chol: np.ndarray
+    #: Inverses of the Cholesky factors.
+    whiten: np.ndarray
     log_det: np.ndarray
     log_prior: np.ndarray
     share: float
@@ -105,8 +107,8 @@ class Discriminant:
             return np.full(len(x), self.share)
         dens = []
         for k in (0, 1):
-            z = np.linalg.solve(self.chol[k], (x - self.mean[k]).T)
-            dens.append(self.log_prior[k] - 0.5 * (z * z).sum(axis=0) - 0.5 * self.log_det[k])
+            z = (x - self.mean[k]) @ self.whiten[k].T
+            dens.append(self.log_prior[k] - 0.5 * (z * z).sum(axis=1) - 0.5 * self.log_det[k])
         return 1 / (1 + np.exp(-np.clip((dens[1] - dens[0]) / TEMPER, -500, 500)))
 
 
@@ -129,7 +131,7 @@ def fit(rows: DataFrame, label: str) -> Discriminant:
     a = np.minimum(1, SHRINK + d / n)[:, None, None]
     cov = (1 - a) * cov + a * np.diag(pooled) + RIDGE * np.eye(d)
     chol = np.linalg.cholesky(cov)
-    return Discriminant(mean, chol, 2 * np.log(np.diagonal(chol, axis1=1, axis2=2)).sum(axis=1), np.log(n / total), n[1] / total)
+    return Discriminant(mean, np.linalg.inv(chol), 2 * np.log(np.diagonal(chol, axis1=1, axis2=2)).sum(axis=1), np.log(n / total), n[1] / total)
 
 
 def classify(df: DataFrame, labels: DataFrame, label: str, train: "object", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
