@@ -9,18 +9,25 @@ Messages are one table: (conv_id, turn, role, text, call_id, name, arguments, an
   call's level, other messages keep the level of the last call before them. (level, turn) sorts a
   conversation so that every result follows its call and every call follows what it builds on. Where a conversation's calls
   only build on earlier ones, the order of turns is such an order and levels are its numbers, whatever the chain's length.
-  Other conversations get theirs by repeated joins, as many as their longest chain (a call is one level above the highest
-  it comes after); calls on a cycle, or after one, get no level.
+  Other conversations get theirs by repeated joins (a call is one level above the highest it comes after). A round settles all calls
+  whose predecessors are settled and lets the others skip predecessors that have one predecessor themselves, so a plain chain of n calls takes about
+  log n rounds; only calls that each build on several unsettled ones need a round a level. Calls on a cycle, or after one, get no level.
 * Arguments are valid if they are a JSON object with all required keys, no unknown ones and the stated types.
 * A message's canonical JSON has sorted keys, no white space and only the escapes that JSON asks for.
 
 Statuses: ok, no_result (a call without one), no_call (a result without one), repeated_call (an identifier called
 twice: the earliest turn counts), bad_arguments, unknown_tool, cycle; null for a plain message. Nulls in conv_id or turn are
-values like any other; null text is an empty text. One row out for each row in, so no conversation is gathered.
+values like any other; null text is an empty text. Messages of one turn are ordered by their content, so the order of the input doesn't matter;
+of rows that are equal as a whole any may come first. Other columns of the table aren't read.
+
+One row out for each row in. Messages are dealt by range of (conversation, turn, content), so a long conversation lies in many
+partitions; what runs along a conversation is taken within a partition and carried over by one row a partition (``Lane``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,10 +59,36 @@ def canonical(arguments: Column) -> Column:
     return F.to_json(F.try_parse_json(arguments))
 
 
+def in_lanes(rows: DataFrame, order: list, scratch: Scratch) -> DataFrame:
+    """``rows``, written, with seq: numbers in the order asked for, whose bits from 33 up name a range partition."""
+    keyed = rows.withColumns({f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)})
+    keys = [f"_o{i}" for i in range(len(order))]
+    return scratch.keep(keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*keys).withColumn("seq", F.monotonically_increasing_id()), "rows")
+
+
+class Lane:
+    """What runs along conversations over rows with columns conv, seq, whose upper bits are the number of a range partition.
+
+    A conversation's rows in one partition are one group; groups before a partition are one row each, so no task holds a long conversation.
+    """
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows.withColumn("lane", F.shiftright("seq", 33))
+
+    def carried(self, value: Column, name: str, fold: Callable = F.max, through: int = 0) -> DataFrame:
+        """``rows`` with ``name``, the maximum or sum of ``value`` over the conversation's rows so far: the row itself included, or up to the one before it (``through`` = -1)."""
+        rows = self.rows.withColumn("value", value)
+        before = Window.partitionBy("conv").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+        groups = rows.groupBy("conv", "lane").agg(fold("value").alias("whole")).select("conv", "lane", fold("whole").over(before).alias("carry"))
+        here = Window.partitionBy("conv", "lane").orderBy("seq").rowsBetween(Window.unboundedPreceding, through)
+        both = F.greatest("carry", "own") if fold is F.max else F.coalesce("carry", F.lit(0)) + F.coalesce("own", F.lit(0))
+        return rows.withColumn("own", fold("value").over(here)).join(groups, ["conv", "lane"]).withColumn(name, both).drop("value", "own", "carry", "lane")
+
+
 def _levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
     """(conv, id, level) of the calls that aren't on or after a cycle. Names of calls that don't exist don't hold a call up."""
-    place = F.row_number().over(Window.partitionBy("conv").orderBy("t", "first_seq"))
-    calls = scratch.keep(calls.select("conv", "id", "after", place.alias("level")), "places")
+    numbered = Lane(calls.select("conv", "id", "after", F.col("first_seq").alias("seq"))).carried(F.lit(1), "level", F.sum)
+    calls = scratch.keep(numbered.select("conv", "id", "after", F.col("level").cast("int").alias("level")), "places")
     at = calls.select("conv", F.col("id").alias("before"), F.col("level").alias("before_level"))
     edges = calls.select("conv", "id", "level", F.explode("after").alias("before")).join(at, ["conv", "before"])
     forward = scratch.keep(edges.where("before_level >= level").select("conv").distinct(), "forward")
@@ -66,17 +99,23 @@ def _levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _longest_chains(calls: DataFrame, scratch: Scratch) -> DataFrame:
+    """Edges say that a call lies at least ``far`` levels above another."""
     edges = calls.select("conv", "id", F.explode("after").alias("before"))
-    edges = scratch.keep(edges.join(calls.select(F.col("conv"), F.col("id").alias("before")), ["conv", "before"]).distinct(), "edges")
+    edges = scratch.keep(edges.join(calls.select(F.col("conv"), F.col("id").alias("before")), ["conv", "before"]).distinct().select("conv", "id", "before", F.lit(1).alias("far")), "edges")
     done = calls.join(edges, ["conv", "id"], "left_anti").select("conv", "id", F.lit(1).alias("level"))
     done = scratch.keep(done, "level")
     while not edges.isEmpty():
         left = edges.join(done.select("conv", F.col("id").alias("before"), "level"), ["conv", "before"], "left")
-        ready = left.groupBy("conv", "id").agg(F.count_if(F.col("level").isNull()).alias("open"), (F.max("level") + 1).alias("level")).where("open = 0").select("conv", "id", "level")
+        ready = left.groupBy("conv", "id").agg(F.count_if(F.col("level").isNull()).alias("open"), F.max(F.col("level") + F.col("far")).alias("level")).where("open = 0").select("conv", "id", "level")
         ready = scratch.keep(ready, "ready")
         if ready.isEmpty():
+            # Without a cycle some call has only settled predecessors.
             break
-        rest = scratch.keep(edges.join(ready, ["conv", "id"], "left_anti"), "edges")
+        rest = edges.join(ready, ["conv", "id"], "left_anti")
+        # A predecessor that isn't settled and has one predecessor itself gives way to that.
+        one = rest.groupBy("conv", F.col("id").alias("before")).agg(F.count("*").alias("n"), F.first("before").alias("up"), F.first("far").alias("more")).where("n = 1").drop("n")
+        rest = rest.join(one, ["conv", "before"], "left").groupBy("conv", "id", F.coalesce("up", "before").alias("to")).agg(F.max(F.col("far") + F.coalesce("more", F.lit(0))).alias("far"))
+        rest = scratch.keep(rest.select("conv", "id", F.col("to").alias("before"), "far"), "edges")
         both = scratch.keep(done.unionByName(ready), "level")
         for t in (edges, done, ready):
             scratch.drop(t)
@@ -88,15 +127,18 @@ def format_chat(messages: DataFrame, tools: Tools) -> DataFrame:
     """conv_id, turn, role, call_id, answers, status, level and json, one row per message."""
     scratch = Scratch(messages.sparkSession, "chat")
     m = messages.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("\0")).alias("conv"), "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), "call_id", "name", "arguments", "answers", F.coalesce("after", F.array().cast("array<string>")).alias("after"))
-    m = scratch.keep(m.withColumn("seq", F.monotonically_increasing_id()), "messages")
+    m = in_lanes(m, ["conv", "turn", F.xxhash64("role", "text", "call_id", "name", "arguments", "answers", "after")], scratch)
     calls = m.where("call_id is not null")
-    first = calls.groupBy("conv", F.col("call_id").alias("id")).agg(F.min(F.struct(F.coalesce("turn", F.lit(-1)).alias("t"), "seq", "after")).alias("f")).select("conv", "id", F.col("f.t").alias("t"), F.col("f.seq").alias("first_seq"), F.col("f.after").alias("after"))
+    first = calls.groupBy("conv", F.col("call_id").alias("id")).agg(F.min(F.struct("seq", "after")).alias("f")).select("conv", "id", F.col("f.seq").alias("first_seq"), F.col("f.after").alias("after"))
     first = scratch.keep(first, "calls")
     levels = _levels(first, scratch)
     known = first.select("conv", "id", "first_seq").join(levels, ["conv", "id"], "left")
     results = m.where("answers is not null").select("conv", F.col("answers").alias("id")).distinct().withColumn("answered", F.lit(True))
     known = known.join(results, ["conv", "id"], "left").select("conv", F.col("id").alias("link"), "first_seq", "level", "answered")
-    m = m.withColumn("link", F.coalesce("call_id", "answers")).join(known, ["conv", "link"], "left")
+    # A message without a link meets nothing; by its own number it isn't dealt to one task with all others of its conversation.
+    m = m.withColumn("link", F.coalesce("call_id", "answers"))
+    own = F.when(F.col("link").isNull(), F.concat(F.lit("\0"), F.col("seq").cast("string"))).otherwise(F.col("conv"))
+    m = m.withColumn("at", own).join(known.select(F.col("conv").alias("at"), "link", "first_seq", "level", "answered"), ["at", "link"], "left").drop("at")
     is_call = F.col("call_id").isNotNull()
     status = (
         F.when(is_call & (F.col("seq") != F.col("first_seq")), "repeated_call")
@@ -104,8 +146,8 @@ def format_chat(messages: DataFrame, tools: Tools) -> DataFrame:
         .when(is_call, F.coalesce(argument_faults(F.col("name"), F.col("arguments"), tools), F.when(F.col("answered"), "ok").otherwise("no_result")))
         .when(F.col("answers").isNotNull(), F.when(F.col("first_seq").isNull(), "no_call").when(F.col("level").isNull(), "cycle").otherwise("ok"))
     )
-    so_far = Window.partitionBy("conv").orderBy("turn", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    level = F.when(F.col("link").isNull(), F.coalesce(F.max("level").over(so_far), F.lit(0))).otherwise(F.col("level"))
+    m = Lane(scratch.keep(m.withColumn("status", status), "linked")).carried(F.col("level"), "so_far")
+    level = F.when(F.col("link").isNull(), F.coalesce("so_far", F.lit(0))).otherwise(F.col("level"))
     parts = F.array_compact(F.array(
         F.when(is_call, F.concat(F.lit('"arguments":'), F.coalesce(canonical(F.col("arguments")), F.lit("null")))),
         F.when(is_call, _field("call_id")),
@@ -114,7 +156,7 @@ def format_chat(messages: DataFrame, tools: Tools) -> DataFrame:
         F.when(F.col("answers").isNotNull(), _field("answers", "result_of")),
         _field("role"),
     ))
-    return m.select("conv_id", "turn", "role", "call_id", "answers", status.alias("status"), level.alias("level"), F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("json"))
+    return m.select("conv_id", "turn", "role", "call_id", "answers", "status", level.alias("level"), F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}")).alias("json"))
 
 
 def _field(column: str, key: str | None = None) -> Column:

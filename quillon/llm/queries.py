@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import oracles
-from quillon.llm.chat_format import format_chat
+from quillon.llm.chat_format import Lane, format_chat, in_lanes
 from quillon.llm.decontaminate import find_contamination
 from quillon.llm.jaccard_join import Rule, jaccard_components
 from quillon.llm.language_model import score_texts
@@ -66,9 +66,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chat_messages(conversations: DataFrame) -> DataFrame:
     """User turns as calls of the tool "reply", named by their turn, after the user turn before; assistant turns as results of the user turn before."""
-    before = Window.partitionBy("conv_id").orderBy("turn")
-    asked = F.when(F.col("role") == "user", F.col("turn"))
-    last = F.last(asked, ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    rows = conversations.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("\0")))
+    rows = in_lanes(rows, ["conv", "turn", F.xxhash64("role", "text")], Scratch(conversations.sparkSession, "turns"))
+    asked = F.when((F.col("role") == "user") & F.col("turn").isNotNull(), F.struct("seq", "turn"))
+    conversations = Lane(rows).carried(asked, "asked", through=-1)
+    last = F.col("asked.turn")
     name = lambda turn: F.concat(F.lit("t"), turn.cast("string"))
     is_user = F.col("role") == "user"
     return conversations.select(
