@@ -40,3 +40,19 @@ def latest_version_by_join(df: DataFrame, keys: list[str], version: str) -> Data
 
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= n)
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[Column], kind: str = "row_number", n: int | None = None, out: str = "rank") -> DataFrame:
+    """With each row's place in its group: row_number, rank, dense_rank, or ntile (one of ``n`` parts of nearly equal size). Where it isn't ntile, ``n`` keeps the places up to it."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    if kind == "ntile":
+        return df.withColumn(out, F.ntile(n).over(w))
+    ranked_ = df.withColumn(out, {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[kind]().over(w))
+    return ranked_ if n is None else ranked_.where(F.col(out) <= n)
+
+
+def rolling(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, rows: int | None = None, span: int | None = None) -> DataFrame:
+    """Running sum of ``value``: over all rows so far, the last ``rows`` (the row itself included), or those at most ``span`` before it by one numeric order column."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    w = w.rangeBetween(-span, 0) if span is not None else w.rowsBetween(Window.unboundedPreceding if rows is None else 1 - rows, 0)
+    return df.withColumn(out, F.sum(value).over(w))

@@ -1,21 +1,39 @@
-"""Full-text index and search: postings with positions, Boolean, prefix, phrase and nearness queries, BM25 ranks."""
+"""Full-text index and search: postings with positions, Boolean, prefix, phrase and nearness queries, BM25 ranks, stored indexes."""
 
 from __future__ import annotations
 
+import unicodedata
+import zlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Accented Latin letters and what they fold to.
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnyy"
+from quillon.operators.merge import Snapshots
+
 TOKEN = r"([\p{L}\p{N}\p{Co}]+)"
 K1, B = 1.2, 0.75
+#: Parts of a stored index, by word.
+BUCKETS = 64
+
+
+def _folds() -> dict[str, str]:
+    """Latin letters with one mark, and the letter without it: those that decompose into an ASCII letter and one more code point. The long s is an s."""
+    out = {"\u017f": "s"}
+    for x in map(chr, range(0xC0, 0x2000)):
+        parts = unicodedata.normalize("NFD", x.lower())
+        if len(parts) == 2 and "a" <= parts[0] <= "z":
+            out[x.lower()] = parts[0]
+    return out
+
+
+_FOLDS = _folds()
+#: Combining marks that are left out of words, so a letter and its mark are the letter.
+_MARKS = "".join(map(chr, range(0x300, 0x332)))
 
 
 def fold(c: Column) -> Column:
-    return F.translate(F.lower(c), ACCENTED, PLAIN)
+    return F.translate(F.lower(c), "".join(_FOLDS) + _MARKS, "".join(_FOLDS.values()))
 
 
 def tokens(c: Column) -> Column:
@@ -23,53 +41,82 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(fold(F.coalesce(c, F.lit(""))), F.lit(TOKEN), F.lit(1))
 
 
+def bucket(c: Column) -> Column:
+    return F.pmod(F.crc32(c.cast("binary")), F.lit(BUCKETS)).cast("int")
+
+
 @dataclass
 class FtsIndex:
-    """postings: (doc, column, term, pos); lengths: (doc, length). Both are derived and stay as built until built again."""
+    """postings: (doc, column, term, pos); lengths: (doc, length).
+
+    An index from ``build_index`` follows its table: each action splits the texts again. One from ``FtsStore`` is what was stored, whatever happens to
+    the table, until it's built again; its postings lie in BUCKETS folders by word, so a query of words reads only theirs.
+    """
 
     postings: DataFrame
     lengths: DataFrame
+    stored: bool = False
 
     # --- matching -------------------------------------------------------------------------------------------------
+    def words(self, words: list[str], column: str | None = None) -> DataFrame:
+        """Postings of the words, in one column or all."""
+        p = self.postings if column is None else self.postings.where(F.col("column") == column)
+        if self.stored:
+            p = p.where(F.col("bucket").isin(sorted({zlib.crc32(w.encode()) % BUCKETS for w in words})))
+        return p.where(F.col("term").isin(*words))
+
     def term(self, word: str, column: str | None = None, prefix: bool = False) -> DataFrame:
+        if not prefix:
+            return self.words([word], column).select("doc").distinct()
         p = self.postings if column is None else self.postings.where(F.col("column") == column)
-        return p.where(F.col("term").startswith(word) if prefix else F.col("term") == word).select("doc").distinct()
+        return p.where(F.col("term").startswith(word)).select("doc").distinct()
 
-    def all_of(self, words: list[str]) -> DataFrame:
-        hits = self.postings.where(F.col("term").isin(*words)).groupBy("doc").agg(F.count_distinct("term").alias("n"))
+    def all_of(self, words: list[str], column: str | None = None) -> DataFrame:
+        hits = self.words(words, column).groupBy("doc").agg(F.count_distinct("term").alias("n"))
         return hits.where(F.col("n") == len(set(words))).select("doc")
 
-    def any_of(self, words: list[str]) -> DataFrame:
-        return self.postings.where(F.col("term").isin(*words)).select("doc").distinct()
+    def any_of(self, words: list[str], column: str | None = None) -> DataFrame:
+        return self.words(words, column).select("doc").distinct()
 
     def without(self, docs: DataFrame, words: list[str]) -> DataFrame:
         return docs.join(self.any_of(words), "doc", "left_anti")
 
-    def phrase(self, words: list[str]) -> DataFrame:
+    def phrase(self, words: list[str], column: str | None = None) -> DataFrame:
         """Words side by side, in order: each word's position less its place in the phrase is one start."""
         places = F.create_map(*(x for w in dict.fromkeys(words) for x in (F.lit(w), F.array(*(F.lit(i) for i, v in enumerate(words) if v == w)))))
-        p = self.postings.where(F.col("term").isin(*words)).select("doc", "column", "pos", F.explode(places[F.col("term")]).alias("place"))
+        p = self.words(words, column).select("doc", "column", "pos", F.explode(places[F.col("term")]).alias("place"))
         starts = p.groupBy("doc", "column", (F.col("pos") - F.col("place")).alias("start")).agg(F.count_distinct("place").alias("n"))
         return starts.where(F.col("n") == len(words)).select("doc").distinct()
 
     def near(self, a: str, b: str, distance: int = 10) -> DataFrame:
-        """Both words in one column with at most ``distance`` words between them."""
-        x = self.postings.where(F.col("term") == a).select("doc", "column", F.col("pos").alias("pa"))
-        y = self.postings.where(F.col("term") == b).select("doc", "column", F.col("pos").alias("pb"))
-        return x.join(y, ["doc", "column"]).where((F.col("pa") != F.col("pb")) & (F.abs(F.col("pa") - F.col("pb")) <= distance + 1)).select("doc").distinct()
+        """Both words in one column with at most ``distance`` words between them. The nearest two are neighbours among the words' positions, so one sort finds them."""
+        before = Window.partitionBy("doc", "column").orderBy("pos")
+        p = self.words([a, b]).select("doc", "column", "pos", "term", F.lag("pos").over(before).alias("p0"), F.lag("term").over(before).alias("t0"))
+        other = F.lit(True) if a == b else F.col("term") != F.col("t0")
+        return p.where(other & (F.col("pos") - F.col("p0") <= distance + 1)).select("doc").distinct()
 
     # --- ranks ----------------------------------------------------------------------------------------------------
     def bm25(self, words: list[str], docs: DataFrame | None = None) -> DataFrame:
         """(doc, rank) of the documents with all words, or of ``docs``: negative, best first in ascending order."""
-        docs = self.all_of(words) if docs is None else docs
-        stats = self.lengths.agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_len"))
-        tf = self.postings.where(F.col("term").isin(*words)).groupBy("doc", "term").agg(F.count("*").alias("f"))
-        df = tf.groupBy("term").agg(F.count("*").alias("n"))
-        # One row, and one for each word asked for: small whatever the index.
-        scored = tf.join(docs, "doc", "left_semi").join(F.broadcast(df), "term").join(self.lengths, "doc").join(F.broadcast(stats), F.lit(True))
-        idf = F.greatest(F.log((F.col("n_docs") - F.col("n") + 0.5) / (F.col("n") + 0.5)), F.lit(1e-6))
-        score = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / F.col("avg_len")))
-        return scored.groupBy("doc").agg((-F.sum(score)).alias("rank"))
+        asked = list(dict.fromkeys(words))
+        f = [F.count_if(F.col("term") == w).alias(f"f{i}") for i, w in enumerate(asked)]
+        tf = self.words(asked).groupBy("doc").agg(*f)
+        # Two tables of one row.
+        sizes = self.lengths.agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_len"))
+        found = tf.agg(*(F.count_if(F.col(f"f{i}") > 0).alias(f"n{i}") for i in range(len(asked))))
+        hits = tf.join(docs, "doc", "left_semi") if docs is not None else tf.where(" and ".join(f"f{i} > 0" for i in range(len(asked))))
+        scored = hits.join(self.lengths, "doc").join(F.broadcast(sizes), F.lit(True)).join(F.broadcast(found), F.lit(True))
+        score = F.lit(0.0)
+        for i in range(len(asked)):
+            n, n_docs, count = F.col(f"n{i}"), F.col("n_docs"), F.col(f"f{i}")
+            idf = F.greatest(F.log((n_docs - n + 0.5) / (n + 0.5)), F.lit(1e-6))
+            score += idf * count * (K1 + 1) / (count + K1 * (1 - B + B * F.col("length") / F.col("avg_len")))
+        return scored.select("doc", (-score).alias("rank"))
+
+    def top(self, words: list[str], documents: DataFrame, key: str, n: int = 20) -> DataFrame:
+        """The documents, all columns, with all words, best rank first; ties by key. The n best are found before the texts are joined."""
+        best = self.bm25(words).orderBy("rank", "doc").limit(n)
+        return documents.join(best.withColumnRenamed("doc", "_doc"), F.col(key) == F.col("_doc")).drop("_doc").orderBy("rank", key)
 
 
 def build_index(df: DataFrame, key: str, columns: list[str]) -> FtsIndex:
@@ -81,6 +128,30 @@ def build_index(df: DataFrame, key: str, columns: list[str]) -> FtsIndex:
     return FtsIndex(postings, lengths)
 
 
+class FtsStore:
+    """One stored index in a folder; it's stale until ``rebuild`` is called, and readers keep the one that they opened."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.snapshots = spark, Snapshots(spark, folder)
+
+    def rebuild(self, df: DataFrame, key: str, columns: list[str]) -> FtsIndex:
+        after = self.snapshots.number()
+        path = self.snapshots.new()
+        index = build_index(df, key, columns)
+        spread = index.postings.withColumn("bucket", bucket(F.col("term")))
+        # A common word's postings lie in several tasks and files, by document.
+        spread.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(16))).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
+        index.lengths.write.parquet(f"{path}/lengths")
+        self.snapshots.publish(path, after)
+        return self.open()
+
+    def open(self) -> FtsIndex:
+        path = self.snapshots.current()
+        if path is None:
+            raise FileNotFoundError(f"no index in {self.snapshots.folder}")
+        return FtsIndex(self.spark.read.parquet(f"{path}/postings"), self.spark.read.parquet(f"{path}/lengths"), True)
+
+
 def contains_folded(c: Column, text: str) -> Column:
     """Accent- and case-insensitive containment without an index."""
     return F.contains(F.collate(c, "UNICODE_CI_AI"), F.lit(text))

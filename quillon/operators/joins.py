@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,21 +23,21 @@ def with_event_within(df: DataFrame, events: DataFrame, on: str, at: str, event_
 
 
 def as_of(df: DataFrame, facts: DataFrame, on: str, at: str, fact_at: str, value: str, out: str, row_key: list[str], tie: str | None = None) -> DataFrame:
-    """The latest fact not after each row, else the earliest there is, else null.
+    """The latest fact not after each row, else the earliest there is, else null. Rows with a null key get the facts with a null key.
 
-    Both sides go through one union sorted by key and time, so work grows with rows, not with pairs.
+    Both sides go through one union sorted by key and time, over which the last fact so far is carried row by row; the earliest
+    fact is a grouped minimum, combined before its exchange. So work grows with rows, not with pairs. A key's rows are
+    sorted in one task, which spills; of its state only the last fact is held.
     """
-    from pyspark.sql import Window
-
     left = df.select(F.col(on).alias("_on"), F.col(at).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(facts.schema[value].dataType).alias("_v"), F.lit(None).cast("string").alias("_tie"), F.struct(*df.columns).alias("_row"))
     t = F.lpad(F.col(tie).cast("string"), 20, "0") if tie else F.lit(None).cast("string")
     right = facts.select(F.col(on).alias("_on"), F.col(fact_at).alias("_at"), F.lit(0).alias("_side"), F.col(value).alias("_v"), t.alias("_tie"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"))
     order = Window.partitionBy("_on").orderBy("_at", "_side", "_tie")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    first = order.rowsBetween(0, Window.unboundedFollowing)
     fact = F.when(F.col("_side") == 0, F.struct("_v"))
-    both = left.unionByName(right).withColumns({"_last": F.last(fact, ignorenulls=True).over(upto), "_next": F.first(fact, ignorenulls=True).over(first)})
-    return both.where("_side = 1").select("_row.*", F.coalesce(F.col("_last"), F.col("_next"))["_v"].alias(out))
+    both = left.unionByName(right).withColumn("_last", F.last(fact, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    earliest = right.groupBy(F.col("_on").alias("_key")).agg(F.min_by(F.struct("_v"), F.struct("_at", "_tie")).alias("_first"))
+    rows = both.where("_side = 1").join(earliest, F.col("_on").eqNullSafe(F.col("_key")), "left")
+    return rows.select("_row.*", F.coalesce("_last", "_first")["_v"].alias(out))
 
 
 def joined_flags(flags: dict[str, Column], sep: str = ",") -> Column:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,10 @@ class ConstraintError(ValueError):
     """Rows break a table's rules; nothing was published."""
 
 
+class LostUpdateError(RuntimeError):
+    """Another writer published first; nothing was published here. The merge can be done again."""
+
+
 @dataclass(frozen=True)
 class TableSpec:
     name: str
@@ -31,10 +37,10 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str], preserve: tuple
     """``target`` with ``source`` merged in by ``key``.
 
     Columns that the source lacks, and preserved ones, keep the target's values in matched rows. Of source rows with
-    one key the last by ``order`` counts (without an order any one). ``null_keys``: "equal" merges null with null,
+    one key the last by ``order`` counts; without one the greatest by its other columns, in their order. ``null_keys``: "equal" merges null with null,
     "distinct" inserts such rows anew each time.
     """
-    src = keep_last(source, key, order) if order else source.dropDuplicates(key)
+    src = keep_last(source, key, order or [c for c in source.columns if c not in key] or key)
     src = src.select(*(c for c in target.columns if c in src.columns))
     s, t = src.alias("s"), target.alias("t")
     same = F.lit(True)
@@ -69,59 +75,104 @@ def validate(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df
 
 
+class Snapshots:
+    """Numbered pointer files in one folder, each naming a snapshot folder beside it; the highest number is the current one.
+
+    A pointer is written under another name and then renamed to its number, which fails if the number is taken. So readers see a whole old or a whole new
+    snapshot, a writer that stops halfway changes nothing, and of two writers that started from one number the second gets an error.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _path(self, name: str = ""):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+
+    def _fs(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def number(self) -> int:
+        """0 where there is none."""
+        fs, folder = self._fs(), self._path()
+        names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+        return max((int(m[1]) for x in names if (m := re.fullmatch(r"v-(\d{12})\.json", x))), default=0)
+
+    def current(self, number: int | None = None) -> str | None:
+        """The folder of the snapshot with this number, or of the highest."""
+        n = self.number() if number is None else number
+        if not n:
+            return None
+        text = "".join(r.value for r in self.spark.read.text(f"{self.folder}/v-{n:012d}.json").collect())
+        return f"{self.folder}/{json.loads(text)['snapshot']}"
+
+    def new(self) -> str:
+        return f"{self.folder}/s-{uuid.uuid4().hex}"
+
+    def delete(self, path: str) -> None:
+        self._fs().delete(self.spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+    def publish(self, path: str, after: int) -> None:
+        """Makes ``path`` number ``after`` + 1."""
+        jvm, temporary = self.spark._jvm, self._path(f"next-{uuid.uuid4().hex}.json")
+        out = self._fs().create(temporary, False)
+        out.write(bytearray(json.dumps({"snapshot": path.rpartition("/")[2]}).encode()))
+        out.close()
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs().getUri(), self.spark._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            files.rename(temporary, self._path(f"v-{after + 1:012d}.json"), options)
+        except Py4JJavaError as e:
+            self._fs().delete(temporary, False)
+            if "FileAlreadyExists" in str(e.java_exception.getClass().getName()):
+                raise LostUpdateError(f"{self.folder}: number {after + 1} is taken") from None
+            raise
+
+
 class SnapshotStore:
-    """Tables as immutable Parquet snapshots under one root; a pointer file names the current one.
+    """Tables as immutable Parquet snapshots under one root.
 
-    A merge writes a new snapshot, validates what was written and only then moves the pointer, so readers see the whole old or
-    the whole new table, and a failed or interrupted merge changes nothing.
+    A merge writes a new snapshot, validates what was written and only then publishes it (see ``Snapshots``). Rows new to a table with a column
+    created_at get the time of the merge there, unless the source has that column.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _current(self, name: str) -> str | None:
-        fs, p = self._fs(f"{self.root}/{name}/current.json")
-        if not fs.exists(p):
-            return None
-        return json.loads("".join(r.value for r in self.spark.read.text(str(p)).collect()))["snapshot"]
+    def _snapshots(self, name: str) -> Snapshots:
+        return Snapshots(self.spark, f"{self.root}/{name}")
 
     def exists(self, name: str) -> bool:
-        return self._current(name) is not None
+        return self._snapshots(name).number() > 0
 
     def init(self, spec: TableSpec) -> None:
         """An empty table, unless there is one."""
         if not self.exists(spec.name):
-            self._publish(spec, self.spark.createDataFrame([], spec.schema))
+            self._publish(spec, self.spark.createDataFrame([], spec.schema), 0)
+
+    def _read(self, spec: TableSpec, number: int) -> DataFrame:
+        return self.spark.createDataFrame([], spec.schema) if not number else self.spark.read.schema(spec.schema).parquet(self._snapshots(spec.name).current(number))
 
     def read(self, spec: TableSpec) -> DataFrame:
-        snap = self._current(spec.name)
-        return self.spark.createDataFrame([], spec.schema) if snap is None else self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}/{snap}")
+        return self._read(spec, self._snapshots(spec.name).number())
 
     def merge(self, spec: TableSpec, source: DataFrame, order: list[str] | None = None) -> bool:
         """False where the source is empty and nothing was done."""
         if source.isEmpty():
             return False
-        self._publish(spec, upsert(self.read(spec), source, list(spec.key), spec.preserve, order))
+        number = self._snapshots(spec.name).number()
+        target = self._read(spec, number)
+        if "created_at" in target.columns and "created_at" not in source.columns:
+            source = source.withColumn("created_at", F.current_timestamp().cast(target.schema["created_at"].dataType))
+        self._publish(spec, upsert(target, source, list(spec.key), spec.preserve, order), number)
         return True
 
-    def _publish(self, spec: TableSpec, df: DataFrame) -> None:
-        snap = f"s-{uuid.uuid4().hex}"
-        path = f"{self.root}/{spec.name}/{snap}"
+    def _publish(self, spec: TableSpec, df: DataFrame, after: int) -> None:
+        snapshots = self._snapshots(spec.name)
+        path = snapshots.new()
         df.write.parquet(path)
         try:
             validate(self.spark.read.schema(spec.schema).parquet(path), spec)
-        except ConstraintError:
-            fs, p = self._fs(path)
-            fs.delete(p, True)
+            snapshots.publish(path, after)
+        except (ConstraintError, LostUpdateError):
+            snapshots.delete(path)
             raise
-        fs, new = self._fs(f"{self.root}/{spec.name}/next-{snap}.json")
-        out = fs.create(new, True)
-        out.write(bytearray(json.dumps({"snapshot": snap}).encode()))
-        out.close()
-        _, pointer = self._fs(f"{self.root}/{spec.name}/current.json")
-        fs.delete(pointer, False)
-        fs.rename(new, pointer)

@@ -15,6 +15,7 @@ from quillon import schema
 from quillon.functions import clean
 from quillon.operators.dedup import keep_first, keep_last
 from quillon.operators.merge import SnapshotStore, TableSpec
+from quillon.sources.zipcsv import BUYBACK_KEYS, FORM_MEMBERS, buyback_key
 
 ORDER = ["year", "member", "pos"]
 _BY_TYPE: dict[str, Callable[[Column], Column]] = {"date": clean.to_date, "bigint": clean.to_long, "int": lambda c: clean.to_long(c).cast("int"), "double": clean.to_double, "string": lambda c: c}
@@ -48,26 +49,40 @@ def documents(raw: DataFrame, watchlist: DataFrame) -> DataFrame:
     return keep_last(df, ["protocolo_entrega"], ORDER)
 
 
+def last_member(raw: DataFrame) -> DataFrame:
+    """Rows of each year's last member by name (one row a year on the right side)."""
+    last = raw.groupBy(F.col("year").alias("_y")).agg(F.max("member").alias("_m"))
+    return raw.join(last, raw["year"].eqNullSafe(last["_y"]) & (raw["member"] == last["_m"]), "left_semi")
+
+
 def positions(raw: DataFrame, watchlist: DataFrame) -> DataFrame:
-    df = typed(of_watchlist(raw.where(~F.col("member").contains("_con_")), watchlist), schema.POSITIONS)
+    """Of a delivery with several members of positions the last one counts, whole."""
+    df = typed(of_watchlist(last_member(raw.where(~F.col("member").contains("_con_"))), watchlist), schema.POSITIONS)
     return keep_last(df, list(schema.POSITIONS.key), ORDER)
 
 
 def movements(raw: DataFrame, watchlist: DataFrame) -> DataFrame:
-    """Repeated raw keys keep their first row, before the watchlist is looked at."""
-    df = raw.where(F.col("member").contains("_con_"))
+    """Of several members the last one counts, whole; repeated raw keys keep their first row, before the watchlist is looked at."""
+    df = last_member(raw.where(F.col("member").contains("_con_")))
     df = keep_first(df, [c for c in df.columns if c.lower() in schema.MOVEMENTS.key], ORDER)
     return keep_last(typed(of_watchlist(df, watchlist), schema.MOVEMENTS), list(schema.MOVEMENTS.key), ORDER)
 
 
 def programmes(raw: DataFrame, watchlist: DataFrame) -> DataFrame:
-    df = typed(of_watchlist(raw.where(F.col("member").contains("programas")), watchlist), schema.PROGRAMMES)
+    """Members with other keys (amounts, brokers) are no programmes; see ``buyback_parts``."""
+    df = typed(of_watchlist(last_member(raw.where(buyback_key(F.col("member")) == "programas")), watchlist), schema.PROGRAMMES)
     return keep_last(df, ["id_programa"], ORDER)
 
 
 def reference_form(raw: DataFrame, watchlist: DataFrame, spec: TableSpec) -> DataFrame:
-    """Capital, shareholders or pay, by spec."""
-    return keep_last(typed(of_watchlist(raw, watchlist), spec), list(spec.key), ORDER)
+    """Capital, shareholders or pay, by spec: rows of the member that belongs to it."""
+    own = raw.where(F.lower("member").rlike(f"(^|/)fre_cia_aberta_{FORM_MEMBERS[spec.name]}_[0-9]{{4}}[.]csv$"))
+    return keep_last(typed(of_watchlist(own, watchlist), spec), list(spec.key), ORDER)
+
+
+def buyback_parts(raw: DataFrame) -> dict[str, DataFrame]:
+    """Raw rows of the buyback delivery by key: quantidades, intermediarios, programas."""
+    return {k: raw.where(buyback_key(F.col("member")) == k) for k in (*BUYBACK_KEYS, "programas")}
 
 
 def statements(raw: DataFrame, watchlist: DataFrame, source: str, with_period: bool = False) -> DataFrame:

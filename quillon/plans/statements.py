@@ -38,14 +38,17 @@ def balance_sheet(facts: DataFrame) -> DataFrame:
 
 
 def with_net_debt(balance: DataFrame) -> DataFrame:
-    """Short- and long-term debt less cash, and its change to the date before."""
+    """Short- and long-term debt less cash, and its change to the date before. A part that isn't stated counts as 0; without any part there is no net debt."""
     w = Window.partitionBy("cnpj_companhia", "fonte").orderBy("data_referencia")
-    out = balance.withColumn("divida_liquida", F.col("divida_curto_prazo") + F.col("divida_longo_prazo") - F.col("caixa"))
+    short, long, cash = (F.col(c) for c in ("divida_curto_prazo", "divida_longo_prazo", "caixa"))
+    stated = F.coalesce(short, long, cash).isNotNull()
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    out = balance.withColumn("divida_liquida", F.when(stated, zero(short) + zero(long) - zero(cash)))
     return out.withColumn("variacao", F.col("divida_liquida") - F.lag("divida_liquida").over(w))
 
 
-def with_margin(income: DataFrame) -> DataFrame:
-    return income.withColumn("margem_ebit", F.try_divide("ebit", "receita_liquida"))
+def with_margin(income: DataFrame, profit: str = "ebit", revenue: str = "receita_liquida", out: str = "margem_ebit") -> DataFrame:
+    return income.withColumn(out, F.try_divide(profit, revenue))
 
 
 def per_share(df: DataFrame) -> DataFrame:

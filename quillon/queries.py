@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions import clean, sectors
 from quillon.operators import dedup, fts, joins, merge
 from quillon.plans import catalog, sqltools, statements
+from quillon.sources import pdf
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,9 +51,9 @@ def watchlist_semi_join(spark, sf_dir):
     return joins.members(table(spark, sf_dir, "orders"), watch, "o_custkey").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'P')")
 def catalog_anti_join(spark, sf_dir):
-    placed = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    placed = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return joins.non_members(table(spark, sf_dir, "customer"), placed, "c_custkey").select("c_custkey", "c_name")
 
 
@@ -119,11 +120,10 @@ def balance_pivot_2d(spark, sf_dir):
     return _balance(spark, sf_dir)
 
 
-@query(f"with {_BALANCE}, d as (select cnpj, ano, round(coalesce(curto, 0) + coalesce(longo, 0) - coalesce(caixa, 0), 2) divida from bal) select *, round(divida - lag(divida) over (partition by cnpj order by ano), 2) variacao from d")
+@query(f"with {_BALANCE}, d as (select cnpj, ano, case when coalesce(curto, longo, caixa) is not null then coalesce(curto, 0) + coalesce(longo, 0) - coalesce(caixa, 0) end divida from bal) select cnpj, ano, round(divida, 2) divida, round(divida - lag(divida) over (partition by cnpj order by ano), 2) variacao from d")
 def net_debt(spark, sf_dir):
-    z = lambda c: F.coalesce(c, F.lit(0.0))
-    d = _balance(spark, sf_dir).select("cnpj", "ano", F.round(z("curto") + z("longo") - z("caixa"), 2).alias("divida"))
-    return d.withColumn("variacao", F.round(F.col("divida") - F.lag("divida").over(Window.partitionBy("cnpj").orderBy("ano")), 2))
+    b = _balance(spark, sf_dir).select(F.col("cnpj").alias("cnpj_companhia"), F.lit("DFP").alias("fonte"), F.col("ano").alias("data_referencia"), "caixa", F.col("curto").alias("divida_curto_prazo"), F.col("longo").alias("divida_longo_prazo"))
+    return statements.with_net_debt(b).select(F.col("cnpj_companhia").alias("cnpj"), F.col("data_referencia").alias("ano"), F.round("divida_liquida", 2).alias("divida"), F.round("variacao", 2).alias("variacao"))
 
 
 def _by_year(spark, sf_dir):
@@ -136,7 +136,7 @@ _BY_YEAR = "y as (select o_custkey k, year(o_orderdate)::int ano, sum(o_totalpri
 
 @query(f"with {_BY_YEAR} select k, ano, round(done / nullif(total, 0), 6) margem from y")
 def margin_by_year(spark, sf_dir):
-    return _by_year(spark, sf_dir).select("k", "ano", clean.ratio(F.col("done"), F.col("total"), 6).alias("margem"))
+    return statements.with_margin(_by_year(spark, sf_dir), "done", "total", "margem").select("k", "ano", F.round("margem", 6).alias("margem"))
 
 
 @query(f"with {_BY_YEAR} select k, ano, round(total / nullif(lag(total) over (partition by k order by ano), 0) - 1, 6) yoy from y")
@@ -248,10 +248,43 @@ def composite_filter(spark, sf_dir):
     return table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "signup") & (F.col("value") > 10) & ~F.coalesce(F.length(F.get_json_object("props", "$.missing")) > 0, F.lit(False))).select("event_id")
 
 
-@query("select doc_id, n_chars from documents where lang = 'en' and source in ('src0', 'src1') order by n_chars desc nulls last, doc_id limit 200")
+def _filings(spark, sf_dir):
+    """Documents as filings: company is the source, category the language, delivery date by length, a text where doc_id isn't divisible by 3, a failure where it's divisible by 5."""
+    d = table(spark, sf_dir, "documents")
+    key = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    return d.select(
+        key.alias("protocolo_entrega"), F.col("source").alias("cnpj_companhia"), F.col("lang").alias("categoria"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("n_chars") % 900).cast("int")).alias("data_entrega"), F.substring("text", 1, 40).alias("assunto"),
+        F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("texto_extraido"), F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0).alias("extracao_falhou"),
+    )
+
+
+_FILINGS = "filings as (select lpad(doc_id::varchar, 12, '0') protocolo_entrega, source cnpj_companhia, lang categoria, (date '2020-01-01' + (n_chars % 900)::int)::date data_entrega, case when doc_id % 3 != 0 then text end texto_extraido, (doc_id % 5 = 0)::int extracao_falhou from documents)"
+
+
+@query(f"with {_FILINGS} select protocolo_entrega, data_entrega::varchar data_entrega from filings where texto_extraido is null and extracao_falhou = 0 and categoria = 'en' and cnpj_companhia in ('src0', 'src1') order by filings.data_entrega desc nulls last, protocolo_entrega limit 200")
 def pending_topn(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where((F.col("lang") == "en") & F.col("source").isin("src0", "src1"))
-    return d.select("doc_id", "n_chars").orderBy(F.desc_nulls_last("n_chars"), "doc_id").limit(200)
+    return pdf.pending(_filings(spark, sf_dir), ["src0", "src1"], ["en"]).select("protocolo_entrega", F.col("data_entrega").cast("string").alias("data_entrega"))
+
+
+@query(f"with {_FILINGS} select protocolo_entrega from filings where texto_extraido is null and extracao_falhou = 1 and categoria in ('en', 'fr') and cnpj_companhia in (select distinct source from documents where lang = 'de')")
+def pending_retries(spark, sf_dir):
+    companies = table(spark, sf_dir, "documents").where("lang = 'de'").select(F.col("source").alias("cnpj"))
+    return pdf.pending(_filings(spark, sf_dir), companies, ["en", "fr"], None, retry_failed=True).select("protocolo_entrega")
+
+
+@query(f"with {_FILINGS} select protocolo_entrega, data_entrega::varchar data_entrega from filings where cnpj_companhia = 'src0' and categoria = 'fr' order by filings.data_entrega desc nulls last, protocolo_entrega limit 10")
+def latest_meetings(spark, sf_dir):
+    return catalog.latest_meetings(_filings(spark, sf_dir), "src0", 10, "fr").select("protocolo_entrega", F.col("data_entrega").cast("string").alias("data_entrega"))
+
+
+@query(f"""with {_FILINGS}, r as (select protocolo_entrega k, max(case when length(text) > 300 then left(text, 200) end) t, min(case when length(text) > 300 then 0 else 1 end) f from filings join documents on doc_id = protocolo_entrega::bigint where texto_extraido is null and doc_id % 2 = 0 group by 1)
+select protocolo_entrega, coalesce(r.t, texto_extraido) texto_extraido, coalesce(r.f, extracao_falhou)::int extracao_falhou from filings left join r on k = protocolo_entrega""")
+def texts_written_back(spark, sf_dir):
+    docs = _filings(spark, sf_dir)
+    d = table(spark, sf_dir, "documents").where("doc_id % 3 = 0 and doc_id % 2 = 0")
+    good = F.length("text") > 300
+    found = d.select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("protocolo_entrega"), F.when(good, F.substring("text", 1, 200)).alias("texto_extraido"), F.when(good, 0).otherwise(1).alias("extracao_falhou"))
+    return pdf.save_texts(docs, found).select("protocolo_entrega", "texto_extraido", "extracao_falhou")
 
 
 @query("select o_orderkey, o_custkey from orders where o_orderstatus = 'O' and o_orderdate::date >= date '1996-01-01'")
@@ -267,8 +300,21 @@ def top_holders(spark, sf_dir):
 
 @query("select event_id, user_id, round(sum(value) over (partition by user_id order by ts, event_id rows between 4 preceding and current row), 4) volume from events")
 def running_volume(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-4, 0)
-    return table(spark, sf_dir, "events").select("event_id", "user_id", F.round(F.sum("value").over(w), 4).alias("volume"))
+    out = dedup.rolling(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("value"), "volume", rows=5)
+    return out.select("event_id", "user_id", F.round("volume", 4).alias("volume"))
+
+
+@query("select event_id, round(sum(value) over (partition by user_id order by epoch(ts) range between 86400 preceding and current row), 4) volume from events")
+def day_volume(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("s", F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)
+    return dedup.rolling(e, ["user_id"], ["s"], F.col("value"), "volume", span=86400).select("event_id", F.round("volume", 4).alias("volume"))
+
+
+@query("select c_custkey, dense_rank() over (partition by c_nationkey order by c_mktsegment) as segment, ntile(4) over (partition by c_nationkey order by c_acctbal, c_custkey) as quarter from customer")
+def ranks_in_groups(spark, sf_dir):
+    c = dedup.ranked(table(spark, sf_dir, "customer"), ["c_nationkey"], [F.col("c_mktsegment")], "dense_rank", out="segment")
+    c = dedup.ranked(c, ["c_nationkey"], [F.col("c_acctbal"), F.col("c_custkey")], "ntile", 4, "quarter")
+    return c.select("c_custkey", F.col("segment").cast("long").alias("segment"), F.col("quarter").cast("long").alias("quarter"))
 
 
 @query("select event_type, count(*) n, count(*) filter (value > 50) high, count(*) filter (value is null) missing from events group by 1")
@@ -281,6 +327,19 @@ def distinct_agg(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count_distinct("l_partkey").alias("parts"), F.count_distinct("l_orderkey").alias("orders"))
 
 
+@query("select l_returnflag, sum(distinct l_quantity::bigint)::bigint total, round(avg(distinct l_quantity::bigint), 6) mean from lineitem group by 1")
+def distinct_sums(spark, sf_dir):
+    q = F.col("l_quantity").cast("bigint")
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.sum_distinct(q).alias("total"), F.round(F.expr("avg(distinct cast(l_quantity as bigint))"), 6).alias("mean"))
+
+
+@query("select l_returnflag, true as near from lineitem group by 1")
+def approximate_distinct(spark, sf_dir):
+    """Whether the estimate is within a tenth of the exact count."""
+    g = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.approx_count_distinct("l_orderkey", 0.02).alias("about"), F.count_distinct("l_orderkey").alias("exact"))
+    return g.select("l_returnflag", (F.abs(F.col("about") - F.col("exact")) <= 0.1 * F.col("exact")).alias("near"))
+
+
 @query("select l_returnflag, l_linestatus, count(*) n, sum(l_quantity::bigint)::bigint q from lineitem group by rollup (l_returnflag, l_linestatus)")
 def rollup_totals(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
@@ -308,9 +367,9 @@ def intersect_members(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).intersect(table(spark, sf_dir, "supplier").select("s_nationkey"))
 
 
-@query("select c_custkey k from customer except select o_custkey from orders")
+@query("select c_custkey k from customer except select o_custkey from orders where o_orderstatus = 'P'")
 def except_watchlist(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").select("o_custkey"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_custkey"))
 
 
 @query("select (select count(*) from orders) orders, (select count(*) from events) events, (select count(*) from documents) documents")
@@ -325,7 +384,7 @@ def facts_by_type(spark, sf_dir):
 
 
 # --- full text ------------------------------------------------------------------------------------------------------
-_TOK = r"tok as (select doc_id doc, regexp_extract_all(translate(lower(coalesce(text, '')), 'áàâãäåéèêëíìîïóòôõöúùûüçñýÿ', 'aaaaaaeeeeiiiiooooouuuucnyy'), '[\p{L}\p{N}\p{Co}]+') w from documents)"
+_TOK = r"tok as (select doc_id doc, regexp_extract_all(strip_accents(lower(coalesce(text, ''))), '[\p{L}\p{N}\p{Co}]+') w from documents)"
 _POST = f"{_TOK}, post as (select doc, unnest(w) term, unnest(range(len(w)))::int pos from tok)"
 
 
@@ -375,6 +434,24 @@ def fts_bm25(spark, sf_dir):
     return _index(spark, sf_dir).bm25(["the", "ou"]).select("doc", F.round("rank", 6).alias("rank"))
 
 
+_TOP = f"""{_POST}, st as (select count(*) nd, avg(len(w)) al from tok), tf as (select doc, term, count(*) f from post where term in ('the', 'of') group by all), n as (select term, count(*) n from tf group by 1), hit as (select doc from tf group by 1 having count(*) = 2),
+ranks as (select doc, round(-sum(greatest(ln((nd - n + 0.5) / (n + 0.5)), 1e-6) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(w) / al))), 6) rank from tf join hit using (doc) join n using (term) join tok using (doc), st group by doc)"""
+
+
+@query(f"with {_TOP} select doc_id, lang, source from ranks join documents on doc_id = doc order by rank, doc_id limit 20")
+def fts_top_documents(spark, sf_dir):
+    """The 20 best documents by rank (rounded, so that ties don't depend on the order of sums)."""
+    i, docs = _index(spark, sf_dir), table(spark, sf_dir, "documents")
+    best = i.bm25(["the", "of"]).select("doc", F.round("rank", 6).alias("rank")).orderBy("rank", "doc").limit(20)
+    return docs.join(best, F.col("doc_id") == F.col("doc")).select("doc_id", "lang", "source")
+
+
+@query(r"select doc_id doc from documents where list_contains(regexp_extract_all(lower(source), '[\p{L}\p{N}]+'), 'src1') and list_contains(regexp_extract_all(strip_accents(lower(coalesce(text, ''))), '[\p{L}\p{N}\p{Co}]+'), 'the')")
+def fts_column_filter(spark, sf_dir):
+    i = fts.build_index(table(spark, sf_dir, "documents"), "doc_id", ["text", "source"])
+    return i.term("src1", "source").join(i.term("the", "text"), "doc", "left_semi")
+
+
 # --- JSON, SQL, windows in time -------------------------------------------------------------------------------------
 @query("select event_id, json_extract_string(props, '$.k') k, json_extract_string(props, '$.page') page from events")
 def json_extract(spark, sf_dir):

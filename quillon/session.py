@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
+def root_path(url: str, base: str) -> str:
+    """The folder of the tables: ``sqlite:///`` addresses aren't taken, other schemes are Spark's; a path without a scheme is taken from ``base`` unless absolute."""
+    scheme, sep, rest = url.partition("://")
+    if not url.strip() or (sep and (not re.fullmatch(r"[a-z][a-z0-9+.-]*", scheme) or scheme in ("sqlite", "http", "https") or not rest)):
+        raise ValueError(f"not a folder for tables: {url!r}")
+    return url if sep or url.startswith("/") else f"{base.rstrip('/')}/{url}"
+
+
 def session(name: str = "quillon", **conf: str) -> SparkSession:
     b = SparkSession.builder.appName(name)
     for k, v in {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", **conf}.items():

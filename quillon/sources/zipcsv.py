@@ -14,7 +14,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.clean import na_to_null
@@ -76,6 +76,24 @@ def zip_csv(spark: SparkSession, paths: str | list[str], columns: list[str], mem
     return na_to_null(files.mapInArrow(run, schema))
 
 
+#: Members of the reference form by table, and keys of the buyback delivery by part of the name.
+FORM_MEMBERS = {"fre_capital_social": "capital_social", "fre_posicao_acionaria": "posicao_acionaria", "fre_remuneracao_orgao": "remuneracao_maxima_minima_media"}
+BUYBACK_KEYS = ("quantidades", "intermediarios")
+
+
+def form_members(table: str) -> str:
+    """The reference form's member for a table: one of its name and year, and no longer name that begins alike."""
+    return f"fre_cia_aberta_{FORM_MEMBERS[table]}_[0-9][0-9][0-9][0-9].csv"
+
+
+def buyback_key(member: Column) -> Column:
+    """quantidades or intermediarios where the name has it, else programas."""
+    out = F.lit("programas")
+    for k in reversed(BUYBACK_KEYS):
+        out = F.when(member.contains(k), k).otherwise(out)
+    return out
+
+
 def statement_members(source: str, kinds: list[str]) -> str:
     """Consolidated statement members of a source (dfp or itr)."""
     return "|".join(f"{source.lower()}_cia_aberta_{k.lower()}_con_*.csv" for k in kinds)

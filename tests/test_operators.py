@@ -2,6 +2,7 @@
 
 import datetime
 import sqlite3
+import time
 import urllib.error
 import zipfile
 
@@ -108,9 +109,13 @@ def test_full_text_ranks_equal_sqlite(spark):
 
 def test_sql_tools(spark):
     spark.range(3).createOrReplaceTempView("t3")
-    assert sqltools.query(spark, "select count(*) n from t3") == [{"n": 3}]
-    assert sqltools.query(spark, "with x as (select 1 a) select * from x") == [{"a": 1}]
-    for bad in ("drop table t3", "create table z as select 1", "set x = 1", "insert into t3 values (1)"):
+    assert list(sqltools.query(spark, "select count(*) n from t3")) == [{"n": 3}]
+    assert list(sqltools.query(spark, "with x as (select 1 a) select * from x, t3 where id = (select max(id) from t3)")) == [{"a": 1, "id": 2}]
+    assert len(list(sqltools.query(spark, "select id from range(12000)"))) == 12_000
+    calls = "reflect('java.lang.System', 'getProperty', 'user.home')"
+    files_ = ("select * from text.`/etc/hostname`", "select (select max(value) from text.`/etc/hostname`)", "with a as (select * from parquet.`/tmp/x`) select * from a", "select id from t3 where id in (select length(value) from text.`/etc/hostname`)", "select * from nowhere")
+    reflections = (f"select {calls}", f"select id from t3 where {calls} is null", f"select (select {calls})", f"with a as (select try_{calls} x) select * from a", f"select id from t3 order by java_method{calls[7:]}")
+    for bad in ("drop table t3", "create table z as select 1", "set x = 1", "insert into t3 values (1)", *files_, *reflections):
         with pytest.raises(sqltools.NotAllowed):
             sqltools.query(spark, bad)
     with pytest.raises(sqltools.NotAllowed):
@@ -169,6 +174,142 @@ def test_pdf_guards(spark):
     assert rows(got.select("id", "extracao_falhou")) == [(1, 0), (2, 1), (3, 1), (4, 1)]
 
 
+def test_texts_are_written_back(spark):
+    """A row without a link stays pending; a failure keeps an earlier text; other rows aren't touched."""
+    url = "https://rad.cvm.gov.br/x"
+    docs = spark.createDataFrame([(k, u, None, f, None, "kept") for k, u, f in (("1", url, 0), ("2", url, None), ("3", None, None), ("4", "", 0), ("5", url, 1))] + [("6", url, "old", 0, None, "kept")], "protocolo_entrega string, url string, texto_extraido string, extracao_falhou int, extraido_em timestamp, assunto string")
+    fetched = {"1": b"%PDF" + b"a" * 200, "2": b"gone", "6": None}
+    content = docs.where("protocolo_entrega != '5'").drop("texto_extraido", "extracao_falhou").join(spark.createDataFrame(list(fetched.items()), "protocolo_entrega string, content binary"), "protocolo_entrega", "left")
+    extracted = pdf.extract_texts(content, lambda b: b.decode())
+    assert {r["status"]: r["count"] for r in pdf.outcome_counts(extracted).collect()} == {"ok": 1, "fail": 2, "skip": 2}
+    got = {r["protocolo_entrega"]: r for r in pdf.save_texts(docs, extracted).collect()}
+    assert {k: (r["extracao_falhou"], (r["texto_extraido"] or "")[:4], r["extraido_em"] is not None) for k, r in got.items()} == {"1": (0, "%PDF", True), "2": (1, "", False), "3": (None, "", False), "4": (0, "", False), "5": (1, "", False), "6": (1, "old", False)}
+    assert {r["assunto"] for r in got.values()} == {"kept"}
+    left = pdf.pending(pdf.save_texts(docs, extracted).selectExpr("*", "'c' cnpj_companhia", "'k' categoria", "date'2020-01-01' data_entrega"), ["c"], ["k"])
+    assert rows(left.select("protocolo_entrega")) == [("3",), ("4",)]
+
+
+def test_download_checks_host_and_size():
+    class Answer:
+        def __init__(self, url, body, length=None):
+            self.url, self.body, self.headers = url, body, {"Content-Length": length} if length else {}
+
+        def geturl(self):
+            return self.url
+
+        def read(self, n):
+            return self.body[:n]
+
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *a: None
+
+    good = "https://www.cvm.gov.br/doc"
+    assert pdf.download("u", open_url=lambda u, timeout: Answer(good, b"%PDF-x")) == b"%PDF-x"
+    for bad in (Answer("https://cvm.gov.br.example.com/", b"%PDF"), Answer("https://xcvm.gov.br/", b"%PDF"), Answer(good, b"%PDF", str(pdf.MAX_BYTES + 1)), Answer(good, b"<html>")):
+        with pytest.raises(pdf.NoText):
+            pdf.download("u", open_url=lambda u, timeout: bad)
+
+
+def test_watchlist_file_grows(spark, tmp_path):
+    path = str(tmp_path / "watchlist.csv")
+    add = lambda t, note="": spark.createDataFrame([(t, f"cnpj {t}", "1", "Nome, SA", "Bancos", "ATIVO", note)], ", ".join(f"{c} string" for c in files.WATCHLIST))
+    assert files.append_csv(add("A"), path).count() == 1 and not (tmp_path / "watchlist.csv").exists()
+    files.append_csv(add("A"), path, commit=True)
+    files.append_csv(add("B", "auto"), path, commit=True)
+    assert rows(files.watchlist(spark, path).select("ticker", "nome_cvm", "observacao")) == [("A", "Nome, SA", None), ("B", "Nome, SA", "auto")]
+    assert "Nome, SA" in files.preview(files.watchlist(spark, path))
+
+
+def test_exchange_lists(spark):
+    import base64
+    import json
+
+    asked = []
+
+    def get(url, timeout):
+        asked.append(json.loads(base64.b64decode(url.rsplit("/", 1)[1])))
+        if "IBRX" in str(asked[-1]):
+            return b'{"results": [{"cod": "XXXX3", "asset": "N"}, {"cod": "XXXX4", "asset": "N"}]}'
+        if "index" in asked[-1]:
+            raise urllib.error.HTTPError(url, 404, "", None, None)
+        return b'{"results": [{"status": "A", "type": "1", "marketIndicator": "7", "typeBDR": null, "cnpj": "123", "codeCVM": "9", "issuingCompany": "XXXX", "tradingName": "N", "companyName": "Nome", "segment": "s"}]}'
+
+    listed = files.listed_companies(spark, get)
+    assert rows(catalog.equities(listed).select("ordinal", "cnpj_fmt")) == [(0, "00.000.000/0001-23")]
+    assert files.index_members(spark, "IBOV", get).count() == 0 and rows(files.index_members(spark, "IBRX", get).select("ordinal", "cod")) == [(0, "XXXX3"), (1, "XXXX4")]
+    assert asked[0] == files.COMPANIES_PAYLOAD and asked[1] == files.INDEX_PAYLOADS["IBOV"] and asked[-1]["pageSize"] == 200
+
+
+def test_delivery_members(spark):
+    raw = spark.createDataFrame([(2023, m, p) for m, p in (("fre_cia_aberta_capital_social_2023.csv", 0), ("fre_cia_aberta_capital_social_aumento_2023.csv", 0), ("cia_aberta_recompra_quantidades.csv", 0), ("cia_aberta_recompra_programas.csv", 0), ("recompra_intermediarios.csv", 0), ("a_con_1.csv", 0), ("a_con_2.csv", 1))], "year int, member string, pos int")
+    assert {k: v.count() for k, v in ingest.buyback_parts(raw).items()}["intermediarios"] == 1
+    assert zipcsv.wanted([r["member"] for r in raw.collect()], zipcsv.form_members("fre_capital_social")) == ["fre_cia_aberta_capital_social_2023.csv"]
+    assert rows(ingest.last_member(raw.where("member like '%_con_%'")).select("member")) == [("a_con_2.csv",)]
+    cols = {f.name: F.lit("1") for f in spark.createDataFrame([], schema.CAPITAL.schema).schema}
+    some = raw.withColumns({**cols, "cnpj_companhia": F.lit("c"), "data_referencia": F.lit("2023-01-01")}).withColumnRenamed("cnpj_companhia", "CNPJ_Companhia")
+    assert ingest.reference_form(some, spark.createDataFrame([("c",)], "cnpj string"), schema.CAPITAL).count() == 1
+
+
+def test_snapshots_survive_crashes_and_notice_lost_updates(spark, tmp_path, monkeypatch):
+    store = merge.SnapshotStore(spark, str(tmp_path))
+    make = lambda *r: spark.createDataFrame(list(r), "cnpj string, ticker string")
+    spec = merge.TableSpec("companies", ("cnpj",), "cnpj string, ticker string, created_at timestamp", ("cnpj", "ticker"))
+    store.merge(spec, make(("1", "A")))
+    born = store.read(spec).first()["created_at"]
+    assert born is not None
+    store.merge(spec, make(("1", "B"), ("2", "C")))
+    got = {r["cnpj"]: r for r in store.read(spec).collect()}
+    assert got["1"]["created_at"] == born and got["1"]["ticker"] == "B" and got["2"]["created_at"] > born
+    # A stop before the pointer is there: readers see the old table, and the next merge starts from it.
+    with monkeypatch.context() as m:
+        m.setattr(merge.Snapshots, "publish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            store.merge(spec, make(("3", "D")))
+    assert store.read(spec).count() == 2
+    # Another writer publishes between this one's read and its own pointer.
+    other, write = merge.SnapshotStore(spark, str(tmp_path)), merge.SnapshotStore._publish
+    with monkeypatch.context() as m:
+        m.setattr(merge.SnapshotStore, "_publish", lambda *a: (m.undo(), other.merge(spec, make(("4", "E"))), write(*a)))
+        with pytest.raises(merge.LostUpdateError):
+            store.merge(spec, make(("3", "D")))
+    assert rows(store.read(spec).select("cnpj")) == [("1",), ("2",), ("4",)]
+    assert merge.Snapshots(spark, f"{tmp_path}/companies").number() == 3
+
+
+def test_as_of_is_linear_in_a_key(spark):
+    left = spark.range(100_000).select("id", F.lit("k").alias("k"), (F.col("id") * 3 + 1).alias("t"))
+    facts = spark.range(100_000).select(F.lit("k").alias("k"), (F.col("id") * 3 + 30).alias("t"), F.col("id").alias("v"))
+    begun = time.perf_counter()
+    got = joins.as_of(left, facts, "k", "t", "t", "v", "v", ["id"]).agg(F.sum("v"), F.count("v")).first()
+    assert time.perf_counter() - begun < 30 and tuple(got) == (sum(max(0, i - 10) for i in range(100_000)), 100_000)
+
+
+def test_stored_index(spark, tmp_path):
+    """Stale until it's built again; equal to the built one; folds as SQLite does."""
+    docs = spark.createDataFrame([(1, "Aquisição de controle", "a"), (2, "a\u0301rvore de controle", "de"), (3, "nada", "b")], "id int, t string, s string")
+    store = fts.FtsStore(spark, str(tmp_path / "index"))
+    with pytest.raises(FileNotFoundError):
+        store.open()
+    store.rebuild(docs.where("id < 3"), "id", ["t", "s"])
+    index = store.open()
+    assert rows(index.all_of(["de", "controle"])) == [(1,), (2,)] and index.term("nada").count() == 0
+    assert rows(index.term("de", "s")) == [(2,)] and rows(index.term("arvore")) == [(2,)]
+    assert "bucket" in index.words(["de"])._jdf.queryExecution().executedPlan().toString()
+    store.rebuild(docs, "id", ["t", "s"])
+    assert store.open().term("nada").count() == 1 and index.term("nada").count() == 0
+    built = fts.build_index(docs, "id", ["t", "s"])
+    assert rows(store.open().bm25(["de", "controle"])) == rows(built.bm25(["de", "controle"]))
+    assert [r["id"] for r in store.open().top(["de"], docs, "id").collect()] == [2, 1]
+    con = sqlite3.connect(":memory:")
+    con.execute("create virtual table f using fts5(t)")
+    con.execute("create virtual table v using fts5vocab(f, 'row')")
+    letters = [c for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if c.isalpha() and c not in "İẞ"]
+    con.executemany("insert into f values (?)", [(f"x{c}",) for c in letters])
+    got = {t for r in spark.createDataFrame([(f"x{c}",) for c in letters], "t string").select(fts.tokens(F.col("t")).alias("w")).collect() for t in r["w"]}
+    want = {r[0] for r in con.execute("select term from v")}
+    assert len(got ^ want) <= 8, sorted(got ^ want)
+
+
 def test_stream_upsert_is_idempotent(spark, tmp_path):
     src = spark.createDataFrame([("1", "A", "x"), ("2", "B", "y")], SPEC.schema)
     src.write.parquet(str(tmp_path / "in"))
