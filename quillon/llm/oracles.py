@@ -14,6 +14,29 @@ select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, c.component_id
 from d left join n using (doc_id) join (select a doc_id, min(b) component_id from reach group by 1) c using (doc_id)
 """
 
+
+
+def _feistel() -> str:
+    """Six rounds over p(id, v, s), for values that were not permuted yet or are still too great."""
+    out = "(select id, s, v // b l, v % b r, a, b, n from p, k where s = 0 or v >= n)"
+    for key in (2 * i + i % 2 for i in range(6)):
+        half = lambda x: f"('0x' || substr(md5('{key}:' || {x}), 1, 15))::bigint"  # noqa: E731, B023
+        out = f"(select id, s, (l + {half('r')}) % a l, r, a, b, n from {out})" if key % 2 == 0 else f"(select id, s, l, (r + {half('l')}) % b r, a, b, n from {out})"
+    return out
+
+
+#: CRC-32 byte by byte, with its table of 256 made from the polynomial; a*b >= n as in the operator.
+OP3 = f"""
+with recursive d as (select doc_id, coalesce(text, '') t, row_number() over (order by doc_id) - 1 x from documents),
+n as (select count(*)::bigint n, floor(sqrt(greatest(count(*) - 1, 0)))::bigint + 1 a from documents),
+k as (select n, a, (n + a - 1) // a b from n),
+p as (select x id, x v, 0 s from d union all select id, l * b + r, s + 1 from {_feistel()}),
+places as (select id, v from p, k where s > 0 and v < n),
+crc as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i::bigint, range(8)), lambda c, j: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) e),
+sums as (select x, strlen(t) + 1 size, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(strlen(t)), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint)), lambda c, y: xor(c >> 8, e[(xor(c, y) & 255) + 1])), 4294967295) crc from (select x, t, hex(encode(t)) h from d), crc)
+select doc_id, size::bigint size, crc::bigint text_crc32, 'rows' law, (v % 16)::int shard, v // 16 slot, null::int grown_shard from d join places on id = x join sums using (x)
+"""
+
 OP5 = rf"""
 with d as (select doc_id, coalesce(text, '') t from documents),
 w as (select doc_id, t, regexp_extract_all(t, '{_WORDS}') w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) l from d),
@@ -61,4 +84,4 @@ select l.conv_id, turn, role, call_id, l.answers, case when call_id is not null
 from l left join a on a.conv_id = l.conv_id and a.answers = l.call_id
 """
 
-SQL = {"op1_jaccard_join": OP1, "op5_quality_rules": OP5, "op6_chat_format": OP6, "op8_decontamination": OP8, "op10_url_filter": OP10}
+SQL = {"op1_jaccard_join": OP1, "op3_sharding": OP3, "op5_quality_rules": OP5, "op6_chat_format": OP6, "op8_decontamination": OP8, "op10_url_filter": OP10}

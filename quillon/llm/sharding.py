@@ -7,8 +7,9 @@ other, which is a bijection of 0..a*b-1. Values of n and more are permuted again
 it one of 0..n-1. Position p is shard p mod k, slot p div k, so shard counts are at most one apart and every
 row's place is computable from its number, n, k and the seed.
 
-Null keys come first; a null text has size 1 and the CRC of no bytes. Equal rows may swap places, which no reader can tell (maps and
-variants can't be hashed: rows that differ only there may swap, too). An empty table gives no rows.
+Null keys come first; a null text has size 1 and the CRC of no bytes. Rows that are equal as a whole, however many, are dealt to several partitions by
+where they were read; they may swap places, which no reader can tell (maps and variants can't be hashed: rows that differ only there may swap, too).
+An empty table gives no rows. A walk of more than WALK steps, which has a chance of about n ** (1 - WALK / 2) in all, is an error, never a wrong place.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from quillon.llm.scratch import Scratch
 
 ROUNDS = 6
-#: A walk is longer with a chance of about n**(1 - WALK / 2), and never where a*b - n is less.
+#: Steps of a walk; no walk is longer where a*b - n is less.
 WALK = 64
 
 
@@ -33,9 +34,13 @@ def sides(n: int) -> tuple[int, int]:
 def _permute(x: Column, n: int, seed: int) -> Column:
     a, b = sides(n)
 
+    def keyed(half: Column, k: Column) -> Column:
+        """60 bits of the MD5 of "key:half", a function that any engine has."""
+        return F.conv(F.substring(F.md5(F.concat_ws(":", k.cast("string"), half.cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
+
     def step(acc: Column, k: Column) -> Column:
-        left = F.pmod(acc["l"] + F.pmod(F.xxhash64(acc["r"], k), F.lit(a).cast("long")), F.lit(a).cast("long"))
-        right = F.pmod(acc["r"] + F.pmod(F.xxhash64(acc["l"], k), F.lit(b).cast("long")), F.lit(b).cast("long"))
+        left = F.pmod(acc["l"] + keyed(acc["r"], k), F.lit(a).cast("long"))
+        right = F.pmod(acc["r"] + keyed(acc["l"], k), F.lit(b).cast("long"))
         even = k % 2 == 0
         return F.struct(F.when(even, left).otherwise(acc["l"]).alias("l"), F.when(even, acc["r"]).otherwise(right).alias("r"))
 
@@ -69,9 +74,9 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
     scratch = Scratch(df.sparkSession, "shard")
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
-    rows = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(*hashed).alias("tie"))
-    order = ["id", "crc", "size", "tie"]
-    rows = scratch.keep(rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("id", "tie").withColumn("at", F.monotonically_increasing_id()), "rows", "zstd")
+    rows = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(*hashed).alias("tie"), F.monotonically_increasing_id().alias("read"))
+    order = ["id", "crc", "size", "tie", "read"]
+    rows = scratch.keep(rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("id", "tie", "read").withColumn("at", F.monotonically_increasing_id()), "rows", "zstd")
     part = F.shiftright("at", 33)
     # One row a partition, so small whatever the input.
     sizes = rows.groupBy(part.alias("part")).count()
