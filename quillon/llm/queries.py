@@ -49,7 +49,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = write_shards(shard(table(spark, sf_dir, "documents"), shards=16), Scratch(spark, "shards").base)
+    out = write_shards(shard(table(spark, sf_dir, "documents"), shards=16), f"{Scratch(spark, 'shards').base}/out")
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
