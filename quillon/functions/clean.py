@@ -84,6 +84,11 @@ def document_text(c: Column) -> Column:
     return F.replace(c, F.lit("\0"), F.lit(""))
 
 
+def label(c: Column, width: int = 60) -> Column:
+    """A subject as one shows it in a list: cut at ``width`` characters, empty where there is none."""
+    return F.left(F.coalesce(c, F.lit("")), F.lit(width))
+
+
 def long_enough(c: Column) -> Column:
     return F.coalesce(F.length(c) > 100, F.lit(False))
 
