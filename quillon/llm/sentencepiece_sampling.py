@@ -334,7 +334,10 @@ def encode(df: DataFrame, model: str, key_col: str = "doc_id", text_col: str = "
                     out.append(_strings(*decode_ids(ids, first, p), null))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(cols)], *out], names=[*cols, *new])
 
-    src = df.select(*cols, F.coalesce(F.col(key_col).cast("long"), F.lit(0).cast("long")).alias("_draw"))
+    own = "_draw"
+    while own in cols:
+        own += "_"
+    src = df.select(*cols, F.coalesce(F.col(key_col).cast("long"), F.lit(0).cast("long")).alias(own))
     kinds = {"pieces": "array<int>", decoded_col: "string"}
     schema = df.select(cols).withColumns({c: F.lit(None).cast(kinds[c]) for c in new}).schema
     return src.mapInArrow(run, schema)

@@ -285,18 +285,34 @@ def test_decontamination_in_many_blocks(spark):
 
 
 # --- url filter -------------------------------------------------------------------------------------------------------
-def test_url_filter_equals_brute_force(spark):
+@pytest.mark.parametrize("form", ["list", "table", "merged"])
+def test_url_filter_equals_brute_force(spark, form):
     rng = random.Random(1)
     rules = [url_filter.parse_rule(*r) for r in URL_RULES] + [url_filter.UrlRule("block", "a.net", ""), url_filter.UrlRule("allow", "b.a.net", "/x"), url_filter.UrlRule("block", "net", "/x/y/z/long/path")]
-    urls = [None, "", "nothing", "http://", "x://NET", "x://net/", "http://evilnet/", "http://a.net?x#y"]
+    rules += [url_filter.UrlRule(rng.choice(["block", "allow"]), ".".join(rng.choice("a b org net example com".split()) for _ in range(rng.randrange(1, 4))), rng.choice(["", "/", "/x", "/x/", "/de"])) for _ in range(60)]
+    rules += rules[:5]
+    urls = [None, "", "nothing", "http://", "x://NET", "x://net/", "http://evilnet/", "http://a.net?x#y", "http://a.net/" + "x/" * 20_000]
     urls += ["http://" + ".".join(rng.choice("a b org net example com".split()) for _ in range(rng.randrange(1, 5))) + rng.choice(["", "/", "/x", "/en/", "/de/1", "/fr/", "/x/y/z/long/path"]) for _ in range(400)]
-    got = {r["page_id"]: r for r in url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3), rules).collect()}
+    # One host has most pages, and pages come twice.
+    urls += ["https://b.a.net/x/" + str(i % 90) for i in range(900)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({"rule": F.lit(1), "key": F.lit("k")}).repartition(3)
+    given, more = rules, {}
+    if form != "list":
+        table = [(r.verdict, r.host.upper(), r.path) for r in rules] + [(None, "net", "/"), ("block", None, "/"), ("block", "", "/"), ("block", "net", None)]
+        given, more = spark.createDataFrame(table, "verdict string, host string, path string"), {"small": 0} if form == "merged" else {}
+    out = url_filter.filter_urls(pages.unionByName(pages.where("page_id < 9")), given, **more)
+    rows = out.collect()
+    assert len(rows) == len(urls) + 9 and out.columns == ["page_id", "host", "path", "rule", "verdict"]
+    got = {r["page_id"]: r for r in rows}
+    assert len(set(rows)) == len(urls)
     for i, u in enumerate(urls):
         m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", u or "")
         host, path = (lower(m[1]), m[2]) if m else ("", "")
         fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
         best = max(fits, key=lambda r: r.rank, default=None)
         assert (got[i]["host"], got[i]["path"], got[i]["rule"], got[i]["verdict"]) == (host, path, best and best.name, best.verdict if best else "allow")
+    assert url_filter.filter_urls(pages.limit(0), given, **more).count() == 0
+    assert url_filter.filter_urls(pages, []).where("rule is not null").count() == 0
 
 
 # --- sentencepiece ----------------------------------------------------------------------------------------------------
@@ -339,7 +355,7 @@ def test_sentencepiece_samples_the_lattice():
     keys = tokens.mix(np.arange(n, dtype=np.uint64))
     ids, first = sentencepiece_sampling.encode_chunk(np.tile(codes, n), np.arange(n + 1) * len(codes), keys, p)
     drawn = [tuple(ids[first[i] : first[i + 1]].tolist()) for i in range(n)]
-    alone = [tuple(sentencepiece_sampling._draw_long(marked, keys[i : i + 1], np.zeros(1, np.uint64), p).tolist()) for i in range(n)]
+    alone = [tuple(sentencepiece_sampling._draw_long(marked, keys[i : i + 1], np.zeros(1, np.uint64), p)[1][::-1].tolist()) for i in range(n)]
     for sample in (drawn, alone):
         assert set(sample) <= set(ways)
         for way, w in ways.items():
@@ -376,7 +392,7 @@ def test_language_model_is_a_distribution():
     order = sorted(counts, key=lambda w: h[w])
     voc = language_model.Vocabulary(np.array([h[w] for w in order], np.uint64), np.array([counts[w] for w in order]), np.arange(2, 42), sum(counts.values()), 40, 0.5)
     w = language_model.first_weights(voc)
-    p = np.exp([language_model.log_probs(w, np.array([s]), np.array([0, 1]))[0] for s in range(language_model.SLOTS)])
+    p = np.exp([language_model.log_probs(w, voc, np.array([s]), np.array([0, 1]), np.array([9], np.uint64))[0][0] for s in range(language_model.SLOTS)])
     assert p.sum() == pytest.approx(1, abs=1e-4)
 
 
@@ -391,19 +407,63 @@ def test_language_model_learns_words_without_a_slot(spark):
     assert right > wrong + 1
 
 
-def test_language_model_tree_is_a_distribution(spark):
+def test_language_model_of_other_words_is_a_distribution(spark):
     words_ = np.sort(tokens.mix(np.arange(1, 5001, dtype=np.uint64)))
     c = 1 + np.arange(5000) % 7
     voc = language_model.build_vocabulary(spark.createDataFrame([(int(w), int(n)) for w, n in zip(words_.view(np.int64), c)], "word long, c long"))
-    w = np.random.default_rng(0).normal(0, 0.5, language_model.first_weights(voc).shape).astype(np.float32)
+    biases = language_model.first_weights(voc)
+    w = biases + np.random.default_rng(0).normal(0, 0.5, biases.shape).astype(np.float32) * (biases == 0)
     rare = words_[voc.find(words_)[0] == language_model.OTHER]
-    assert len(rare) == 5000 - 1022 and 1 << voc.depth >= len(rare)
+    assert len(rare) == 5000 - 1022 and voc.mass.sum() == pytest.approx(voc.other - 0.5)
     at = np.arange(0, 2 * len(rare) + 1, 2)
     texts = np.stack([np.full(len(rare), words_[17]), rare], axis=1).ravel()
-    p = language_model.tree_log_probs(w, voc, voc.find(texts)[0], at, texts)[1::2]
+    p = language_model.log_probs(w, voc, voc.find(texts)[0], at, texts)[1][1::2]
+    # Parts without a word have next to nothing, and take next to nothing.
     assert (np.exp(p) * (voc.find(rare)[1] + 0.5)).sum() + 0.5 / voc.other == pytest.approx(1, abs=1e-3)
 
 
+def test_language_model_doesnt_depend_on_partitions(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.randrange(60))) for _ in range(600)]
+    df = frame(spark, texts)
+    got = [{r["doc_id"]: r["score"] / r["n_tokens"] for r in language_model.score_texts(df.coalesce(1) if n == 1 else df.repartition(n, "doc_id"), fold() != 1).collect()} for n in (1, 4, 7)]
+    for other in got[1:]:
+        assert max(abs(got[0][k] - v) for k, v in other.items()) < 1e-6
+
+
+def test_language_model_equals_a_naive_softmax():
+    """Probabilities and gradient sums of one short text, token by token with plain loops over the weight rows."""
+    rng = np.random.default_rng(3)
+    h = np.sort(tokens.mix(np.arange(1, 1301, dtype=np.uint64)))
+    slots = np.full(1300, language_model.OTHER)
+    slots[:1022] = np.arange(2, 1024)
+    mass = np.zeros(language_model.SLOTS)
+    np.add.at(mass, language_model.Vocabulary.place(h[1022:]), 1.5)
+    voc = language_model.Vocabulary(h, np.ones(1300, int), slots, 1300, 1300, float(mass.sum() + 0.5), mass)
+    w = language_model.first_weights(voc)
+    w += rng.normal(0, 0.3, w.shape).astype(np.float32)
+    text = np.r_[h[rng.integers(0, 1300, 40)], language_model.END]
+    first = np.array([0, 41])
+    own = voc.find(text)[0]
+    todo, at = language_model.stages(language_model.Parts.of(w), voc, own, first, text)
+    came, expected, met = np.zeros_like(w), np.zeros(w.shape), np.zeros(len(w), np.int64)
+    language_model._gather(w, came, expected, met, voc, text, first)
+    want_came, want_expected, of_token = np.zeros_like(w), np.zeros(w.shape), np.zeros((len(todo), 41))
+    for k, stage in enumerate(todo):
+        for j, target in enumerate(stage.target):
+            z = sum(w[r].astype(float) for r in stage.rows[:, j])
+            p = np.exp(z) / np.exp(z).sum()
+            of_token[k, j if k < 2 else at[j]] = np.log(p[target])
+            for r in stage.rows[:-1, j]:
+                want_came[r, target] += 1
+                want_expected[r] += p
+    assert np.allclose(came, want_came) and np.allclose(expected, want_expected, atol=1e-5) and met.sum() == sum(len(s.target) * (len(s.rows) - 1) for s in todo)
+    of_slot, in_other = language_model.log_probs(w, voc, own, first, text)
+    assert np.allclose(of_slot, of_token[0] + of_token[1], atol=1e-5)
+    known = np.log((voc.other - 0.5) / voc.other) - np.log(mass[voc.place(text[at])])
+    assert np.allclose(in_other[at], known + of_token[2, at] + of_token[3, at], atol=1e-5)
+
+
 def labelled(spark, n, bad):
     rng = random.Random(3)
     rows, labels = [], []
@@ -432,6 +492,38 @@ def test_toxicity(spark):
     assert {r["doc_id"] for r in left.collect()} == {r["doc_id"] for r in got if r["score"] < 0.5} and "score" in left.columns
     none = toxicity.fit_toxicity(df, labels.limit(0), "y", F.lit(True))
     assert toxicity.score_toxicity(df, none).where("score != 0").count() == 0
+    assert toxicity.score_toxicity(df.limit(0), model).count() == 0
+
+
+def test_toxicity_repeated_ids_and_long_texts(spark, monkeypatch):
+    """20,000 repeats of one labelled id are one training row; an id with both labels and texts beyond the bounds are none."""
+    got = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, y, keep_out: got.append((texts, y)) or toxicity.TextCnn(np.empty(0), [], np.empty(0), np.empty(0), 0.0, np.empty(0), 0.5))
+    docs = spark.createDataFrame([(i, f"w{i} " * 4) for i in range(40)] + [(50, "x" * (toxicity.LONGEST + 1))], DOCS)
+    docs = docs.unionByName(spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("again "), F.col("id").cast("string")).alias("text")))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(7, 1), (8, 1), (50, 0), (99, 1), (None, 1), (9, None)], "doc_id long, y int")
+    toxicity.fit_toxicity(docs, labels, "y", F.lit(True))
+    assert len(got[0][0]) == 39 and got[0][1].sum() == 20
+
+
+def test_toxicity_logits_equal_a_naive_convolution():
+    rng = np.random.default_rng(4)
+    texts = pa.array([" ".join(f"w{rng.integers(90)}" for _ in range(n)) for n in (0, 1, 2, 3, 7, 40, 1)])
+    shape = ((1 + len(toxicity.PREFIXES)) * toxicity.BUCKETS, toxicity.DIM)
+    filters = [rng.normal(0, 1, (w, toxicity.DIM, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS]
+    n = len(filters) * toxicity.FILTERS
+    m = toxicity.TextCnn(rng.normal(0, 1, shape).astype(np.float32), filters, rng.normal(0, 1, n).astype(np.float32), rng.normal(0, 1, n).astype(np.float32), 0.5, rng.normal(0, 1, 5))
+    c = next(tokens.chunks(texts))
+    ids, first = toxicity.bucket_ids(c)
+    for i, got in enumerate(m.scores(c)):
+        own = ids[first[i] : first[i + 1]]
+        x = [sum(m.embed[r] for r in row) for row in own]
+        pooled = []
+        for f in filters:
+            y = x + [np.zeros(toxicity.DIM)] * max(0, len(f) - len(x))
+            pooled += [max(sum(y[a + j] @ f[j][:, k] for j in range(len(f))) for a in range(len(y) - len(f) + 1)) for k in range(toxicity.FILTERS)]
+        z = np.maximum(np.array(pooled) + m.bias, 0) @ m.out + m.out_bias - m.thresholds[toxicity.languages(own, np.array([0, len(own)]))[0]]
+        assert got == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
 
 
 def test_quality_classifier(spark):
@@ -441,3 +533,123 @@ def test_quality_classifier(spark):
     check_scores(got, truth, 0.95)
     assert {r["score"] for r in quality_classifier.classify(df, labels.limit(0), "y", F.lit(True)).collect()} == {0.5}
     assert quality_classifier.classify(df.limit(0), labels, "y", F.lit(True)).count() == 0
+
+
+def test_quality_scores_equal_plain_discriminants(spark):
+    """Against densities from the definition: moments by numpy, inverse covariance and determinant, row by row; rows repeated in the table count twice."""
+    df, labels, _ = labelled(spark, 120, lambda rng, w: " ".join(x + "!" * rng.randrange(3) for x in w))
+    df = df.unionByName(df.where("doc_id < 9")).withColumn("_y", F.lit("x"))
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.classify(df, labels, "y", fold() != 0).collect()}
+    x = {}
+    rows = df.collect()
+    for r in rows:
+        x[r["doc_id"]] = quality_classifier.statistics(next(tokens.chunks(pa.array([r["text"]], pa.string()))))[0]
+    y = {r["doc_id"]: r["y"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    own = [np.array([x[r["doc_id"]] for r in rows if y.get(r["doc_id"]) == k]) for k in (0, 1)]
+    d, total = len(quality_classifier.FEATURES), len(own[0]) + len(own[1])
+    cov = [np.cov(o.T, bias=True) for o in own]
+    pooled = np.diag(sum(len(o) * v for o, v in zip(own, cov)) / total)
+    shrunk = [(1 - a) * v + a * np.diag(pooled) + quality_classifier.RIDGE * np.eye(d) for o, v in zip(own, cov) for a in [min(1, quality_classifier.SHRINK + d / len(o))]]
+    for i, v in x.items():
+        dens = [np.log(len(o) / total) - 0.5 * np.log(np.linalg.det(s)) - 0.5 * (v - o.mean(axis=0)) @ np.linalg.inv(s) @ (v - o.mean(axis=0)) for o, s in zip(own, shrunk)]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(dens[1] - dens[0]) / quality_classifier.TEMPER)), abs=1e-6)
+
+
+# --- cascade, lanes and the pipeline ------------------------------------------------------------------------------------
+def test_quality_order_is_stable_and_the_cascade_stops(spark):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(rng.randrange(120))) for _ in range(300)] + ["A " * 200] * 40 + [None, ""]
+    df = frame(spark, texts)
+    orders = [[r.name for r in quality_rules.rule_order(d)] for d in (df, df.repartition(5), df.orderBy(F.desc("doc_id")).coalesce(1))]
+    assert orders[0] == orders[1] == orders[2] and sorted(orders[0]) == sorted(r.name for r in quality_rules.RULES)
+    # The first rule rejects most rows for its work; a rule that never rejects comes after those that do.
+    assert orders[0].index("symbols") > orders[0].index("short")
+    short = next(r for r in quality_rules.RULES if r.name == "short")
+    bomb = quality_rules.QualityRule("bomb", ("n_upper",), lambda m: F.raise_error(F.lit("taken")).isNull())
+    few = frame(spark, ["too short", None])
+    assert {r[0] for r in few.select(quality_rules.cascade([short, bomb], F.col("text"))).collect()} == {"short"}
+    with pytest.raises(Exception, match="taken"):
+        few.select(quality_rules.cascade([bomb, short], F.col("text"))).collect()
+    got = {r["doc_id"]: r for r in quality_rules.quality_cascade(df).collect()}
+    kept = {r["doc_id"] for r in quality_rules.keep_good(df).collect()}
+    assert kept == {k for k, r in got.items() if r["kept"]}
+    assert quality_rules.quality_cascade(df.limit(0)).count() == 0
+
+
+def test_chat_doesnt_depend_on_the_order_of_rows(spark):
+    """Turns repeat, whole rows repeat, conversation and turn can be null, and one conversation holds most rows."""
+    rng = random.Random(9)
+    good = '{"turn": 1, "prompt": "p"}'
+    rows = [(rng.choice(["hot", "hot", "c", None]), rng.choice([*range(30), None]), "user", f"t{rng.randrange(5)}", rng.choice([None, f"i{rng.randrange(40)}"]), "reply", rng.choice([good, "{"]), rng.choice([None, f"i{rng.randrange(40)}"]), rng.choice([None, [], [f"i{rng.randrange(40)}"]])) for _ in range(300)]
+    rows += rows[:7]
+    df = spark.createDataFrame(rows, MESSAGES).withColumn("seq", F.lit("other"))
+    results = []
+    for d in (df.coalesce(1), df.repartition(6, F.rand(1)), df.orderBy(F.rand(2)).repartition(3)):
+        results.append(sorted(map(str, chat_format.format_chat(d, TOOLS).collect())))
+    assert results[0] == results[1] == results[2] and len(results[0]) == len(rows)
+
+
+def test_chat_long_chain_against_the_turns_takes_few_rounds(spark, monkeypatch):
+    n = 120
+    good = '{"turn": 1, "prompt": "p"}'
+    rows = [("c", n - i, "user", "x", f"i{i}", "reply", good, None, [f"i{i - 1}"] if i else []) for i in range(n)]
+    kept = []
+    keep = scratch.Scratch.keep
+    monkeypatch.setattr(scratch.Scratch, "keep", lambda self, df, name="t", *a: kept.append(name) or keep(self, df, name, *a))
+    got = {r["call_id"]: r["level"] for r in chat_format.format_chat(spark.createDataFrame(rows, MESSAGES), TOOLS).collect()}
+    assert got == {f"i{i}": i + 1 for i in range(n)} and kept.count("ready") <= 12
+
+
+# --- nulls, repeats, long texts, other columns ------------------------------------------------------------------------
+def test_language_model_takes_odd_rows(spark):
+    """Null ids, repeated rows, a very long text and columns with the operator's own names."""
+    rows = [(None, "a b c"), (1, "a b c"), (1, "a b c"), (2, "a b " * 60_000), (3, None), (4, "zz")]
+    df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("x") for c in ("id", "row", "rare", "word", "score", "part")})
+    got = language_model.score_texts(df, fold() != 1).collect()
+    assert len(got) == 6 and {r["train_tokens"] for r in got} == {sum(len(words(t or "")) + 1 for i, t in rows if i is None or zlib.crc32(str(i).encode()) % 5 != 1)}
+    assert len({r["score"] for r in got if r["doc_id"] in (None, 1)}) == 1 and next(r for r in got if r["doc_id"] == 2)["n_tokens"] == 120_001
+
+
+def test_sentencepiece_takes_odd_rows(spark):
+    """Null and repeated keys draw alike for equal texts; an empty table stays one; a text without spaces is one long unit."""
+    long = "日本語のテキスト" * 3000 + "x" * 20_000
+    df = spark.createDataFrame([(None, "some words here"), (0, "some words here"), (0, "some words here"), (1, long)], DOCS).withColumn("_draw", F.lit(5))
+    got = sentencepiece_sampling.encode(df, PIECE_MODEL, decoded_col="text2").collect()
+    assert all(r["text2"] == r["text"] for r in got) and len({tuple(r["pieces"]) for r in got if r["doc_id"] != 1}) == 1
+    out = sentencepiece_sampling.encode(df.limit(0), PIECE_MODEL)
+    assert out.count() == 0 and out.columns == [*df.columns, "pieces"]
+    assert sentencepiece_sampling.decode(out, PIECE_MODEL).count() == 0
+
+
+def test_jaccard_takes_odd_rows(spark):
+    """A very long text and its near copy, repeated rows with their ids, and columns with the operator's own names."""
+    long = [f"w{i}" for i in range(60_000)]
+    near = [*long[:30_000], "changed", *long[30_001:]]
+    rows = [(5, " ".join(long)), (9, " ".join(near)), (9, " ".join(near)), (2, "one two three four five six"), (2, "one two three four five six"), (3, "one two three four five six"), (7, None)]
+    df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("x") for c in ("id", "key", "n", "component_id", "_kept", "_n")})
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(df).collect())
+    assert got == [(2, 2), (2, 2), (3, 2), (5, 5), (7, 7), (9, 5), (9, 5)]
+    kept = jaccard_join.keep_one_each(df)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 5, 7] and kept.columns == df.columns
+
+
+def test_jaccard_leftovers_are_complete(spark):
+    """Many variants of one text, hardly any of them linked to the one that all are compared with; links between them are found."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for g in range(30):
+        own = list(base)
+        for i in rng.sample(range(120), 9):
+            own[i] = f"g{g}x{i}"
+        for _ in range(4):
+            t = list(own)
+            for i in rng.sample(range(120), rng.randrange(3)):
+                t[i] = f"r{rng.randrange(10**9)}"
+            texts.append(" ".join(t))
+    for cut in range(20, 120, 3):
+        texts.append(" ".join(base[:cut]))
+    rng.shuffle(texts)
+    rule = jaccard_join.Rule(4, 85, 100)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(frame(spark, texts), rule=rule).collect()}
+    assert got == {i: c for i, _, c in brute_components(texts, 4, 85, 100)}
