@@ -14,7 +14,7 @@ for neither, so a set still shares spare + 1 - (its thin groups) signatures with
 What happens to the buckets:
 * Equal sets are one class, named by a 64-bit hash of the set; all work is on classes, so copies cost one row each.
 * A bucket's classes are compared with one pivot, the class that meets most others; verified pairs are edges.
-* A bucket fellow of fewer shared signatures than linked sets must share is out before that.
+* A class of fewer shared signatures than linked sets must share is out before that.
 * After components of those edges, only pairs of classes of one pivot and of different components are left. A round of
   comparisons between likely fellows, a linear number, leaves few components. The rest is complete:
   pairs are found by what they differ in from the pivot: linked classes have a certain part of those differences in common, so
@@ -374,18 +374,11 @@ def _join(df: DataFrame, id_col: str, text_col: str, rule: Rule) -> tuple[DataFr
     rows = scratch.keep(docs.mapInArrow(_class_rows(rule), "id long, n long, key long"), "rows")
     classes = scratch.keep(rows.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("class_size")), "classes")
 
-    # Buckets with two classes or more.
-    buckets = scratch.keep(_shared(docs.where("id is not null").mapInArrow(_signature_rows(rule), "sig long, key long, info int")), "buckets")
-    for _ in range(2):
-        # A class that shares fewer signatures of a band than any partner must is out of that band, and may leave others alone.
-        enough = buckets.groupBy("key", "info").agg(F.count_distinct("sig").alias("m")).where("m >= info & 65535").select("key", "info")
-        fewer = scratch.keep(_shared(buckets.join(enough, ["key", "info"])), "buckets")
-        scratch.drop(buckets)
-        buckets = fewer
-    if buckets.isEmpty():
+    pairs = _pivot_pairs(docs.where("id is not null").mapInArrow(_signature_rows(rule), "sig long, key long, info int"), scratch)
+    if pairs.isEmpty():
         edges = spark.createDataFrame([], "u long, v long")
     else:
-        edges = _edges(docs, classes, buckets, rule, scratch)
+        edges = _edges(docs, classes, pairs, rule, scratch)
     return rows, classes, edges, scratch
 
 
@@ -418,16 +411,8 @@ def jaccard_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return between.unionByName(copies).where("a != b").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
 
 
-def _shared(sigs: DataFrame) -> DataFrame:
-    """The rows of signatures that two classes or more have."""
-    by_sig = Window.partitionBy("sig")
-    return sigs.withColumns({"lo": F.min("key").over(by_sig), "hi": F.max("key").over(by_sig)}).where("lo != hi").drop("lo", "hi")
-
-
-def _edges(docs: DataFrame, classes: DataFrame, buckets: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """Links between classes, enough of them for the same components as all."""
-    pairs = _pivot_pairs(buckets, scratch)
-    scratch.drop(buckets)
+def _edges(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
+    """Links between classes, enough of them for the same components as all; ``pairs`` are those of ``_pivot_pairs``."""
     # Pairs between a pivot's classes come later: each of those classes is in a pair with it.
     sets = _sets_of(docs, classes, pairs.select(F.col("u").alias("key")).unionByName(pairs.select(F.col("v").alias("key"))).distinct(), rule, scratch)
     tested = _verify(sets, pairs, rule, scratch)
@@ -465,22 +450,31 @@ def _edges(docs: DataFrame, classes: DataFrame, buckets: DataFrame, rule: Rule,
     return edges
 
 
-def _pivot_pairs(buckets: DataFrame, scratch: Scratch) -> DataFrame:
-    """(u, v): each class of a bucket with a pivot v that all classes of the bucket are compared with."""
-    # A class's weight is the number of its bucket fellows; a bucket's pivot has the greatest, ties go to the greater key.
-    size = buckets.groupBy("sig").agg(F.count_distinct("key").alias("m"))
-    weight = buckets.join(size, "sig").groupBy("key").agg(F.sum("m").alias("w"))
-    weighed = scratch.keep(buckets.join(weight, "key").select("sig", "key", "w").distinct(), "weighed")
-    pivots = weighed.groupBy("sig").agg(F.max(F.struct("w", "key")).alias("p"))
-    met = scratch.keep(weighed.join(pivots, "sig").select("sig", "key", "p"), "met")
-    scratch.drop(weighed)
-    # A class is compared with the heaviest of its pivots, and with a bucket's own only where the fellows there differ in that.
-    best = met.groupBy("key").agg(F.max("p").alias("best"))
-    told = met.join(best, "key")
-    split = told.groupBy("sig").agg(F.min("best").alias("lo"), F.max("best").alias("hi")).where("lo != hi").select("sig")
-    pairs = told.select("key", F.col("best.key").alias("v")).unionByName(told.join(split, "sig", "left_semi").select("key", F.col("p.key").alias("v")))
+def _pivot_pairs(sigs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(u, v): each class of a bucket with a pivot v that all classes of the bucket are compared with.
+
+    Signature rows cross one exchange. Those that two classes or more have make the buckets, and buckets of the same classes are one group, named by
+    a hash of its classes; there are far fewer groups, so what follows is on small tables. A class that shares fewer signatures of a band than any partner
+    must is out of that band. A group's pivot is the class with the most bucket fellows, ties go to the greater key.
+    """
+    by_sig = Window.partitionBy("sig")
+    known = sigs.withColumn("last", F.lag("key").over(by_sig.orderBy("key"))).where("last is null or last != key").drop("last")
+    buckets = known.withColumns({"m": F.count("*").over(by_sig), "g": F.bit_xor(F.xxhash64("key")).over(by_sig)}).where("m > 1")
+    groups = scratch.keep(buckets.groupBy("g", "key", "info").agg(F.count("*").alias("n"), F.sum("m").alias("m")), "groups")
+    # A class has rows in two bands at most.
+    stats = groups.groupBy("key", "info").agg(F.sum("n").alias("n"), F.sum("m").alias("w")).where("n >= info & 65535")
+    stats = stats.select("key", "info", F.sum("w").over(Window.partitionBy("key")).alias("w"))
+    by_group = Window.partitionBy("g")
+    left = groups.join(stats, ["key", "info"]).select("g", "key", "w").distinct()
+    left = left.withColumns({"p": F.max(F.struct("w", "key")).over(by_group), "m": F.count("*").over(by_group)}).where("m > 1").select("g", "key", "p")
+    before, groups = groups, scratch.keep(left, "pivots")
+    scratch.drop(before)
+    # A class is compared with the heaviest of its pivots, and with a group's own only where the fellows there differ in that.
+    met = groups.join(groups.groupBy("key").agg(F.max("p").alias("best")), "key")
+    split = met.groupBy("g").agg(F.min("best").alias("lo"), F.max("best").alias("hi")).where("lo != hi").select("g")
+    pairs = met.select("key", F.col("best.key").alias("v")).unionByName(met.join(split, "g", "left_semi").select("key", F.col("p.key").alias("v")))
     pairs = scratch.keep(pairs.where("key != v").select(F.col("key").alias("u"), "v").distinct(), "pairs")
-    scratch.drop(met)
+    scratch.drop(groups)
     return pairs
 
 
