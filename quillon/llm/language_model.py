@@ -1,23 +1,25 @@
 """Language-model scoring by a hashed maximum-entropy model with a class-factored softmax.
 
 Slots are the end of a text, one for all other words, and the most frequent words; SIDE slots by frequency make a class.
-P(slot) = P(class | features) P(slot in class | features, class), both softmaxes of sums of weight rows for the word before, the
-word two before (a skip), and, for classes, the hashed pair of both. Features are of the words themselves: a word without a slot has its
+P(slot) = P(class | features) P(slot in class | features, class), both softmaxes of sums of weight rows for the word before (with
+the word itself a bigram) and, within a class, the word two before (a skip). Features are of the words themselves: a word without a slot has its
 own hash in them, and weight rows grow with the number of distinct words between ROWS[0] and ROWS[1] (a task sends all its rows).
 
-The words of the other slot are the leaves of a binary tree, by the first bits of their hashes; its depth grows with their
-number, to a leaf a word on average, up to DEPTH, from where words share leaves. Each step down is a logistic of the step's share of the counts and
-of the rows of the word before, the skip and the pair. Words of one leaf share it by (c + 0.5). An unseen word has 0.5 of the other slot's
-sum, so probabilities of all known words and one unseen word add up to 1.
+The words of the other slot are factored in the same way: the first bits of a word's hash name one of SIDE groups and one of SIDE parts of
+it, with softmaxes over rows of the word before and, for parts, the skip; the words of one part share it by (c + 0.5). An unseen word
+has 0.5 of the other slot's sum, so probabilities of all known words and one unseen word add up to 1.
 
 * Counts: every training token; tasks combine words before the exchange, the counts are a written table.
-* Training: ROUNDS rounds. Each takes another part of the training texts (by hash, together all of them); every task
-  updates its own copy of the weights in mini-batches by gradient, and the copies' changes are averaged, each weight row by how
-  often the tasks met it, in two levels of groups of bounded size. A round has a part of the texts, so a task takes several splits.
+* Training: ROUNDS rounds. Each takes another part of the training texts (by hash, together all of them). The gradient of
+  the part's log-likelihood at the round's weights is, for each row and output, how often the output came less how often the model
+  expected it. Tasks sum both, their sums are added up in two levels of groups of bounded size, and the weights take one step: STEP of
+  the log of the ratio of both, damped by PRIOR expected cases (the exponentiated form of the gradient). Sums don't depend on how rows
+  lie in tasks, so neither do scores, but for rounding (some 1e-6 of a score).
 * Scoring: one pass in sparse batches. The words of a bounded count table (at most TABLE words, by a count threshold)
   are looked up there; all others leave their hashes, which meet the written counts in a join and come back as sums by text.
 
-Words are told apart by 64-bit hashes. Null and empty texts are one end token. Without training rows all counts are 0.
+Words are told apart by 64-bit hashes. Null and empty texts are one end token; repeated rows count and are scored as often as they come. Rows with a null
+id are scored; whether they're learnt from is for the caller's condition (null: no). Without training rows all counts are 0. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -35,13 +37,18 @@ from quillon.llm.scratch import Scratch
 from quillon.llm.tokens import SPACED, chunks, mix
 
 SIDE = 32
+BITS = 5
 SLOTS = SIDE * SIDE
 TABLE = 1 << 17
-ROUNDS, BATCH, RATE = 3, 2048, 0.3
-#: Least and most rows of a part that is hashed, and the greatest depth of the tree (4 bytes a leaf, twice, are broadcast).
+ROUNDS, STEP, PRIOR = 3, 0.7, 100.0
+#: A weight's bound: sums of two and a bias stay far from what a float can't be the exponential of.
+LARGEST = 12.0
+#: Least and most rows of a part that is hashed.
 ROWS = 1 << 13, 1 << 14
-DEPTH = 20
-BLOCK = 512
+#: Rows of weights sent together, and tokens done together.
+BLOCK, TILE = 512, 16384
+#: Tokens whose sums are kept in floats before they're added to doubles.
+FLUSH = 500_000
 #: The hash that stands for the end of a text, and the slots of the end and of other words.
 END = np.uint64(0xE0D0C0B0A0908071)
 END_SLOT, OTHER = 0, 1
@@ -53,7 +60,8 @@ class Parts:
 
     def __init__(self, rows: int):
         self.rows = rows
-        sizes = {"prev": SLOTS + rows, "skip": SLOTS + rows, "pair": rows, "class_bias": 1, "word_prev": 2 * rows, "word_skip": 2 * rows, "word_bias": SIDE, "tree_prev": SLOTS + rows, "tree_skip": SLOTS + rows, "tree_pair": rows}
+        own = SLOTS + rows
+        sizes = {"prev": own, "class_bias": 1, "word_prev": 2 * rows, "word_skip": 2 * rows, "word_bias": SIDE, "group_prev": own, "group_bias": 1, "part_prev": rows, "part_skip": rows, "part_bias": SIDE}
         at = 0
         for name, n in sizes.items():
             setattr(self, name, at)
@@ -104,10 +112,7 @@ def _count_batch(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
 
 @dataclass
 class Vocabulary:
-    """words: sorted hashes of the count table; counts and slots (OTHER: none of its own) go with them.
-
-    The tree of the words in OTHER: depth, each node's log odds of its second half by counts, and each leaf's log sum of (c + 0.5).
-    """
+    """words: sorted hashes of the count table; counts and slots (OTHER: none of its own) go with them. mass: by the first bits of a hash, the summed (c + 0.5) of the words in OTHER."""
 
     words: np.ndarray
     counts: np.ndarray
@@ -116,12 +121,12 @@ class Vocabulary:
     distinct: int
     #: Summed (c + 0.5) of the words in OTHER, one unseen word included.
     other: float
-    depth: int = 0
-    odds: np.ndarray = field(default_factory=lambda: np.zeros(1, np.float32))
-    leaves: np.ndarray = field(default_factory=lambda: np.zeros(1, np.float32))
+    mass: np.ndarray = field(default_factory=lambda: np.zeros(SLOTS))
 
-    def leaf(self, h: np.ndarray) -> np.ndarray:
-        return (h >> _U(64 - self.depth)).astype(np.int64) if self.depth else np.zeros(len(h), np.int64)
+    @staticmethod
+    def place(h: np.ndarray) -> np.ndarray:
+        """Group * SIDE + part of each hash."""
+        return (h >> _U(64 - 2 * BITS)).astype(np.int64)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slot and count of each hash; count -1 where the table doesn't have it."""
@@ -156,27 +161,17 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
     inside = slots != OTHER
     rest = v - int(inside.sum())
     other = (n - int(c[inside].sum())) + 0.5 * (rest + 1)
-    voc = Vocabulary(h, c, slots, n, v, other, min(DEPTH, max(rest - 1, 0).bit_length()))
-    _grow_tree(voc, counts, h[inside], c[inside])
-    return voc
-
-
-def _grow_tree(voc: Vocabulary, counts: DataFrame, own: np.ndarray, own_counts: np.ndarray) -> None:
-    """Sums of the leaves and odds of the nodes; ``own`` are the words that aren't in the tree."""
-    twice = np.zeros(1 << voc.depth, np.int64)
-    leaf = F.shiftrightunsigned("word", 64 - voc.depth) if voc.depth else F.lit(0)
-    sums = counts.groupBy(leaf.cast("int").alias("leaf")).agg(F.sum(2 * F.col("c") + 1).alias("n")).toArrow()
-    twice[sums["leaf"].to_numpy()] = sums["n"].to_numpy()
-    np.subtract.at(twice, voc.leaf(own), 2 * own_counts + 1)
-    mass = twice / 2
-    voc.leaves = np.log(np.maximum(mass, 0.5)).astype(np.float32)
-    voc.odds = np.zeros(1 << voc.depth, np.float32)
-    for k in range(voc.depth - 1, -1, -1):
-        left, right = mass[::2], mass[1::2]
-        with np.errstate(divide="ignore"):
-            # A half without words is never gone to.
-            voc.odds[1 << k : 2 << k] = np.where(left + right > 0, np.clip(np.log(right, where=right > 0, out=np.full(len(right), -99.0)) - np.log(left, where=left > 0, out=np.full(len(left), -99.0)), -60, 60), 0)
-        mass = left + right
+    # At most SLOTS rows.
+    twice = np.zeros(SLOTS, np.int64)
+    sums = counts.groupBy(F.shiftrightunsigned("word", 64 - 2 * BITS).cast("int").alias("place")).agg(F.sum(2 * F.col("c") + 1).alias("n")).toArrow()
+    twice[sums["place"].to_numpy()] = sums["n"].to_numpy()
+    np.subtract.at(twice, Vocabulary.place(h[inside]), 2 * c[inside] + 1)
+    return Vocabulary(h, c, slots, n, v, other, twice / 2)
+
+
+def _logs(p: np.ndarray) -> np.ndarray:
+    """Logs of shares along the last axis; what has none is as good as impossible."""
+    return np.log(np.maximum(p / np.maximum(p.sum(axis=-1, keepdims=True), 1e-300), np.exp(-2 * LARGEST)))
 
 
 def first_weights(voc: Vocabulary) -> np.ndarray:
@@ -186,9 +181,9 @@ def first_weights(voc: Vocabulary) -> np.ndarray:
     p = np.full(SLOTS, 0.5)
     np.add.at(p, voc.slots[voc.slots != OTHER], voc.counts[voc.slots != OTHER])
     p[OTHER] = voc.other
-    grid = p.reshape(SIDE, SIDE)
-    w[parts.class_bias] = np.log(grid.sum(axis=1) / p.sum())
-    w[parts.word_bias : parts.word_bias + SIDE] = np.log(grid / grid.sum(axis=1, keepdims=True))
+    for grid, one, each in ((p.reshape(SIDE, SIDE), parts.class_bias, parts.word_bias), (voc.mass.reshape(SIDE, SIDE), parts.group_bias, parts.part_bias)):
+        w[one] = _logs(grid.sum(axis=1))
+        w[each : each + SIDE] = _logs(grid)
     return w
 
 
@@ -204,121 +199,146 @@ def _before(x: np.ndarray, first: np.ndarray, end) -> tuple[np.ndarray, np.ndarr
     return prev, skip
 
 
-def _rows(parts: Parts, slots: np.ndarray, first: np.ndarray, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Class rows (3 by token), word rows (2 by token), tree rows (3 by token) and the class of each token. ``words``: the hashes, else the slots stand for them."""
-    own = slots if words is None else np.where(slots == OTHER, SLOTS + (words & _U(parts.rows - 1)).astype(np.int64), slots)
-    prev, skip = _before(own, first, END_SLOT)
-    prev_word, skip_word = _before(slots.astype(np.uint64) if words is None else words, first, _U(END_SLOT) if words is None else END)
-    cls = slots // SIDE
-    with np.errstate(over="ignore"):
-        pair = (mix(prev_word * _U(0x9E3779B97F4A7C15) + skip_word) & _U(parts.rows - 1)).astype(np.int64)
-        wp = (mix(prev_word * _U(SIDE) + cls.astype(np.uint64)) & _U(2 * parts.rows - 1)).astype(np.int64)
-        ws = (mix(skip_word * _U(SIDE) + cls.astype(np.uint64) + _U(1 << 40)) & _U(2 * parts.rows - 1)).astype(np.int64)
-    tree = np.stack([parts.tree_prev + prev, parts.tree_skip + skip, parts.tree_pair + pair])
-    return np.stack([parts.prev + prev, parts.skip + skip, parts.pair + pair]), np.stack([parts.word_prev + wp, parts.word_skip + ws]), tree, cls
-
-
-def _steps(w: np.ndarray, voc: Vocabulary, rt: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds of the second half at each step to the leaves, and the halves taken."""
-    k = np.arange(voc.depth + 1, dtype=np.int32)
-    node = (1 << k) | (leaf.astype(np.int32)[:, None] >> (voc.depth - k))
-    z = (w[rt[0]] + w[rt[1]] + w[rt[2]])[:, : voc.depth] + voc.odds[node[:, :-1]]
-    return z, (node[:, 1:] & 1).astype(np.float32)
-
-
-def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities and log normalisers."""
-    top = z.max(axis=1, keepdims=True)
-    e = np.exp(z - top)
-    s = e.sum(axis=1, keepdims=True)
-    return e / s, (np.log(s) + top)[:, 0]
-
-
-def log_probs(w: np.ndarray, slots: np.ndarray, first: np.ndarray, words: np.ndarray | None = None, rows: tuple | None = None) -> np.ndarray:
-    """Natural log probability of each token's slot."""
-    out = np.empty(len(slots))
-    parts = Parts.of(w)
-    rc, rw, _, cls = rows or _rows(parts, slots, first, words)
-    for lo in range(0, len(slots), 16_384):
-        s = slice(lo, lo + 16_384)
-        n = np.arange(len(cls[s]))
-        z = w[rc[0, s]] + w[rc[1, s]] + w[rc[2, s]] + w[parts.class_bias]
-        y = w[rw[0, s]] + w[rw[1, s]] + w[parts.word_bias + cls[s]]
-        out[s] = z[n, cls[s]] - _softmax(z)[1] + y[n, slots[s] % SIDE] - _softmax(y)[1]
-    return out
+@dataclass
+class Stage:
+    """One softmax for some tokens: weight rows (a row of the array for each feature, the bias last) and outputs."""
 
+    rows: np.ndarray
+    target: np.ndarray
 
-def tree_log_probs(w: np.ndarray, voc: Vocabulary, slots: np.ndarray, first: np.ndarray, words: np.ndarray, rows: tuple | None = None) -> np.ndarray:
-    """For the tokens in OTHER: natural log probability there of a word of the leaf, by its (c + 0.5), which isn't in it. Other tokens have 0."""
-    out = np.zeros(len(slots))
+
+def stages(parts: Parts, voc: Vocabulary, slots: np.ndarray, first: np.ndarray, words: np.ndarray) -> tuple[list[Stage], np.ndarray]:
+    """Class and slot of all tokens, group and part of those in OTHER; and where those are."""
+    own = np.where(slots == OTHER, SLOTS + (words & _U(parts.rows - 1)).astype(np.int64), slots)
+    prev, _ = _before(own, first, END_SLOT)
+    prev_word, skip_word = _before(words, first, END)
+    cls = slots // SIDE
     at = np.flatnonzero(slots == OTHER)
-    rt = (_rows(Parts.of(w), slots, first, words) if rows is None else rows)[2][:, at]
-    leaf = voc.leaf(words[at])
-    known = np.log(max(voc.other - 0.5, 0.5) / voc.other)
-    for lo in range(0, len(at), 4096):
-        s = slice(lo, lo + 4096)
-        z, second = _steps(w, voc, rt[:, s], leaf[s])
-        z *= 1 - 2 * second
-        # A product of at most DEPTH numbers, whose logs stay far from a double's bound.
-        out[at[s]] = known - voc.leaves[leaf[s]] - np.log((1 + np.exp(np.minimum(z, 80))).prod(axis=1, dtype=np.float64))
+    place = voc.place(words[at])
+    group = place // SIDE
+
+    def row(word: np.ndarray, salt: int, bits: int) -> np.ndarray:
+        return (mix(word + _U(salt << 40)) & _U(bits - 1)).astype(np.int64)
+
+    with np.errstate(over="ignore"):
+        before, skipped = prev_word * _U(SIDE), skip_word * _U(SIDE)
+        slot_rows = [parts.word_prev + row(before + cls.astype(np.uint64), 0, 2 * parts.rows), parts.word_skip + row(skipped + cls.astype(np.uint64), 1, 2 * parts.rows)]
+        part_rows = [parts.part_prev + row(before[at] + group.astype(np.uint64), 2, parts.rows), parts.part_skip + row(skipped[at] + group.astype(np.uint64), 3, parts.rows)]
+    same = lambda x, n: np.full(n, x)
+    return [
+        Stage(np.stack([parts.prev + prev, same(parts.class_bias, len(slots))]), cls),
+        Stage(np.stack([*slot_rows, parts.word_bias + cls]), slots % SIDE),
+        Stage(np.stack([parts.group_prev + prev[at], same(parts.group_bias, len(at))]), group),
+        Stage(np.stack([*part_rows, parts.part_bias + group]), place % SIDE),
+    ], at
+
+
+def _tiles(w: np.ndarray, stage: Stage):
+    """(slice, exponentials of the summed rows, their sums) for TILE tokens at a time; the arrays are used again."""
+    n = len(stage.target)
+    z, more = np.empty((min(TILE, n), SIDE), np.float32), np.empty((min(TILE, n), SIDE), np.float32)
+    for lo in range(0, n, TILE):
+        s = slice(lo, min(lo + TILE, n))
+        m = s.stop - lo
+        np.take(w, stage.rows[0, s], axis=0, out=z[:m], mode="clip")
+        for r in stage.rows[1:]:
+            np.take(w, r[s], axis=0, out=more[:m], mode="clip")
+            z[:m] += more[:m]
+        np.exp(z[:m], out=z[:m])
+        yield s, z[:m], z[:m].sum(axis=1)
+
+
+def stage_log_probs(w: np.ndarray, stage: Stage) -> np.ndarray:
+    """Natural log probability of each token's output."""
+    out = np.empty(len(stage.target))
+    for s, e, total in _tiles(w, stage):
+        out[s] = np.log(e[np.arange(len(e)), stage.target[s]] / total)
     return out
 
 
-def _descend(w: np.ndarray, hist: np.ndarray, met: np.ndarray, voc: Vocabulary, words: np.ndarray, first: np.ndarray) -> None:
-    """Gradient steps over the tokens, in mini-batches; a row's step shrinks with the gradients it has seen."""
-    slots = voc.find(words)[0]
-    parts = Parts.of(w)
-    rc, rw, rt, cls = _rows(parts, slots, first, words)
-    for lo in range(0, len(slots), BATCH):
-        s = slice(lo, lo + BATCH)
-        n = np.arange(len(cls[s]))
-        gz, _ = _softmax(w[rc[0, s]] + w[rc[1, s]] + w[rc[2, s]] + w[parts.class_bias])
-        gy, _ = _softmax(w[rw[0, s]] + w[rw[1, s]] + w[parts.word_bias + cls[s]])
-        gz[n, cls[s]] -= 1
-        gy[n, slots[s] % SIDE] -= 1
-        steps = [(rc[0, s], gz), (rc[1, s], gz), (rc[2, s], gz), (rw[0, s], gy), (rw[1, s], gy)]
-        at = lo + np.flatnonzero(slots[s] == OTHER)
-        if voc.depth and len(at):
-            z, second = _steps(w, voc, rt[:, at], voc.leaf(words[at]))
-            gt = np.zeros((len(at), SIDE), np.float32)
-            gt[:, : voc.depth] = 1 / (1 + np.exp(-z)) - second
-            steps += [(r[at], gt) for r in rt]
-        for rows, g in steps:
-            order = np.argsort(rows, kind="stable")
-            r = rows[order]
-            heads = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-            total = np.add.reduceat(g[order], heads, axis=0)
-            r = r[heads]
-            hist[r] += (total * total).mean(axis=1)
-            met[r] += np.diff(np.r_[heads, len(order)])
-            w[r] -= RATE * total / np.sqrt(hist[r])[:, None]
-
-
-def _local_updates(voc, weights):
+def log_probs(w: np.ndarray, voc: Vocabulary, slots: np.ndarray, first: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log probabilities: of each token's slot; and, for a token in OTHER, of a known word of its part there, by its (c + 0.5), which isn't in it (else 0)."""
+    todo, at = stages(Parts.of(w), voc, slots, first, words)
+    of_slot = stage_log_probs(w, todo[0]) + stage_log_probs(w, todo[1])
+    in_other = np.zeros(len(slots))
+    known = np.log(max(voc.other - 0.5, 0.5) / voc.other)
+    in_other[at] = known - np.log(np.maximum(voc.mass[voc.place(words[at])], 0.5)) + stage_log_probs(w, todo[2]) + stage_log_probs(w, todo[3])
+    return of_slot, in_other
+
+
+def _sum_equal(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, how often each comes, and the sums of their rows of values: the second half of a key's rows is added to the first until one is left."""
+    order = np.argsort(keys)
+    own = keys[order]
+    heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+    n = np.diff(np.r_[heads, len(own)])
+    rows = values[order]
+    start, left = heads[n > 1], n[n > 1]
+    while len(left):
+        half = left // 2
+        ends = np.cumsum(half)
+        to = np.arange(ends[-1]) + np.repeat(start - (ends - half), half)
+        rows[to] += rows[to + np.repeat(left - half, half)]
+        left = left - half
+        start, left = start[left > 1], left[left > 1]
+    return own[heads], n, rows[heads]
+
+
+def _gather(w: np.ndarray, came: np.ndarray, expected: np.ndarray, met: np.ndarray, voc: Vocabulary, words: np.ndarray, first: np.ndarray) -> None:
+    """Adds to both sides of the gradient, and to each row's number of tokens, what these texts give; biases stay as they are."""
+    todo, _ = stages(Parts.of(w), voc, voc.find(words)[0], first, words)
+    for stage in todo:
+        for r in stage.rows[:-1]:
+            np.add.at(came.reshape(-1), r * SIDE + stage.target, np.float32(1))
+        for s, e, total in _tiles(w, stage):
+            e /= total[:, None]
+            for r in stage.rows[:-1]:
+                own, n, sums = _sum_equal(r[s], e)
+                expected[own] += sums
+                met[own] += n
+
+
+def _sums(voc, weights):
     def run(batches):
-        v, start = voc.value, weights.value
-        w, hist, met = start.copy(), np.full(len(start), 1.0, np.float32), np.zeros(len(start), np.int64)
+        v, w = voc.value, weights.value
+        came, recent, expected, met = np.zeros(w.shape, np.float32), np.zeros(w.shape, np.float32), np.zeros(w.shape), np.zeros(len(w), np.int64)
+        n = 0
         for b in batches:
             for c in chunks(b.column("text")):
                 h, first = _tokens(c)
-                _descend(w, hist, met, v, h, first)
-        if met.any():
-            change = (w - start) * met[:, None]
-            task = TaskContext.get().partitionId()
-            for lo in range(0, len(start), BLOCK):
-                if met[lo : lo + BLOCK].any():
-                    yield pa.RecordBatch.from_arrays([pa.array([lo], pa.int32()), pa.array([task // 64], pa.int32()), pa.array([met[lo : lo + BLOCK].tobytes()]), pa.array([change[lo : lo + BLOCK].astype(np.float32).tobytes()])], names=["block", "part", "met", "change"])
+                _gather(w, came, recent, met, v, h, first)
+                n += len(h)
+                if n > FLUSH:
+                    expected += recent
+                    recent[:] = 0
+                    n = 0
+        expected += recent
+        task = TaskContext.get().partitionId()
+        for lo in range(0, len(w), BLOCK):
+            at = lo + np.flatnonzero(met[lo : lo + BLOCK])
+            if len(at):
+                sent = (x.tobytes() for x in (at, met[at], came[at], expected[at].astype(np.float32)))
+                yield pa.RecordBatch.from_arrays([pa.array([lo], pa.int32()), pa.array([task // 64], pa.int32()), *(pa.array([x]) for x in sent)], names=["block", "part", "at", "met", "came", "expected"])
 
     return run
 
 
-_UPDATE = "block int, part int, met binary, change binary"
+_UPDATE = "block int, part int, at binary, met binary, came binary, expected binary"
 
 
 def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
-    met = sum(np.frombuffer(x, np.int64) for x in pdf["met"])
-    change = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in pdf["change"]).astype(np.float32)
-    return pd.DataFrame({"block": [pdf["block"].iloc[0]], "part": [0], "met": [met.tobytes()], "change": [change.tobytes()]})
+    """One row for the block: sums by weight row."""
+    joined = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in pdf[c]])
+    at, own = np.unique(joined("at", np.int64), return_inverse=True)
+    out = {"block": [pdf["block"].iloc[0]], "part": [0], "at": [at.tobytes()]}
+    met = np.zeros(len(at), np.int64)
+    np.add.at(met, own, joined("met", np.int64))
+    out["met"] = [met.tobytes()]
+    for c in ("came", "expected"):
+        total = np.zeros((len(at), SIDE))
+        np.add.at(total, own, joined(c, np.float32).reshape(-1, SIDE))
+        out[c] = [total.astype(np.float32).tobytes()]
+    return pd.DataFrame(out)
 
 
 def train(texts: DataFrame, voc: Vocabulary) -> np.ndarray:
@@ -329,12 +349,14 @@ def train(texts: DataFrame, voc: Vocabulary) -> np.ndarray:
     tasks = max(sc.defaultParallelism, -(-texts.rdd.getNumPartitions() // ROUNDS))
     for r in range(ROUNDS):
         now = sc.broadcast(w)
-        ups = texts.where(F.col("part") == r).select("text").coalesce(tasks).mapInArrow(_local_updates(shared, now), _UPDATE)
-        ups = ups.groupBy("block", "part").applyInPandas(_add_up, _UPDATE).groupBy("block").applyInPandas(_add_up, _UPDATE)
+        sums = texts.where(F.col("part") == r).select("text").coalesce(tasks).mapInArrow(_sums(shared, now), _UPDATE)
+        sums = sums.groupBy("block", "part").applyInPandas(_add_up, _UPDATE).groupBy("block").applyInPandas(_add_up, _UPDATE)
         w = w.copy()
-        for u in ups.toLocalIterator():
-            met = np.frombuffer(bytes(u["met"]), np.int64)
-            w[u["block"] : u["block"] + len(met)] += np.frombuffer(bytes(u["change"]), np.float32).reshape(-1, SIDE) / np.maximum(met, 1)[:, None]
+        for u in sums.toLocalIterator():
+            at, met = np.frombuffer(bytes(u["at"]), np.int64), np.frombuffer(bytes(u["met"]), np.int64)[:, None]
+            came, expected = (np.frombuffer(bytes(u[c]), np.float32).reshape(-1, SIDE) for c in ("came", "expected"))
+            ratio = met * came / np.maximum(expected, 1e-12 * met)
+            w[at] = np.clip(w[at] + STEP * np.log((ratio + PRIOR) / (met + PRIOR)), -LARGEST, LARGEST)
         now.unpersist()
     return w
 
@@ -352,13 +374,11 @@ def _score_rows(voc, weights):
             for c in chunks(b.column("text")):
                 h, first = _tokens(c)
                 slots, counts = v.find(h)
-                at = _rows(Parts.of(w), slots, first, h)
-                p = log_probs(w, slots, first, h, at)
+                p, seen = log_probs(w, v, slots, first, h)
                 tabled = counts >= 0
                 own = np.where(tabled, np.log(np.maximum(counts, 0) + 0.5), 0.0)
-                other, seen = slots == OTHER, tree_log_probs(w, v, slots, first, h, at)
-                unseen = np.where(other, -np.log(v.other), 0.0)
-                p += np.where(other, np.where(tabled, own + seen, unseen), 0.0)
+                unseen = np.where(slots == OTHER, -np.log(v.other), 0.0)
+                p += np.where(slots == OTHER, np.where(tabled, own + seen, unseen), 0.0)
                 rare = ~tabled
                 add = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  each text has its end, so none is empty
                 cuts = np.r_[0, np.cumsum(rare)][first].astype(np.int32)
