@@ -20,7 +20,8 @@ What happens to the buckets:
   pairs are found by what they differ in from the pivot: linked classes have a certain part of those differences in common, so
   one lies in a prefix of both (see ``_differences``), and they're compared too. No link that matters for
   components is lost, and no bucket is expanded into all pairs.
-* The sets of classes that share a bucket are written once; each text is split into words three times in all.
+* The sets of classes that share a bucket are written once; each text is split into words three times in all. Narrow tables of pairs and classes are broadcast
+  where a count allows it, so that only sets cross an exchange, once to their pivot.
 * All rows of a signature meet in one window task, 20 bytes a class and signature; other groups are joins and sums, which are combined or split.
 
 Nulls and texts without a word have an empty set, no link and a class of their own. Two different sets are taken for
@@ -217,7 +218,7 @@ def _slot(ids: np.ndarray, bits: int) -> np.ndarray:
 def _needed_filter(ids: DataFrame):
     """The number of bits, as a power of two, and a broadcast table of them that has the slots of ``id`` set; slots are combined before they're sent."""
     least, most = FILTER_BITS
-    n_bits = min(most, max(least, (8 * ids.count()).bit_length()))
+    n_bits = min(most, max(least, (16 * ids.count()).bit_length()))
 
     def fill(batches):
         bits = np.zeros(1 << n_bits, bool)
@@ -288,24 +289,27 @@ def _compare(rule: Rule):
     return run
 
 
+def _small(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """A written table of a few numbers a row: broadcast where a count says that it has at most ``most`` rows, else joined as it is."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def _sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
-    """(key, grams) of the classes named, written; each is read from the text of its first document, and hardly any other text's set is passed on."""
+    """(key, grams) of the classes named, written; each is read from the text of its first document."""
     need = scratch.keep(keys.join(classes, "key").select("key", F.col("rep").alias("id")), "need")
     n_bits, needed = _needed_filter(need)
     sets = docs.where("id is not null").mapInArrow(_set_rows(rule, n_bits, needed), "id long, key long, grams binary")
-    # A row that is in the table twice, id included, gives its set twice.
-    sets = scratch.keep(sets.join(need, ["id", "key"]).select("key", "grams").dropDuplicates(["key"]), "sets", "none")
+    # The filter lets some other documents through, copies too, and a row that is in the table twice, id included, gives its set twice.
+    sets = scratch.keep(sets.join(_small(need), ["id", "key"]).select("key", "grams").dropDuplicates(["key"]), "sets", "none")
     scratch.drop(need)
     return sets
 
 
 def _with_sets(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs`` (u, v, ..., a written table) with x and y, the sets of u and v. Only sets that a pair needs are joined."""
-
-    def named(key: str, grams: str) -> DataFrame:
-        return sets.select(F.col("key").alias(key), F.col("grams").alias(grams)).join(pairs.select(key).distinct(), key, "left_semi")
-
-    return pairs.join(named("u", "x"), "u").join(named("v", "y"), "v")
+    """``pairs`` (u, v, ..., a written narrow table) with x and y, the sets of u and v. Only sets that a pair needs cross an exchange."""
+    x = sets.select(F.col("key").alias("u"), F.col("grams").alias("x")).join(_small(pairs), "u")
+    y = sets.select(F.col("key").alias("v"), F.col("grams").alias("y")).join(_small(pairs.select("v").distinct()), "v", "left_semi")
+    return x.join(y, "v")
 
 
 def _verify(sets: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) -> DataFrame:
@@ -433,8 +437,10 @@ def _edges(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, sc
     done = done.unionByName(more.select("u", "v"))
     left = _mixed(tested, edges, scratch)
     if not left.isEmpty():
-        left = scratch.keep(left.select("u", "v", "linked", "c").join(_common(sets, left, scratch), "v", "left"), "left")
-        rows = _with_sets(sets, left).select("u", "v", "linked", "c", "common", "x", "y")
+        left = scratch.keep(left.select("u", "v", "linked", "c"), "left")
+        # Rows of some KB.
+        common = _small(_common(sets, left, scratch), 2_000)
+        rows = _with_sets(sets, left).join(common, "v", "left").select("u", "v", "linked", "c", "common", "x", "y")
         rows = rows.mapInArrow(_differences(rule), "pivot long, key long, n long, d long, near boolean, c long, element long, place long")
         rows = scratch.keep(rows, "differences")
         a = rows.select("pivot", "element", *(F.col(x).alias(f"{x}1") for x in ("key", "n", "d", "near", "c", "place")))
@@ -463,23 +469,26 @@ def _pivot_pairs(sigs: DataFrame, scratch: Scratch) -> DataFrame:
     groups = scratch.keep(buckets.groupBy("g", "key", "info").agg(F.count("*").alias("n"), F.sum("m").alias("m")), "groups")
     # A class has rows in two bands at most.
     stats = groups.groupBy("key", "info").agg(F.sum("n").alias("n"), F.sum("m").alias("w")).where("n >= info & 65535")
-    stats = stats.select("key", "info", F.sum("w").over(Window.partitionBy("key")).alias("w"))
+    stats = scratch.keep(stats.select("key", "info", F.sum("w").over(Window.partitionBy("key")).alias("w")), "stats")
     by_group = Window.partitionBy("g")
-    left = groups.join(stats, ["key", "info"]).select("g", "key", "w").distinct()
-    left = left.withColumns({"p": F.max(F.struct("w", "key")).over(by_group), "m": F.count("*").over(by_group)}).where("m > 1").select("g", "key", "p")
+    left = groups.join(_small(stats), ["key", "info"]).select("g", "key", "w")
+    left = left.withColumns({"p": F.max(F.struct("w", "key")).over(by_group), "least": F.min("key").over(by_group), "most": F.max("key").over(by_group)}).where("least != most").select("g", "key", "p")
     before, groups = groups, scratch.keep(left, "pivots")
     scratch.drop(before)
+    scratch.drop(stats)
+    best = scratch.keep(groups.groupBy("key").agg(F.max("p").alias("best")), "best")
     # A class is compared with the heaviest of its pivots, and with a group's own only where the fellows there differ in that.
-    met = groups.join(groups.groupBy("key").agg(F.max("p").alias("best")), "key")
+    met = groups.join(_small(best), "key")
     split = met.groupBy("g").agg(F.min("best").alias("lo"), F.max("best").alias("hi")).where("lo != hi").select("g")
     pairs = met.select("key", F.col("best.key").alias("v")).unionByName(met.join(split, "g", "left_semi").select("key", F.col("p.key").alias("v")))
     pairs = scratch.keep(pairs.where("key != v").select(F.col("key").alias("u"), "v").distinct(), "pairs")
     scratch.drop(groups)
+    scratch.drop(best)
     return pairs
 
 
 #: Elements a task names for a pivot as common, and the differences it holds before it counts them.
-COMMON, HELD = 128, 1 << 20
+COMMON, HELD = 512, 1 << 20
 
 
 def _common(sets: DataFrame, left: DataFrame, scratch: Scratch) -> DataFrame:
@@ -488,7 +497,7 @@ def _common(sets: DataFrame, left: DataFrame, scratch: Scratch) -> DataFrame:
     Each task counts what it meets and names a bounded number of elements by pivot. This only orders elements, so what
     it misses costs time and no link.
     """
-    many = left.groupBy("v").agg(F.count("*").alias("m")).where("m >= 32").select("v")
+    many = left.groupBy("v").agg(F.count("*").alias("m")).where("m >= 32")
 
     def counted(vs: list, es: list) -> Iterator[pa.RecordBatch]:
         v = np.repeat(np.array(vs, np.int64), [len(e) for e in es])
@@ -518,12 +527,14 @@ def _common(sets: DataFrame, left: DataFrame, scratch: Scratch) -> DataFrame:
         if vs:
             yield from counted(vs, es)
 
-    some = scratch.keep(left.join(many, "v", "left_semi").select("u", "v"), "some")
-    met = _with_sets(sets, some).select("v", "x", "y").mapInArrow(run, "v long, element long, n long")
+    # A pivot's classes lie together, HELD // 256 at most by expectation, so that a task sees what they have in common.
+    part = F.pmod(F.xxhash64("u"), F.ceil(F.col("m") / (HELD // 256)))
+    some = scratch.keep(left.join(many, "v").select("u", "v", part.alias("part")), "some")
+    met = _with_sets(sets, some).repartition("v", "part").select("v", "x", "y").mapInArrow(run, "v long, element long, n long")
     often = met.groupBy("v", "element").agg(F.sum("n").alias("n"))
     # The more tasks name elements for a pivot, the more of them repeat each other; the commonest of all are kept.
     rank = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("n"), "element"))
-    often = often.withColumn("rank", rank).where(F.col("rank") <= 8 * COMMON)
+    often = often.withColumn("rank", rank).where(F.col("rank") <= 2 * COMMON)
     return scratch.keep(often.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("n", "element"))).alias("e")).select("v", F.col("e.element").alias("common")), "common")
 
 
