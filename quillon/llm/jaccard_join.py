@@ -478,10 +478,11 @@ def _pivot_pairs(sigs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.drop(stats)
     best = scratch.keep(groups.groupBy("key").agg(F.max("p").alias("best")), "best")
     # A class is compared with the heaviest of its pivots, and with a group's own only where the fellows there differ in that.
-    met = groups.join(_small(best), "key")
-    split = met.groupBy("g").agg(F.min("best").alias("lo"), F.max("best").alias("hi")).where("lo != hi").select("g")
-    pairs = met.select("key", F.col("best.key").alias("v")).unionByName(met.join(split, "g", "left_semi").select("key", F.col("p.key").alias("v")))
+    met = groups.join(_small(best), "key").select("g", "key", F.col("p.key").alias("own"), F.col("best.key").alias("best"))
+    split = scratch.keep(met.groupBy("g").agg(F.min("best").alias("lo"), F.max("best").alias("hi")).where("lo != hi").select("g"), "split")
+    pairs = met.select("key", F.col("best").alias("v")).unionByName(met.join(_small(split), "g", "left_semi").select("key", F.col("own").alias("v")))
     pairs = scratch.keep(pairs.where("key != v").select(F.col("key").alias("u"), "v").distinct(), "pairs")
+    scratch.drop(split)
     scratch.drop(groups)
     scratch.drop(best)
     return pairs
