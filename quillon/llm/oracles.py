@@ -84,4 +84,44 @@ select l.conv_id, turn, role, call_id, l.answers, case when call_id is not null
 from l left join a on a.conv_id = l.conv_id and a.answers = l.call_id
 """
 
-SQL = {"op1_jaccard_join": OP1, "op3_sharding": OP3, "op5_quality_rules": OP5, "op6_chat_format": OP6, "op8_decontamination": OP8, "op10_url_filter": OP10}
+
+
+def _op12() -> str:
+    """Two rounds over all parts of all vectors, then codes, errors and the codebooks' digest."""
+    out = r"""
+with v as (select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) q from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select vec_id, label, i pos, q[i * (len(q) // 16) + 1:(i + 1) * (len(q) // 16)] x from v, range(16) t(i)),
+s as (select vec_id, row_number() over (order by vec_id) - 1 e from v qualify e < 64),
+c0 as (select pos, e, x c from p join s using (vec_id))"""
+    far = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint"
+    for i in range(3):
+        out += f""",
+a{i} as (select vec_id, label, pos, x, min(d * 64 + e) % 64 e, min(d) d from (select vec_id, label, p.pos, x, e, {far} d from p join c{i} on p.pos = c{i}.pos) group by all)"""
+        if i < 2:
+            out += f""",
+m{i} as (select pos, e, list((t - ((t % n) + n) % n) // n order by j) c from (select pos, e, j, sum(x[j + 1])::bigint t, count(*) n from a{i}, range(64) r(j) where j < len(x) group by 1, 2, 3) group by 1, 2),
+c{i + 1} as (select pos, e, coalesce(m{i}.c, c{i}.c) c from c{i} left join m{i} using (pos, e))"""
+    return out + """,
+k as (select sha256(string_agg(array_to_string(c, ','), ',' order by pos, e)) codebooks_sha256 from c2),
+o as (select vec_id, label, string_agg(format('{:02x}', e), '' order by pos) code, sum(d)::bigint error from a2 group by 1, 2),
+l as (select label, sum(error)::bigint label_error from o group by 1)
+select vec_id, code, error, label_error, codebooks_sha256 from o join l on o.label is not distinct from l.label, k
+"""
+
+
+OP13 = r"""
+with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+w as (select lang, regexp_extract_all(p, '[^\x20\x09]+') w from (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) p from d)),
+g as (select lang, m, array_to_string(w[i:i + m - 1], ' ') phrase from (select lang, w, unnest(range(1, len(w) + 1)) i from w), (values (1), (2), (3), (4)) s(m) where i + m - 1 <= len(w)),
+f as (select lang, m, phrase, count(*) f from g group by all having count(*) >= 30),
+n as (select lang, sum(len(w))::bigint n from w group by 1),
+c as (select lang, m, phrase, f, string_split(phrase, ' ') s from f),
+k as (select lang, phrase, f a, k, array_to_string(s[:k], ' ') p1, array_to_string(s[k + 1:], ' ') p2 from c, range(1, 4) r(k) where k < m),
+q as (select k.lang, k.phrase, a, x.f l, y.f r, (2000000::hugeint * a // (x.f + y.f))::bigint score, row_number() over (partition by k.lang, k.phrase order by 2000000::hugeint * a // (x.f + y.f), k) o
+  from k join f x on x.lang = k.lang and x.phrase = p1 join f y on y.lang = k.lang and y.phrase = p2 qualify o = 1),
+h as (select lang, array_to_string(s[i:j], ' ') phrase, max(f) longer from c, range(1, 5) b(i), range(2, 5) e(j) where j > i and j <= m and j - i + 1 < m group by 1, 2),
+t as (select q.lang, q.phrase, a, l, r, score, row_number() over (partition by q.lang order by score desc, a desc, q.phrase) rank from q left join h on h.lang = q.lang and h.phrase = q.phrase where longer is null or 100 * longer < 80 * a)
+select t.lang, rank, phrase, a, l, r, n.n, score from t join n using (lang) where rank <= 2000
+"""
+
+SQL = {"op1_jaccard_join": OP1, "op3_sharding": OP3, "op5_quality_rules": OP5, "op6_chat_format": OP6, "op8_decontamination": OP8, "op10_url_filter": OP10, "op12_vector_codes": _op12(), "op13_phrases": OP13}

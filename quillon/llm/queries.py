@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.llm import oracles
+from quillon.llm.byte_bpe import encode as encode_bytes
 from quillon.llm.chat_format import Lane, format_chat, in_lanes
 from quillon.llm.decontaminate import find_contamination
 from quillon.llm.jaccard_join import Rule, jaccard_components
 from quillon.llm.language_model import score_texts
+from quillon.llm.phrases import mine_phrases
 from quillon.llm.quality_classifier import classify
 from quillon.llm.quality_rules import quality_cascade
 from quillon.llm.scratch import Scratch
@@ -20,6 +22,7 @@ from quillon.llm.sentencepiece_sampling import encode
 from quillon.llm.sharding import shard, write_shards
 from quillon.llm.toxicity import fit_toxicity, score_toxicity
 from quillon.llm.url_filter import filter_urls, parse_rule
+from quillon.llm.vector_codes import compress, group_errors
 
 #: Rules of the URL filter query: (verdict, host and path).
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -109,8 +112,28 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), [parse_rule(*r) for r in URL_RULES])
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # rank files and pattern; only the driver needs them
+
+    ranks = os.environ.get("QUILLON_BPE_RANKS") or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = encode_bytes(docs, ranks, public_tokenizers.PATTERN, decoded_col="decoded")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    rows = group_errors(out.rows.select("vec_id", "label", code.alias("code"), "error"), "label", "label_error")
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(out.codebooks_sha256()).alias("codebooks_sha256"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_sharding, op4_lm_scoring, op5_quality_rules, op6_chat_format, op7_sentencepiece, op8_decontamination, op9_quality_classifier, op10_url_filter)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_sharding, op4_lm_scoring, op5_quality_rules, op6_chat_format, op7_sentencepiece, op8_decontamination, op9_quality_classifier, op10_url_filter, op11_byte_bpe, op12_vector_codes, op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
