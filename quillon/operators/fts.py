@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillon.operators import match as query
 from quillon.operators.merge import Snapshots
 
 TOKEN = r"([\p{L}\p{N}\p{Co}]+)"
@@ -22,7 +23,7 @@ def _folds() -> dict[str, str]:
     out = {"\u017f": "s"}
     for x in map(chr, range(0xC0, 0x2000)):
         parts = unicodedata.normalize("NFD", x.lower())
-        if len(parts) == 2 and "a" <= parts[0] <= "z":
+        if len(x.lower()) == 1 and len(parts) == 2 and "a" <= parts[0] <= "z":
             out[x.lower()] = parts[0]
     return out
 
@@ -32,6 +33,10 @@ _FOLDS = _folds()
 _MARKS = "".join(map(chr, range(0x300, 0x332)))
 
 
+#: The same for Python strings.
+_TABLE = {**{ord(k): v for k, v in _FOLDS.items()}, **{ord(c): None for c in _MARKS}}
+
+
 def fold(c: Column) -> Column:
     return F.translate(F.lower(c), "".join(_FOLDS) + _MARKS, "".join(_FOLDS.values()))
 
@@ -56,6 +61,7 @@ class FtsIndex:
     postings: DataFrame
     lengths: DataFrame
     stored: bool = False
+    columns: list[str] = field(default_factory=list)
 
     # --- matching -------------------------------------------------------------------------------------------------
     def words(self, words: list[str], column: str | None = None) -> DataFrame:
@@ -63,7 +69,7 @@ class FtsIndex:
         p = self.postings if column is None else self.postings.where(F.col("column") == column)
         if self.stored:
             p = p.where(F.col("bucket").isin(sorted({zlib.crc32(w.encode()) % BUCKETS for w in words})))
-        return p.where(F.col("term").isin(*words))
+        return p.where(F.col("term").isin(*words) if words else F.lit(False))
 
     def term(self, word: str, column: str | None = None, prefix: bool = False) -> DataFrame:
         if not prefix:
@@ -72,6 +78,7 @@ class FtsIndex:
         return p.where(F.col("term").startswith(word)).select("doc").distinct()
 
     def all_of(self, words: list[str], column: str | None = None) -> DataFrame:
+        """Documents with all words; none for an empty list, as in the other methods."""
         hits = self.words(words, column).groupBy("doc").agg(F.count_distinct("term").alias("n"))
         return hits.where(F.col("n") == len(set(words))).select("doc")
 
@@ -83,6 +90,8 @@ class FtsIndex:
 
     def phrase(self, words: list[str], column: str | None = None) -> DataFrame:
         """Words side by side, in order: each word's position less its place in the phrase is one start."""
+        if not words:
+            return self.any_of([])
         places = F.create_map(*(x for w in dict.fromkeys(words) for x in (F.lit(w), F.array(*(F.lit(i) for i, v in enumerate(words) if v == w)))))
         p = self.words(words, column).select("doc", "column", "pos", F.explode(places[F.col("term")]).alias("place"))
         starts = p.groupBy("doc", "column", (F.col("pos") - F.col("place")).alias("start")).agg(F.count_distinct("place").alias("n"))
@@ -99,20 +108,57 @@ class FtsIndex:
     def bm25(self, words: list[str], docs: DataFrame | None = None) -> DataFrame:
         """(doc, rank) of the documents with all words, or of ``docs``: negative, best first in ascending order."""
         asked = list(dict.fromkeys(words))
+        if not asked:
+            return self.any_of([]).select("doc", F.lit(0.0).alias("rank"))
         f = [F.count_if(F.col("term") == w).alias(f"f{i}") for i, w in enumerate(asked)]
         tf = self.words(asked).groupBy("doc").agg(*f)
         # Two tables of one row.
         sizes = self.lengths.agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_len"))
         found = tf.agg(*(F.count_if(F.col(f"f{i}") > 0).alias(f"n{i}") for i in range(len(asked))))
         hits = tf.join(docs, "doc", "left_semi") if docs is not None else tf.where(" and ".join(f"f{i} > 0" for i in range(len(asked))))
+        return self._ranked(hits, found, [f"f{i}" for i in range(len(asked))], sizes)
+
+    def _ranked(self, hits: DataFrame, found: DataFrame, counts: list[str], sizes: DataFrame) -> DataFrame:
+        """``hits``: documents with their counts of each thing asked for; ``found``: one row, n0, n1 ...: documents with each."""
         scored = hits.join(self.lengths, "doc").join(F.broadcast(sizes), F.lit(True)).join(F.broadcast(found), F.lit(True))
         score = F.lit(0.0)
-        for i in range(len(asked)):
-            n, n_docs, count = F.col(f"n{i}"), F.col("n_docs"), F.col(f"f{i}")
+        for i, c in enumerate(counts):
+            n, n_docs, count = F.col(f"n{i}"), F.col("n_docs"), F.col(c)
             idf = F.greatest(F.log((n_docs - n + 0.5) / (n + 0.5)), F.lit(1e-6))
             score += idf * count * (K1 + 1) / (count + K1 * (1 - B + B * F.col("length") / F.col("avg_len")))
         return scored.select("doc", (-score).alias("rank"))
 
+    def _tree(self, text: str):
+        return query.Parser(text, self.columns, lambda x: query.split_words(x, _TABLE)).parse()
+
+    def _read(self, tree) -> DataFrame:
+        """Postings of the parts that hold a query's words; all parts if it has words by their beginning."""
+        words = {w for p in query.phrases_of(tree) for w in p.words}
+        if not self.stored or any(prefix for _, prefix in words):
+            return self.postings
+        return self.postings.where(F.col("bucket").isin(sorted({zlib.crc32(w.encode()) % BUCKETS for w, _ in words})))
+
+    def match(self, text: str) -> DataFrame:
+        """Documents that match a query string (see ``match``); an empty string gives none."""
+        if not text.strip():
+            return self.any_of([])
+        tree = self._tree(text)
+        return query.matching(self._read(tree), tree)[0].select("doc")
+
+    def match_ranked(self, text: str) -> DataFrame:
+        """(doc, rank) of the documents that match, by BM25 over the query's phrases: each distinct one counts once, those of NEAR wherever they are."""
+        if not text.strip():
+            return self.bm25([])
+        tree = self._tree(text)
+        hits, phrases = query.matching(self._read(tree), tree)
+        if not phrases:
+            return self.bm25([])
+        n = range(len(phrases))
+        at = query.places(self._read(tree), phrases).groupBy("doc", "phrase").agg(F.lit(1).alias("one"))
+        found = at.agg(*(F.count_if(F.col("phrase") == i).alias(f"n{i}") for i in n))
+        sizes = self.lengths.agg(F.count("*").alias("n_docs"), F.avg("length").alias("avg_len"))
+        return self._ranked(hits.select("doc", *(F.col(f"n{i}").alias(f"f{i}") for i in n)), found, [f"f{i}" for i in n], sizes)
+
     def top(self, words: list[str], documents: DataFrame, key: str, n: int = 20) -> DataFrame:
         """The documents, all columns, with all words, best rank first; ties by key. The n best are found before the texts are joined."""
         best = self.bm25(words).orderBy("rank", "doc").limit(n)
@@ -125,7 +171,7 @@ def build_index(df: DataFrame, key: str, columns: list[str]) -> FtsIndex:
     cols = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("w")) for c in columns)))
     postings = words.select("doc", cols.alias("x")).select("doc", "x.column", F.posexplode("x.w").alias("pos", "term"))
     lengths = words.select("doc", sum((F.size(c) for c in columns), F.lit(0)).cast("long").alias("length"))
-    return FtsIndex(postings, lengths)
+    return FtsIndex(postings, lengths, columns=list(columns))
 
 
 class FtsStore:
@@ -142,6 +188,7 @@ class FtsStore:
         # A common word's postings lie in several tasks and files, by document.
         spread.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(16))).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
         index.lengths.write.parquet(f"{path}/lengths")
+        self.spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "pos int, name string").coalesce(1).write.parquet(f"{path}/columns")
         self.snapshots.publish(path, after)
         return self.open()
 
@@ -149,7 +196,8 @@ class FtsStore:
         path = self.snapshots.current()
         if path is None:
             raise FileNotFoundError(f"no index in {self.snapshots.folder}")
-        return FtsIndex(self.spark.read.parquet(f"{path}/postings"), self.spark.read.parquet(f"{path}/lengths"), True)
+        names = [r["name"] for r in self.spark.read.parquet(f"{path}/columns").orderBy("pos").collect()]
+        return FtsIndex(self.spark.read.parquet(f"{path}/postings"), self.spark.read.parquet(f"{path}/lengths"), True, names)
 
 
 def contains_folded(c: Column, text: str) -> Column:

@@ -7,82 +7,16 @@ from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
-#: Logical plan nodes that write, configure or drop something.
-_WRITES = re.compile(r"Insert|Create|Drop|Alter|Delete|Update|Merge|Truncate|Set|Reset|Cache|Uncache|Refresh|Load|Add|Repair|Analyze|Command|Replace|Comment|Use|Call|Exec|Declare")
-#: Functions that call Java methods or read files, and table functions that call Python.
-_CALLS = {"reflect", "java_method", "try_reflect", "read_files", "input_file_name", "python"}
+from quillon.plans.sqlguard import Guard, NotAllowed
 
-
-class NotAllowed(ValueError):
-    pass
-
-
-def _iterate(seq):
-    it = seq.iterator()
-    while it.hasNext():
-        yield it.next()
-
-
-def _expressions(e):
-    yield e
-    for x in _iterate(e.children()):
-        yield from _expressions(x)
-
-
-def _nodes(plan):
-    """The plan's nodes: children, common tables and plans inside."""
-    yield plan
-    for side in ("children", "innerChildren"):
-        for x in _iterate(getattr(plan, side)()):
-            kind = x.getClass().getName()
-            if "plans.logical" in kind or "catalyst.analysis" in kind:
-                yield from _nodes(x)
-
-
-def _check_plan(plan, allowed: set[str] | None) -> None:
-    own: set[str] = set()
-    relations: list[list[str]] = []
-    todo, seen = [plan], 0
-    while todo:
-        for node in _nodes(todo.pop()):
-            name = node.getClass().getSimpleName()
-            if _WRITES.search(name) and name != "SetOperation":
-                raise NotAllowed(f"{name} isn't allowed")
-            if name == "UnresolvedWith":
-                for pair in _iterate(node.cteRelations()):
-                    own.add(pair.productElement(0).lower())
-                    todo.append(pair.productElement(1))
-            elif name == "UnresolvedRelation":
-                relations.append([x for x in _iterate(node.multipartIdentifier())])
-            elif "TableValuedFunction" in name and list(_iterate(node.name()))[-1].lower() not in ("range", "explode", "inline", "posexplode", "stack", "values"):
-                raise NotAllowed("this table function isn't allowed")
-            for e in _iterate(node.expressions()):
-                for x in _expressions(e):
-                    kind = x.getClass().getSimpleName()
-                    if kind == "UnresolvedFunction" and list(_iterate(x.nameParts()))[-1].lower() in _CALLS or kind in ("CallMethodViaReflection", "TryReflect"):
-                        raise NotAllowed("functions that call methods or read files aren't allowed")
-                    if kind in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"):
-                        todo.append(x.plan())
-        seen += 1
-        if seen > 1000:
-            raise NotAllowed("too many nested queries")
-    for parts in relations:
-        if len(parts) == 1 and parts[0].lower() in own:
-            continue
-        name = ".".join(parts)
-        if allowed is not None and (len(parts) > 2 or name.lower().removeprefix("default.") not in allowed):
-            raise NotAllowed(f"no such table: {name}")
+__all__ = ["NotAllowed", "check", "describe_table", "list_tables", "query"]
 
 
 def check(spark: SparkSession, sql: str, strict: bool = False) -> None:
-    """One statement that only reads tables and views of the catalog. ``strict`` takes SELECT as the first word only; else WITH and VALUES pass too.
-
-    Files named as tables, writes, settings and functions that call Java are refused.
-    """
+    """One statement that only reads tables and views of the catalog by what ``sqlguard`` lists. ``strict`` takes SELECT as the first word only; else WITH and VALUES pass too."""
     if strict and not sql.strip().upper().startswith("SELECT"):
         raise NotAllowed("only SELECT is allowed")
-    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    _check_plan(plan, {t.lower() for t in list_tables(spark)})
+    Guard(spark, {t.lower() for t in list_tables(spark)}).check(sql)
 
 
 def query(spark: SparkSession, sql: str, strict: bool = False) -> Iterator[dict]:

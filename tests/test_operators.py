@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillon import schema
 from quillon.operators import dedup, fts, joins, merge
-from quillon.plans import catalog, ingest, sqltools, statements
+from quillon.plans import catalog, ingest, sqlguard, sqltools, statements
 from quillon.sources import files, pdf, zipcsv
 from quillon.streaming.ingest import stream_upsert
 
@@ -124,6 +124,97 @@ def test_sql_tools(spark):
     assert sqltools.describe_table(spark, "t3")[0]["name"] == "id"
 
 
+@pytest.fixture(scope="module")
+def shelf(spark):
+    spark.range(4).selectExpr("id", "cast(id as string) s", "id * 1.5 v", "array(id) a", "date'2024-01-01' d").createOrReplaceTempView("shelf")
+    yield "shelf"
+    spark.catalog.dropTempView("shelf")
+
+
+ALLOWED = """select id, v + 1, -v, v / 2, v % 2, id div 2 from shelf where id > 1 and v <= 9 or not s = 'x'
+select * from shelf where id in (1, 2) and exists (select 1 from shelf u where u.id = shelf.id)
+select id % 2 k, count(*), sum(v) filter (where id > 0), min_by(s, v) from shelf group by all having count(*) > 0 order by k desc nulls last limit 3 offset 0
+with a as (select id from shelf), b as (select * from a) select * from a join b using (id)
+select id from shelf union all select id from shelf intersect select 3 except select 2
+select row_number() over (partition by id % 2 order by v rows between unbounded preceding and current row) from shelf
+select case when id = 1 then 'a' end, cast(s as int), s like 'a%', s ilike 'a%', s rlike 'b', id between 1 and 3, coalesce(s, 'x'), lpad(s, 3, '0'), floor(v), try_divide(id, 0) from shelf
+select percentile_cont(0.5) within group (order by v), listagg(s, ',') from shelf
+select x.y from shelf lateral view explode(a) x as y
+select * from shelf, lateral (select shelf.id + 1)
+select transform(a, x -> x + 1), struct(id, s).id, map('a', 1)['a'] from shelf
+select * from (select id, s, v from shelf) pivot (sum(v) for s in ('0', '1'))
+select d + interval 1 day, extract(month from d), date_trunc('month', d), try_to_date('x') from shelf
+values (1, 2)
+/* a comment */ select * from shelf tablesample (2 rows) join range(3) using (id)""".split("\n")
+REFUSED = """select * from identifier('text.`/etc/hostname`')
+select * from identifier('shelf')
+select identifier('reflect')('java.lang.System', 'getProperty', 'user.home')
+select identifier('id') from shelf
+begin drop view shelf; end
+begin select 1; end
+show tables
+explain select 1
+set x = 1
+cache table shelf
+refresh table shelf
+describe shelf
+use default
+create table z as select 1
+insert into shelf values (1)
+delete from shelf
+call x()
+execute immediate 'drop view shelf'
+select * from json.`/tmp/x`
+select * from (select * from csv.`/tmp/x`) q
+select (select count(*) from `parquet`.`/tmp/x`)
+with shelf2 as (select 1) select * from text.`/etc/hostname`
+select * from (with inner_name as (select 1) select * from inner_name) join inner_name
+select * from shelf with ('a' = 'b')
+select * from shelf version as of 1
+select * from python_function('x')
+select input_file_name() from shelf
+select /*+ broadcast(shelf) */ * from shelf
+from shelf |> where id > 1
+with recursive r(n) as (select 1 union all select n + 1 from r where n < 3) select * from r
+select id from shelf where java_method('java.lang.System', 'exit', '1') is null
+select current_user()
+select hidden from secret_table""".split("\n")
+
+
+@pytest.mark.parametrize("sql", ALLOWED)
+def test_guard_lets_reading_statements_run(spark, shelf, sql):
+    list(sqltools.query(spark, sql))
+
+
+@pytest.mark.parametrize("sql", REFUSED)
+def test_guard_refuses(spark, shelf, sql):
+    with pytest.raises(sqltools.NotAllowed):
+        sqltools.query(spark, sql)
+    assert spark.catalog.tableExists(shelf)
+
+
+def test_guard_refuses_what_is_not_listed(spark, shelf, monkeypatch):
+    """Whatever the class: without its entry in a list a statement that passes is refused, in the parsed and in the analysed plan."""
+    sql = "select upper(s), count(*) from shelf where id > 1 group by s order by s limit 2"
+    sqltools.check(spark, sql)
+    for name, entry in (("PARSED", "Sort"), ("PARSED", "Aggregate"), ("ANALYSED", "GlobalLimit"), ("ANALYSED", "View"), ("SYNTAX", "GreaterThan"), ("SYNTAX", "AggregateExpression"), ("SYNTAX", "UnresolvedFunction")):
+        with monkeypatch.context() as m:
+            m.setattr(sqlguard, name, getattr(sqlguard, name) - {entry})
+            with pytest.raises(sqltools.NotAllowed):
+                sqltools.check(spark, sql)
+    with pytest.raises(sqltools.NotAllowed):
+        sqlguard.Guard(spark, {shelf}, sqlguard.FUNCTIONS - {"upper"}).check(sql)
+
+
+def test_guard_sees_through_a_shadowed_function(spark):
+    other = spark.newSession()
+    other.range(2).selectExpr("cast(id as string) s").createOrReplaceTempView("shadow")
+    sqltools.check(other, "select upper(s) from shadow")
+    other.udf.register("upper", lambda x: "not the built-in one")
+    with pytest.raises(sqltools.NotAllowed):
+        sqltools.query(other, "select upper(s) from shadow")
+
+
 def test_zip_statements_to_facts(spark, tmp_path):
     head = "CNPJ_CIA;DT_REFER;VERSAO;ORDEM_EXERC;DT_INI_EXERC;DT_FIM_EXERC;CD_CONTA;DS_CONTA;VL_CONTA;ESCALA_MOEDA"
     body = ["1;2023-12-31;1;ÚLTIMO;2023-01-01;2023-12-31;3.01;Receita;5000;MIL", "1;2023-12-31;1;ÚLTIMO;2023-01-01;2023-12-31;3.01;Receita;5000;MIL", "1;2023-12-31;1;ÚLTIMO;2023-10-01;2023-12-31;3.01;Receita;70;UNIDADE", "9;2023-12-31;1;ÚLTIMO;;2023-12-31;3.01;x;1;MIL"]
