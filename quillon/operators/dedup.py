@@ -1,7 +1,9 @@
 """Keep-first and keep-last deduplication and latest versions; nulls in a key equal each other.
 
 Each is one shuffle on the key. Keep-last as a grouped ``max_by`` combines before the shuffle, so a key that holds a third of the
-rows sends one row a task; Spark's group-limit operator does the same for the ranked forms.
+rows sends one row a task; Spark's group-limit operator does the same for the ranked forms. Both sort before and after the shuffle (a struct can't be
+aggregated by hash). Of 600,000 wide rows on 4 cores ``row_number() = 1`` took 2.2 s against 2.5 s of ``max_by`` with unique keys, and 2.0 against 1.0 s
+with repeated ones, so ``max_by`` is the one that's used.
 """
 
 from __future__ import annotations

@@ -69,11 +69,17 @@ def movements(raw: DataFrame, watchlist: DataFrame) -> DataFrame:
 
 
 def programmes(raw: DataFrame, watchlist: DataFrame) -> DataFrame:
-    """Members with other keys (amounts, brokers) are no programmes; see ``buyback_parts``."""
+    """Members with other keys (amounts, brokers) are no programmes; see ``buyback_details``."""
     df = typed(of_watchlist(last_member(raw.where(buyback_key(F.col("member")) == "programas")), watchlist), schema.PROGRAMMES)
     return keep_last(df, ["id_programa"], ORDER)
 
 
+def buyback_details(raw: DataFrame, watchlist: DataFrame, spec: TableSpec) -> DataFrame:
+    """Amounts or brokers of programmes, by spec; they are published only when all their programmes are there, so load those first."""
+    own = buyback_parts(raw)[spec.name.removeprefix("recompra_")]
+    return keep_last(typed(of_watchlist(last_member(own), watchlist), spec), list(spec.key), ORDER)
+
+
 def reference_form(raw: DataFrame, watchlist: DataFrame, spec: TableSpec) -> DataFrame:
     """Capital, shareholders or pay, by spec: rows of the member that belongs to it."""
     own = raw.where(F.lower("member").rlike(f"(^|/)fre_cia_aberta_{FORM_MEMBERS[spec.name]}_[0-9]{{4}}[.]csv$"))

@@ -353,7 +353,7 @@ def test_snapshots_survive_crashes_and_notice_lost_updates(spark, tmp_path, monk
     assert got["1"]["created_at"] == born and got["1"]["ticker"] == "B" and got["2"]["created_at"] > born
     # A stop before the pointer is there: readers see the old table, and the next merge starts from it.
     with monkeypatch.context() as m:
-        m.setattr(merge.Snapshots, "publish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        m.setattr(merge.Snapshots, "publish", lambda *a, **b: (_ for _ in ()).throw(KeyboardInterrupt()))
         with pytest.raises(KeyboardInterrupt):
             store.merge(spec, make(("3", "D")))
     assert store.read(spec).count() == 2
@@ -408,3 +408,99 @@ def test_stream_upsert_is_idempotent(spark, tmp_path):
     for _ in range(2):
         stream_upsert(spark, str(tmp_path / "in"), SPEC.schema, store, SPEC, str(tmp_path / "ck")).awaitTermination()
     assert rows(store.read(SPEC)) == [("1", "A", "x"), ("2", "B", "y")]
+
+
+# --- stored tables in parts -------------------------------------------------------------------------------------------
+YEARLY = merge.TableSpec("yearly", ("k", "at"), "k string, at date, v double, created_at timestamp, updated_at timestamp", ("k",), parts=("year(at)",), buckets=2)
+
+
+def yearly(spark, *r):
+    return spark.createDataFrame([(k, datetime.date(y, 5, 1) if y else None, float(v)) for k, y, v in r], "k string, at date, v double")
+
+
+def test_merge_reads_and_writes_only_the_parts_it_touches(spark, tmp_path):
+    store = merge.SnapshotStore(spark, str(tmp_path))
+    store.merge(YEARLY, yearly(spark, *((f"k{i}", y, i) for y in (2020, 2021, 2022) for i in range(20)), ("n", None, 0)))
+    before = store.parts(YEARLY)
+    assert len(before) == 3 * 2 + 1
+    own = YEARLY.part(yearly(spark, ("x", 2021, 0)))
+    of_2021 = {r[0] for r in yearly(spark, *((f"k{i}", 2021, i) for i in range(20))).select(own).distinct().collect()}
+    read = []
+    plain = merge.SnapshotStore._read
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(merge.SnapshotStore, "_read", lambda self, spec, parts: (read.append(dict(parts)), plain(self, spec, parts))[1])
+        store.merge(YEARLY, yearly(spark, *((f"k{i}", 2021, 100 + i) for i in range(10)), ("new", 2021, 7)))
+    after = store.parts(YEARLY)
+    changed = {p for p in after if after[p] != before.get(p)}
+    assert changed == of_2021 and len({after[p] for p in changed}) == 1
+    assert all(set(x) <= of_2021 for x in read)
+    got = {(r["k"], r["at"] and r["at"].year): r["v"] for r in store.read(YEARLY).collect()}
+    assert len(got) == 62 and got["k3", 2021] == 103 and got["k13", 2021] == 13 and got["k3", 2020] == 3 and got["new", 2021] == 7 and got["n", None] == 0
+    # The same again changes nothing but the parts' folders; a null in the key is one key.
+    store.merge(YEARLY, yearly(spark, ("n", None, 5)))
+    assert rows(store.read(YEARLY).where("k = 'n'").select("v")) == [(5.0,)] and store.read(YEARLY).count() == 62
+
+
+def test_expire_keeps_what_is_referred_to(spark, tmp_path):
+    store = merge.SnapshotStore(spark, str(tmp_path))
+    for v in range(4):
+        store.merge(YEARLY, yearly(spark, ("a", 2020, v), *([("b", 2021, v)] if v == 0 else [])))
+    want = rows(store.read(YEARLY).select("k", "v"))
+    assert want == [("a", 3.0), ("b", 0.0)]
+    assert len(store.expire(YEARLY, keep=1)) == 2  # the first holds 2021 still
+    assert rows(store.read(YEARLY).select("k", "v")) == want
+    store.merge(YEARLY, yearly(spark, ("b", 2021, 9)))
+    assert rows(store.read(YEARLY).select("k", "v")) == [("a", 3.0), ("b", 9.0)]
+    assert sorted(p.name for p in (tmp_path / "yearly").glob("v-*.json")) == ["v-000000000004.json", "v-000000000005.json"]
+
+
+def test_parts_go_by_the_tables_types_and_values(spark, tmp_path):
+    spec = merge.TableSpec("typed", ("n", "x"), "n long, x double, v string", buckets=8)
+    store = merge.SnapshotStore(spark, str(tmp_path))
+    store.merge(spec, spark.createDataFrame([("7", 0.0, "old")], "n string, x double, v string"))
+    store.merge(spec, spark.createDataFrame([(7, -0.0, "new")], "n int, x double, v string"))
+    assert rows(store.read(spec).select("n", "v")) == [(7, "new")]
+
+
+def test_stamps_are_set_at_insert(spark, tmp_path):
+    store = merge.SnapshotStore(spark, str(tmp_path))
+    store.merge(YEARLY, yearly(spark, ("a", 2020, 1)))
+    first = store.read(YEARLY).first()
+    store.merge(YEARLY, yearly(spark, ("a", 2020, 2), ("b", 2020, 1)))
+    got = {r["k"]: r for r in store.read(YEARLY).collect()}
+    assert first["updated_at"] == first["created_at"] == got["a"]["updated_at"] == got["a"]["created_at"] and got["b"]["updated_at"] > first["updated_at"]
+    # A source that has the column sets it.
+    store.merge(YEARLY, yearly(spark, ("a", 2020, 3)).withColumn("updated_at", F.lit("2030-01-01").cast("timestamp")))
+    assert {r["k"]: r for r in store.read(YEARLY).collect()}["a"]["updated_at"].year == 2030
+
+
+def test_unique_columns_are_compared_with_untouched_parts(spark, tmp_path):
+    spec = merge.TableSpec("tickers", ("k",), "k string, ticker string", unique=(("ticker",),), buckets=16)
+    store = merge.SnapshotStore(spark, str(tmp_path))
+    make = lambda *r: spark.createDataFrame(list(r), "k string, ticker string")
+    store.merge(spec, make(*((f"k{i}", f"T{i}") for i in range(10)), ("n", None), ("m", None)))
+    with pytest.raises(merge.ConstraintError, match="ticker repeated"):
+        store.merge(spec, make(("other", "T3")))
+    assert store.read(spec).count() == 12
+
+
+def test_orphans_fail_the_publish_and_both_buyback_tables_load(spark, tmp_path):
+    names = {"programas": ["ID_Programa;CNPJ_Companhia;Situacao", "1;c;Ativo", "2;c;Encerrado", "9;other;Ativo"], "quantidades": ["ID_Programa;CNPJ_Companhia;Data_Referencia;Tipo_Ativo;Quantidade;Preco_Medio;Volume", "1;c;2023-01-31;ON;10;1,5;15", "1;c;2023-01-31;ON;12;1,5;18", "2;c;28/02/2023;PN;7;NA;"], "intermediarios": ["ID_Programa;CNPJ_Companhia;Intermediario", "1;c;Corretora", "2;c;Corretora", "9;other;Outra"]}
+    with zipfile.ZipFile(tmp_path / "cia_aberta_recompra_acoes.zip", "w") as z:
+        for k, lines in names.items():
+            z.writestr(f"cia_aberta_recompra_acoes_{k}.csv", "\n".join(lines).encode("latin-1"))
+    columns = sorted({c for v in names.values() for c in v[0].split(";")})
+    raw = zipcsv.zip_csv(spark, str(tmp_path), columns)
+    watch = spark.createDataFrame([("c",)], "cnpj string")
+    store = merge.SnapshotStore(spark, str(tmp_path / "store"))
+    details = [(s.name, lambda s=s: ingest.buyback_details(raw, watch, s)) for s in (schema.AMOUNTS, schema.BROKERS)]
+    with pytest.raises(merge.ConstraintError, match="no row in recompra_programas"):
+        store.merge(schema.AMOUNTS, details[0][1]().drop(*ingest.ORDER))
+    assert not store.exists("recompra_quantidades")
+    for spec, make in ((schema.PROGRAMMES, lambda: ingest.programmes(raw, watch)), (schema.AMOUNTS, details[0][1]), (schema.BROKERS, details[1][1])):
+        assert ingest.load_each(store, spec, [("all", make)], contain=False) == {"all": "merged"}
+    assert rows(store.read(schema.AMOUNTS).select("id_programa", "quantidade", "preco_medio", "volume")) == [("1", 12, 1.5, 18.0), ("2", 7, None, None)]
+    assert rows(store.read(schema.BROKERS).select("id_programa", "intermediario")) == [("1", "Corretora"), ("2", "Corretora")]
+    more = spark.createDataFrame([("3", "c", "X")], "id_programa string, cnpj_companhia string, intermediario string")
+    out = ingest.load_each(store, schema.BROKERS, [("orphan", lambda: more.withColumns({c: F.lit(0) for c in ingest.ORDER}))])
+    assert out["orphan"].startswith("failed") and store.read(schema.BROKERS).count() == 2
