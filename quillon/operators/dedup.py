@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.operators import scan
+
 
 def _pick(df: DataFrame, keys: list[str], order: list[str], last: bool) -> DataFrame:
     row = F.struct(*(F.col(c) for c in df.columns))
@@ -53,8 +55,15 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], kind: str = "row
     return ranked_ if n is None else ranked_.where(F.col(out) <= n)
 
 
-def rolling(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, rows: int | None = None, span: int | None = None) -> DataFrame:
-    """Running sum of ``value``: over all rows so far, the last ``rows`` (the row itself included), or those at most ``span`` before it by one numeric order column."""
+def rolling(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, rows: int | None = None, span: int | None = None, partitions: int | None = None) -> DataFrame:
+    """Running sum of ``value``: over all rows so far, the last ``rows`` (the row itself included), or those at most ``span`` before it by one numeric order column.
+
+    A key's rows are taken in one task; with ``partitions`` (see ``scan``) they lie in many, or, with ``span``, in bins of that width.
+    """
+    if partitions is not None:
+        if span is not None:
+            return scan.last_span(df, keys, order[0], value, out, span)
+        return scan.sum_so_far(df, keys, order, value, out, partitions) if rows is None else scan.last_rows(df, keys, order, value, out, rows, partitions)
     w = Window.partitionBy(*keys).orderBy(*order)
     w = w.rangeBetween(-span, 0) if span is not None else w.rowsBetween(Window.unboundedPreceding if rows is None else 1 - rows, 0)
     return df.withColumn(out, F.sum(value).over(w))

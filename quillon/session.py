@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -20,3 +23,17 @@ def session(name: str = "quillon", **conf: str) -> SparkSession:
     for k, v in {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", **conf}.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def with_checkpoints(spark: SparkSession) -> None:
+    """Names the context's checkpoint folder where there is none: the cluster's ``spark.checkpoint.dir``. Only a local session without one gets a temporary folder, which goes when Python ends."""
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        named = tempfile.mkdtemp(prefix="quillon-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    context.setCheckpointDir(named)
