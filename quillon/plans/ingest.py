@@ -50,9 +50,10 @@ def documents(raw: DataFrame, watchlist: DataFrame) -> DataFrame:
 
 
 def last_member(raw: DataFrame) -> DataFrame:
-    """Rows of each year's last member by name (one row a year on the right side)."""
-    last = raw.groupBy(F.col("year").alias("_y")).agg(F.max("member").alias("_m"))
-    return raw.join(last, raw["year"].eqNullSafe(last["_y"]) & (raw["member"] == last["_m"]), "left_semi")
+    """Rows of each year's last member in its archive; by name where rows don't say their member's ``place`` (one row a year on the right side)."""
+    by = "place" if "place" in raw.columns else "member"
+    last = raw.groupBy(F.col("year").alias("_y")).agg(F.max(by).alias("_m"))
+    return raw.join(last, raw["year"].eqNullSafe(last["_y"]) & (raw[by] == last["_m"]), "left_semi")
 
 
 def positions(raw: DataFrame, watchlist: DataFrame) -> DataFrame:

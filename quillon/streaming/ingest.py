@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.operators.merge import SnapshotStore, TableSpec
+from quillon.sources.zipsource import zip_stream
 
 
 def stream_upsert(spark: SparkSession, path: str, schema: str, store: SnapshotStore, spec: TableSpec, checkpoint: str, order: list[str] | None = None):
@@ -14,6 +17,12 @@ def stream_upsert(spark: SparkSession, path: str, schema: str, store: SnapshotSt
     return src.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda df, _: store.merge(spec, df, order)).start()
 
 
+def stream_deliveries(spark: SparkSession, path: str, columns: list[str], members: str, merge: Callable[[DataFrame], None], checkpoint: str):
+    """Takes the ZIP deliveries that are new, or came again changed, since the last run, hands their rows to ``merge`` and stops. A batch that failed is handed over again whole, so ``merge`` should be an upsert."""
+    rows = zip_stream(spark, path, columns, members)
+    return rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda df, _: merge(df)).start()
+
+
 def deduplicated(events: DataFrame, keys: list[str], at: str = "ts", delay: str = "10 minutes") -> DataFrame:
     return events.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
 
