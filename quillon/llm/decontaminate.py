@@ -6,10 +6,11 @@ run ending there that some item has; a run of ``window`` words or more is hit wh
 whole item that is shorter than a window. Words that can't be part of a hit never reach the automaton: a
 vectorised test first finds runs whose neighbouring pairs all occur in items.
 
-Items become a written table of word hashes, dealt by hash into blocks of about ``block_words`` words (an item is never cut).
+Items become a written table of word hashes, equal items one row with all their ids, dealt by hash into blocks of about ``block_words`` words (an item is never cut).
 The driver reads ``PASS`` blocks at a time and broadcasts them; a task builds an automaton of each. So many blocks are one pass over the
 documents, without a shuffle; where there are more, a pass writes the documents with the spans found so far and the next one
-adds its own. What the driver and a task hold has a bound, whatever the number of items.
+adds its own. What the driver and a task hold is some ``block_words`` words a block, or the longest item where that has more, and the ids of those items: copies of an item
+add their ids only. Words are compared by hash (see ``tokens``).
 
 Nulls and texts without a word have no hits. Items without a word or text have no window; items with a null id
 count for hits but aren't listed. Repeated items share their windows and are all listed. Repeated documents get equal results. Columns
@@ -30,7 +31,8 @@ from quillon.llm.scratch import Scratch
 from quillon.llm.tokens import ALNUM, Chunk, Words, chunks, mix
 
 _U = np.uint64
-Item = tuple[str, tuple[int, ...]]
+#: Ids and words.
+Item = tuple[tuple[str, ...], tuple[int, ...]]
 #: Blocks of items in one pass over the documents.
 PASS = 4
 
@@ -45,8 +47,8 @@ class SuffixAutomaton:
         self.length = [0]
         ends: dict[int, set[int]] = {}
         by_words: dict[tuple[int, ...], list[str]] = {}
-        for name, words in items:
-            by_words.setdefault(words, []).append(name)
+        for names, words in items:
+            by_words.setdefault(words, []).extend(names)
         #: Names of each distinct item; elsewhere items are numbers.
         self.names = [tuple(x) for x in by_words.values()]
         items = tuple(enumerate(by_words))
@@ -207,17 +209,19 @@ class ItemBlocks:
                 yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(words, pa.list_(pa.int64()))], names=["i", "words"])
 
         src = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t"))
-        self.table = scratch.keep(src.mapInArrow(run, "i string, words array<long>").where("size(words) > 0"), "items")
+        each = src.mapInArrow(run, "i string, words array<long>").where("size(words) > 0")
+        # A null id is "\0", which is left out where items are listed.
+        self.table = scratch.keep(each.groupBy("words").agg(F.sort_array(F.collect_list(F.coalesce("i", F.lit("\0")))).alias("ids")), "items")
         total = self.table.agg(F.sum(F.size("words"))).first()[0] or 0
         self.blocks = max(1, -(-total // block_words))
         self.passes = -(-self.blocks // PASS)
 
     def read(self, number: int) -> tuple[str, list[tuple[Item, ...]]]:
-        """A key and the blocks of one pass. Equal items lie in one block."""
+        """A key and the blocks of one pass."""
         block = F.pmod(F.xxhash64("words"), F.lit(self.blocks))
         blocks: dict[int, list[Item]] = {}
         for r in self.table.withColumn("b", block).where(F.floor(F.col("b") / PASS) == number).toArrow().to_pylist():
-            blocks.setdefault(r["b"], []).append((r["i"] if r["i"] is not None else "\0", tuple(x & 0xFFFFFFFFFFFFFFFF for x in r["words"])))
+            blocks.setdefault(r["b"], []).append((tuple(r["ids"]), tuple(x & 0xFFFFFFFFFFFFFFFF for x in r["words"])))
         return uuid.uuid4().hex, [tuple(sorted(blocks[k])) for k in sorted(blocks)]
 
 

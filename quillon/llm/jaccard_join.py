@@ -19,13 +19,14 @@ What happens to the buckets:
   comparisons between likely fellows, a linear number, leaves few components. The rest is complete:
   pairs are found by what they differ in from the pivot: linked classes have a certain part of those differences in common, so
   one lies in a prefix of both (see ``_differences``), and they're compared too. No link that matters for
-  components is lost, and no bucket is expanded into all pairs.
+  components is lost. These last pairs are few on prose; where thousands of classes are alike but not linked (pages of one template whose fields have few
+  values), their number grows with the square of the group.
 * The sets of classes that share a bucket are written once; each text is split into words three times in all. Narrow tables of pairs and classes are broadcast
   where a count allows it, so that only sets cross an exchange, once to their pivot.
 * All rows of a signature meet in one window task, 20 bytes a class and signature; other groups are joins and sums, which are combined or split.
 
 Nulls and texts without a word have an empty set, no link and a class of their own. Two different sets are taken for
-equal with a chance of 2**-64 for each pair.
+equal with a chance of 2**-64 for each pair, and words as ``tokens`` says.
 """
 
 from __future__ import annotations

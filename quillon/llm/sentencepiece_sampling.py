@@ -15,7 +15,7 @@ are drawn independently and equal units share their forward sums, all units of a
 pass; that is the same distribution as one lattice over the text. Units over ``LONG`` characters are done one by one.
 
 A space is the mark U+2581 and a U+2581 of the text itself goes as bytes, no space is put before a text and nothing is normalised:
-decoding gives back every text, byte for byte. A null text has null pieces; an empty one has none. Rows with a null key
+decoding gives back every text, byte for byte. A null text has null pieces; an empty one has none. Keys that aren't whole numbers count by their hash; rows with a null key
 draw as key 0, equal rows draw equally.
 """
 
@@ -337,7 +337,8 @@ def encode(df: DataFrame, model: str, key_col: str = "doc_id", text_col: str = "
     own = "_draw"
     while own in cols:
         own += "_"
-    src = df.select(*cols, F.coalesce(F.col(key_col).cast("long"), F.lit(0).cast("long")).alias(own))
+    number = F.col(key_col).cast("long") if df.schema[key_col].dataType.typeName() in ("byte", "short", "integer", "long") else F.xxhash64(key_col)
+    src = df.select(*cols, F.when(F.col(key_col).isNotNull(), number).otherwise(F.lit(0)).cast("long").alias(own))
     kinds = {"pieces": "array<int>", decoded_col: "string"}
     schema = df.select(cols).withColumns({c: F.lit(None).cast(kinds[c]) for c in new}).schema
     return src.mapInArrow(run, schema)

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 SHARE = 2000
 
 
-def lookup(left: DataFrame, right: DataFrame, keys: dict[str, str], uses: str, total: int, share: int = SHARE) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, keys: dict[str, str], uses: str, total: int, share: int | None = None) -> DataFrame:
     """Rows of ``left`` with the one row of ``right`` that has their keys ({column of left: column of right}, null equal to null); rows without one are dropped.
 
     ``uses`` of ``right`` says how many rows of ``left`` look for that key, ``total`` is their sum. Keys with a ``share``-th of it
-    or more are at most ``share``, so they are broadcast; any other key has less than that share of the rows in one task.
+    (``SHARE``) or more are at most so many, so they are broadcast; any other key has less than that share of the rows in one task.
     """
 
+    share = share or SHARE
+
     def same(a: DataFrame, b: DataFrame):
         return reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[v]) for k, v in keys.items()))
 

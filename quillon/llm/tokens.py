@@ -1,8 +1,9 @@
 """Vectorised word splitting and hashing over Arrow text columns.
 
 Words are runs of bytes outside a separator table. All separators used here are ASCII, so working on UTF-8
-bytes gives the same words as working on code points. A word's hash is a polynomial in its bytes modulo 2**64,
-taken from prefix sums, then mixed; A-Z hash as a-z.
+bytes gives the same words as working on code points. A word's hash mixes two polynomials in its bytes, taken from prefix sums: one modulo 2**64 and one
+modulo the prime 2**31 - 1, as there are words with one value modulo a power of two for every base (a sequence over two letters and the same with the letters
+swapped, where letters alternate by the number of ones in the place's binary digits). A-Z hash as a-z.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ CHUNK_BYTES = 1 << 19
 _U = np.uint64
 _P = 0x9E3779B97F4A7C55
 _PINV = pow(_P, -1, 1 << 64)
+_M = (1 << 31) - 1
+_B = 1_103_515_245
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,10 +47,23 @@ ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 
 _CODES = mix(LOWER.astype(np.uint64) + _U(0x1234567))
 _EXACT_CODES = mix(np.arange(256, dtype=np.uint64) + _U(0x7654321))
-_powers = {"n": 0, "p": np.empty(0, np.uint64), "q": np.empty(0, np.uint64)}
+#: The same for the prime modulus.
+_SMALL, _EXACT_SMALL = _CODES % _U(_M), _EXACT_CODES % _U(_M)
+_powers = {"n": 0}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _modular_powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * _U(pow(base, done, _M)) % _U(_M)
+        done += more
+    return out
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Powers of both bases and of their inverses: modulo 2**64, then modulo the prime."""
     if _powers["n"] < n:
         m = max(n, CHUNK_BYTES + (1 << 16))
         with np.errstate(over="ignore"):
@@ -55,8 +71,9 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
                 a = np.full(m, base, np.uint64)
                 a[0] = 1
                 _powers[key] = np.multiply.accumulate(a)
+        _powers["small"], _powers["inverse"] = _modular_powers(_B, m), _modular_powers(pow(_B, -1, _M), m)
         _powers["n"] = m
-    return _powers["p"], _powers["q"]
+    return _powers["p"], _powers["q"], _powers["small"], _powers["inverse"]
 
 
 @dataclass
@@ -104,11 +121,14 @@ class Chunk:
             return np.empty(0, np.uint64)
         end = w.end if prefix is None else np.minimum(w.end, w.start + prefix)
         with np.errstate(over="ignore"):
-            p, q = _power_tables(len(self.data) + 1)
-            s = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum((_CODES if fold else _EXACT_CODES)[self.data] * p[: len(self.data)], out=s[1:])
-            h = (s[end] - s[w.start]) * q[w.start]
-            return mix(h + (end - w.start).astype(np.uint64))
+            n, size = len(self.data), (end - w.start).astype(np.uint64)
+            p, q, small, inverse = _power_tables(n + 1)
+            s = np.zeros(n + 1, np.uint64)
+            np.cumsum((_CODES if fold else _EXACT_CODES)[self.data] * p[:n], out=s[1:])
+            h = mix((s[end] - s[w.start]) * q[w.start] + size)
+            x = (_SMALL if fold else _EXACT_SMALL)[self.data] * small[:n]
+            np.cumsum((x & _U(_M)) + (x >> _U(31)), out=s[1:])  # below 2**32 each, so no sum of a text passes 64 bits
+            return mix(h ^ ((s[end] - s[w.start]) % _U(_M) * inverse[w.start] % _U(_M) + (size << _U(31))))
 
 
 def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
