@@ -37,7 +37,7 @@ Ceil Contains EndsWith EulerNumber Explode Floor GeneratorOuter Hour Inline Minu
 """.split())
 #: Functions by name: what they run comes from Spark's own registry.
 FUNCTIONS = set("""
-abs ceil ceiling exp floor greatest least ln log log10 log2 mod negative pi pmod pow power round bround sign signum sqrt cbrt sin cos tan degrees radians try_add try_subtract try_multiply try_divide width_bucket div
+abs ceil ceiling exp floor greatest least ln log log10 log2 mod negative pi pmod pow power round bround sign signum sqrt cbrt sin cos tan degrees radians try_add try_subtract try_multiply try_divide try_mod width_bucket div
 ascii btrim char char_length character_length chr concat concat_ws contains endswith format_number initcap instr lcase left length levenshtein like ilike locate lower lpad ltrim octet_length overlay position regexp regexp_count
 regexp_extract regexp_extract_all regexp_instr regexp_like regexp_replace regexp_substr repeat replace reverse right rlike rpad rtrim soundex space split split_part startswith string substr substring substring_index translate trim ucase upper
 add_months current_date current_timestamp date date_add date_diff date_format date_part date_sub date_trunc datediff day dayofmonth dayofweek dayofyear extract from_unixtime hour last_day make_date minute month months_between next_day now
