@@ -6,36 +6,15 @@ are suppliers and customers, filings are documents, insider movements are events
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions import clean, sectors
 from quillon.operators import dedup, fts, joins, merge
 from quillon.plans import catalog, sqltools, statements
+from quillon.registry import QUERIES, SQL, Query, query, table
 from quillon.sources import pdf
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _facts(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("cnpj"), F.year("l_shipdate").alias("ano"), F.col("l_returnflag").alias("cd_conta"), F.col("l_linestatus").alias("fonte"), F.col("l_linenumber").alias("versao"), F.col("l_extendedprice").alias("vl"))
 
 
@@ -483,6 +462,9 @@ def session_window(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("user_id", F.session_window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), "n")
 
 
+from quillon import queries_deliveries  # noqa: E402, F401  (registers its own)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
