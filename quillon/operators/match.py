@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,24 +56,24 @@ class Op:
 _LEX = re.compile(r'\s*(?:"((?:[^"]|"")*)"|([0-9A-Za-z_\x1a\x80-\U0010ffff]+)|([(){}:+*^,-]))')
 
 
-@dataclass
 class Parser:
-    text: str
-    names: list[str]
-    split: object
-    tokens: list[tuple[str, str]] = field(default_factory=list)
-    at: int = 0
-
-    def __post_init__(self):
-        pos, end = 0, len(self.text.rstrip())
+    """Tokens are (kind, text): kinds string and bare, the operators, and marks by themselves. ``split`` gives the words of a string."""
+
+    def __init__(self, text: str, names: list[str], split: Callable[[str], list[str]]):
+        self.names, self.split, self.at = names, split, 0
+        self.tokens: list[tuple[str, str]] = []
+        pos, end = 0, len(text.rstrip())
         while pos < end:
-            m = _LEX.match(self.text, pos)
+            m = _LEX.match(text, pos)
             if not m:
-                raise MatchSyntaxError(f"syntax error near {self.text[pos : pos + 20]!r}")
+                raise MatchSyntaxError(f"syntax error near {text[pos : pos + 20]!r}")
             quoted, bare, mark = m.groups()
-            self.tokens.append(("string", quoted.replace('""', '"')) if quoted is not None else (bare, bare) if bare in ("AND", "OR", "NOT") else ("string", bare) if bare else (mark, mark))
-            if bare and bare not in ("AND", "OR", "NOT"):
-                self.tokens[-1] = ("bare", bare)
+            if quoted is not None:
+                self.tokens.append(("string", quoted.replace('""', '"')))
+            elif bare in ("AND", "OR", "NOT"):
+                self.tokens.append((bare, bare))
+            else:
+                self.tokens.append(("bare", bare) if bare else (mark, mark))
             pos = m.end()
 
     def peek(self, ahead: int = 0) -> str:
