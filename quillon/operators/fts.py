@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,8 +15,8 @@ from quillon.operators.merge import Snapshots
 
 TOKEN = r"([\p{L}\p{N}\p{Co}]+)"
 K1, B = 1.2, 0.75
-#: Parts of a stored index, by word.
-BUCKETS = 64
+#: Words of the texts in one part of a stored index; parts are by word.
+PART_WORDS = 20_000_000
 
 
 def _folds() -> dict[str, str]:
@@ -46,8 +47,8 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(fold(F.coalesce(c, F.lit(""))), F.lit(TOKEN), F.lit(1))
 
 
-def bucket(c: Column) -> Column:
-    return F.pmod(F.crc32(c.cast("binary")), F.lit(BUCKETS)).cast("int")
+def bucket(c: Column, buckets: int) -> Column:
+    return F.pmod(F.crc32(c.cast("binary")), F.lit(buckets)).cast("int")
 
 
 @dataclass
@@ -55,20 +56,23 @@ class FtsIndex:
     """postings: (doc, column, term, pos); lengths: (doc, length).
 
     An index from ``build_index`` follows its table: each action splits the texts again. One from ``FtsStore`` is what was stored, whatever happens to
-    the table, until it's built again; its postings lie in BUCKETS folders by word, so a query of words reads only theirs.
+    the table, until it's built again; its postings lie in ``buckets`` folders by word, as many as the texts' size asks for, so a query of words reads only theirs.
     """
 
     postings: DataFrame
     lengths: DataFrame
-    stored: bool = False
+    buckets: int = 0
     columns: list[str] = field(default_factory=list)
 
+    def _parts(self, words: Iterable[str]) -> Column:
+        return F.col("bucket").isin(sorted({zlib.crc32(w.encode()) % self.buckets for w in words}))
+
     # --- matching -------------------------------------------------------------------------------------------------
     def words(self, words: list[str], column: str | None = None) -> DataFrame:
         """Postings of the words, in one column or all."""
         p = self.postings if column is None else self.postings.where(F.col("column") == column)
-        if self.stored:
-            p = p.where(F.col("bucket").isin(sorted({zlib.crc32(w.encode()) % BUCKETS for w in words})))
+        if self.buckets:
+            p = p.where(self._parts(words))
         return p.where(F.col("term").isin(*words) if words else F.lit(False))
 
     def term(self, word: str, column: str | None = None, prefix: bool = False) -> DataFrame:
@@ -134,9 +138,9 @@ class FtsIndex:
     def _read(self, tree) -> DataFrame:
         """Postings of the parts that hold a query's words; all parts if it has words by their beginning."""
         words = {w for p in query.phrases_of(tree) for w in p.words}
-        if not self.stored or any(prefix for _, prefix in words):
+        if not self.buckets or any(prefix for _, prefix in words):
             return self.postings
-        return self.postings.where(F.col("bucket").isin(sorted({zlib.crc32(w.encode()) % BUCKETS for w, _ in words})))
+        return self.postings.where(self._parts(w for w, _ in words))
 
     def match(self, text: str) -> DataFrame:
         """Documents that match a query string (see ``match``); an empty string gives none."""
@@ -184,11 +188,13 @@ class FtsStore:
         after = self.snapshots.number()
         path = self.snapshots.new()
         index = build_index(df, key, columns)
-        spread = index.postings.withColumn("bucket", bucket(F.col("term")))
-        # A common word's postings lie in several tasks and files, by document.
-        spread.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(16))).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
         index.lengths.write.parquet(f"{path}/lengths")
-        self.spark.createDataFrame([(i, c) for i, c in enumerate(columns)], "pos int, name string").coalesce(1).write.parquet(f"{path}/columns")
+        words = self.spark.read.parquet(f"{path}/lengths").agg(F.sum("length")).first()[0] or 0
+        buckets = -(-max(words, 1) // PART_WORDS)
+        # A common word's postings lie in several tasks and files.
+        spread = index.postings.withColumn("bucket", bucket(F.col("term"), buckets)).hint("rebalance", "bucket")
+        spread.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
+        self.spark.createDataFrame([(i, c, buckets) for i, c in enumerate(columns)], "pos int, name string, buckets long").coalesce(1).write.parquet(f"{path}/columns")
         self.snapshots.publish(path, after)
         return self.open()
 
@@ -196,8 +202,9 @@ class FtsStore:
         path = self.snapshots.current()
         if path is None:
             raise FileNotFoundError(f"no index in {self.snapshots.folder}")
-        names = [r["name"] for r in self.spark.read.parquet(f"{path}/columns").orderBy("pos").collect()]
-        return FtsIndex(self.spark.read.parquet(f"{path}/postings"), self.spark.read.parquet(f"{path}/lengths"), True, names)
+        columns = self.spark.read.parquet(f"{path}/columns").orderBy("pos").collect()
+        return FtsIndex(self.spark.read.parquet(f"{path}/postings"), self.spark.read.parquet(f"{path}/lengths"), columns[0]["buckets"], [r["name"] for r in columns])
+
 
 
 def contains_folded(c: Column, text: str) -> Column:

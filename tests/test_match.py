@@ -98,10 +98,14 @@ def test_empty_lists_give_no_rows(both):
         assert hits.count() == 0
 
 
-def test_stored_index_reads_the_same(spark, tmp_path, both):
+def test_stored_index_reads_the_same(spark, tmp_path, both, monkeypatch):
     con, _ = both
+    monkeypatch.setattr(fts, "PART_WORDS", 100)
     docs = spark.createDataFrame([(r[0], r[1], r[2]) for r in con.execute("select rowid, subject, body from t")], "id long, subject string, body string")
     index = fts.FtsStore(spark, str(tmp_path / "index")).rebuild(docs, "id", ["subject", "body"])
+    assert index.buckets > 10 and index.columns == ["subject", "body"]
+    read = index.match("lucro fato").select(F.lit(1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in read and "bucket" in read.split("PartitionFilters: [")[1].split("]")[0]
     for text in ("lucro AND fato", "subject : luc*", "NEAR(a b, 2) NOT conselho"):
         assert found(index, text) == expected(con, text)
 
