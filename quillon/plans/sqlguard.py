@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 #: Plan nodes.
 PARSED = set("""
-Aggregate Distinct Except Expand Filter Generate GlobalLimit Intersect Join LateralJoin LocalLimit LocalRelation Offset OneRowRelation Pivot Project RepartitionByExpression
+Aggregate Distinct Except Expand Filter Generate GlobalLimit Intersect Join LateralJoin LimitAll LocalLimit LocalRelation Offset OneRowRelation Pivot Project RepartitionByExpression
 ResolvedInlineTable Sample Sort SubqueryAlias Union Unpivot UnresolvedHaving UnresolvedInlineTable UnresolvedRelation UnresolvedSubqueryColumnAliases
 UnresolvedTableValuedFunction UnresolvedWith WithWindowDefinition
 """.split())
@@ -30,9 +30,9 @@ CreateArray CreateMap CreateNamedStruct CurrentRow$ Divide EqualNullSafe EqualTo
 GreaterThan GreaterThanOrEqual GroupingID GroupingSets Cube Rollup ILike In InSubquery IntegralDivide IsNaN IsNotNull IsNull LambdaFunction LateralSubquery LessThan LessThanOrEqual Like LikeAll LikeAny
 ListQuery Literal Multiply NamedLambdaVariable Not NotLikeAll NotLikeAny Or OuterReference RLike Remainder ResolvedCollation ScalarSubquery ShiftLeft ShiftRight ShiftRightUnsigned SortOrder
 SpecifiedWindowFrame StringLocate StringTrim StringTrimLeft StringTrimRight Substring Subtract TypedNullLiteral UnaryMinus UnaryPositive UnboundedFollowing$ UnboundedPreceding$ UnspecifiedFrame$
-UnresolvedAlias UnresolvedAttribute UnresolvedCollation UnresolvedExtractValue UnresolvedFunction UnresolvedGenerator UnresolvedNamedLambdaVariable UnresolvedStar
+UnresolvedAlias UnresolvedAttribute UnresolvedCollation UnresolvedExtractValue UnresolvedFunction UnresolvedGenerator UnresolvedNamedLambdaVariable UnresolvedOrdinal UnresolvedStar
 UnresolvedStarExceptOrReplace UnresolvedStarWithColumns UnresolvedWindowExpression With WindowExpression WindowSpecDefinition AggregateExpression First Last PivotFirst
-DateAdd DateSub DateAddInterval TimestampAdd TimestampAddInterval TimestampAddYMInterval DateAddYMInterval SubtractDates SubtractTimestamps MakeDTInterval MakeYMInterval MultiplyDTInterval MultiplyYMInterval
+DateAdd DateSub DateAddInterval DatetimeSub TimestampAdd TimestampAddInterval TimestampAddYMInterval DateAddYMInterval SubtractDates SubtractTimestamps MakeDTInterval MakeYMInterval MultiplyDTInterval MultiplyYMInterval
 Ceil Contains EndsWith EulerNumber Explode Floor GeneratorOuter Hour Inline Minute Mode PercentileCont PercentileDisc PosExplode RoundCeil RoundFloor Second SecondWithFraction StartsWith StringLPad StringRPad
 """.split())
 #: Functions by name: what they run comes from Spark's own registry.
@@ -40,7 +40,7 @@ FUNCTIONS = set("""
 abs ceil ceiling exp floor greatest least ln log log10 log2 mod negative pi pmod pow power round bround sign signum sqrt cbrt sin cos tan degrees radians try_add try_subtract try_multiply try_divide try_mod width_bucket div
 ascii btrim char char_length character_length chr concat concat_ws contains endswith format_number initcap instr lcase left length levenshtein like ilike locate lower lpad ltrim octet_length overlay position regexp regexp_count
 regexp_extract regexp_extract_all regexp_instr regexp_like regexp_replace regexp_substr repeat replace reverse right rlike rpad rtrim soundex space split split_part startswith string substr substring substring_index translate trim ucase upper
-add_months current_date current_timestamp date date_add date_diff date_format date_part date_sub date_trunc datediff day dayofmonth dayofweek dayofyear extract from_unixtime hour last_day make_date minute month months_between next_day now
+add_months current_date current_timestamp date date_add date_diff date_format date_part date_sub date_trunc datediff day decode dayofmonth dayofweek dayofyear extract from_unixtime hour last_day make_date minute month months_between next_day now
 quarter second timestamp to_date to_timestamp trunc try_to_date try_to_timestamp unix_timestamp weekday weekofyear window year
 any any_value approx_count_distinct approx_percentile array_agg avg bool_and bool_or collect_list collect_set corr count count_if covar_pop covar_samp every first first_value last last_value listagg max max_by mean median min min_by mode
 percentile percentile_approx percentile_cont percentile_disc some std stddev stddev_pop stddev_samp string_agg sum try_avg try_sum var_pop var_samp variance grouping grouping_id
@@ -61,11 +61,18 @@ def _each(seq):
 
 
 def _kind(x) -> str:
-    return x.getClass().getSimpleName()
+    """The name of a node's class; of one without a name that of the class it extends."""
+    kind = x.getClass()
+    return kind.getSimpleName() or kind.getSuperclass().getSimpleName()
 
 
-def _function_classes(spark: SparkSession, names: set[str]) -> set[str]:
-    """Classes that Spark's registry of built-in functions runs for the names."""
+_classes: dict[frozenset[str], frozenset[str]] = {}
+
+
+def _function_classes(spark: SparkSession, names: frozenset[str]) -> frozenset[str]:
+    """Classes that Spark's registry of built-in functions runs for the names; they're looked up once."""
+    if names in _classes:
+        return _classes[names]
     registry = spark._jvm.org.apache.spark.sql.catalyst.analysis.FunctionRegistry.builtin()
     tables = spark._jvm.org.apache.spark.sql.catalyst.analysis.TableFunctionRegistry.builtin()
     out = set()
@@ -75,7 +82,8 @@ def _function_classes(spark: SparkSession, names: set[str]) -> set[str]:
             info = r.lookupFunction(ident)
             if info.isDefined():
                 out.add(info.get().getClassName().rpartition(".")[2])
-    return out
+    _classes[names] = frozenset(out)
+    return _classes[names]
 
 
 class Guard:
@@ -85,7 +93,7 @@ class Guard:
         """``own``: SQL functions of the session that readers may call beside the built-in ones."""
         self.spark, self.tables, self.functions, self.own = spark, tables, functions | own, own
         self.state = spark._jsparkSession.sessionState()
-        self.expressions = SYNTAX | _function_classes(spark, set(functions)) | ({"SQLFunctionExpression", "SQLScalarFunction"} if own else set())
+        self.expressions = SYNTAX | _function_classes(spark, frozenset(functions)) | ({"SQLFunctionExpression", "SQLScalarFunction"} if own else set())
 
     def check(self, sql: str) -> None:
         plan = self.state.sqlParser().parsePlan(sql)

@@ -144,6 +144,8 @@ select * from shelf, lateral (select shelf.id + 1)
 select transform(a, x -> x + 1), struct(id, s).id, map('a', 1)['a'] from shelf
 select * from (select id, s, v from shelf) pivot (sum(v) for s in ('0', '1'))
 select d + interval 1 day, extract(month from d), date_trunc('month', d), try_to_date('x') from shelf
+select id, count(*) from shelf group by 1 order by 2 limit all
+select id is distinct from 1, (id > 1) is true, d - date'2023-01-01', d - interval '1' month from shelf
 values (1, 2)
 /* a comment */ select * from shelf tablesample (2 rows) join range(3) using (id)""".split("\n")
 REFUSED = """select * from identifier('text.`/etc/hostname`')
