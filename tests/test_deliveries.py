@@ -130,3 +130,17 @@ def test_event_streams(spark, tmp_path):
     assert (t(270), "a", 1) in sliding and (t(300), "a", 1) in sliding
     sessions = run(lambda e: streaming.session_counts(e, ["user"]), "sessions")
     assert ("b", t(70), 1) in sessions and any(r[0] == "a" and r[1] == t(0) for r in sessions)
+
+
+def test_a_statement_without_its_order_fails_its_part_only(spark, watch, tmp_path):
+    """The order of the reported year is part of the key: rows without one change nothing, and other parts go on."""
+    head = "CNPJ_CIA;DT_REFER;VERSAO;ORDEM_EXERC;DT_FIM_EXERC;CD_CONTA;DS_CONTA;VL_CONTA;ESCALA_MOEDA"
+    good, bad = "c;2023-12-31;1;ÚLTIMO;2023-12-31;3.01;x;5;UNIDADE", "c;2023-12-31;1;;2023-12-31;3.02;x;6;UNIDADE"
+    for name, lines in (("good", [good]), ("bad", [good, bad])):
+        (tmp_path / name).mkdir()
+        delivery(tmp_path / name / "dfp_cia_aberta_2023.zip", {"dfp_cia_aberta_DRE_con_2023.csv": [head, *lines]})
+    store = merge.SnapshotStore(spark, str(tmp_path / "store"))
+    parts = [(n, lambda n=n: ingest.statements(zipcsv.zip_csv(spark, str(tmp_path / n), head.split(";")), watch, "DFP")) for n in ("bad", "good")]
+    out = ingest.load_each(store, schema.STATEMENTS, parts)
+    assert out["bad"].startswith("failed") and "ordem_exercicio is null" in out["bad"] and out["good"] == "merged"
+    assert rows(store.read(schema.STATEMENTS).select("cd_conta", "vl_conta")) == [("3.01", 5.0)]
