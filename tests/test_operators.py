@@ -93,6 +93,28 @@ def test_catalog(spark):
     assert catalog.search(df, "xx.x4", ["ticker", "nome_cvm"]).count() == 1
 
 
+def test_tickers_of_an_index_with_repeats(spark):
+    """A code's rows of both indices go with each other: the operator counts them, and the catalog never makes them."""
+    index = lambda *r: spark.createDataFrame(list(r), "cod string, asset string, ordinal int")
+    ibov = index(("XXXX3", "N", 1), ("XXXX3", "M", 5), ("XXXX3", None, 6), ("ZZZZ3", "Q", 2), (None, "P", 3))
+    ibrx = index(("XXXX3", "A", 2), ("XXXX3", "B", 4), ("XXXX3", "B", 7), ("YYYY4", "C", 3), ("YYYY4", "C", 8))
+    tickers = catalog.index_tickers(ibov, ibrx)
+    plain = {}
+    a, b = ibrx.collect(), ibov.collect()
+    pairs = [(x, y) for x in a for y in b if x["cod"] == y["cod"]]
+    for x, y in [*pairs, *((x, None) for x in a if x["cod"] not in {y["cod"] for y in b}), *((None, y) for y in b if y["cod"] not in {x["cod"] for x in a})]:
+        key = (x or y)["cod"], y["asset"] if y and y["asset"] else x["asset"], y is not None, x is not None
+        last, times = plain.get(key, (0, 0))
+        plain[key] = max(last, x["ordinal"] if x else y["ordinal"] + 1_000_000), times + 1
+    assert rows(tickers.select("cod", "asset", "ibov", "ibrx", "ordinal", "times")) == sorted(((*k, *v) for k, v in plain.items()), key=str)
+    many = index(*(("XXXX3", f"N{i}", i) for i in range(300)))
+    n = catalog.index_tickers(many, many)
+    assert n.count() == 300 and n.agg(F.sum("times")).first()[0] == 90_000
+    companies = spark.createDataFrame([("XXXX", "none"), ("WWWW", "none")], "issuingCompany string, tradingName string")
+    got = {r["ticker"]: (r["count"], r["i"]) for r in catalog.with_ticker(companies, n).groupBy("ticker").agg(F.count("*").alias("count"), F.max("indices").alias("i")).collect()}
+    assert got == {"XXXX3": (90_000, "IBOV,IBRX"), "WWWW3": (1, "")}
+
+
 def test_full_text_ranks_equal_sqlite(spark):
     texts = ["Aquisição de CONTROLE da companhia", "Aviso aos acionistas", "controle e aquisicao de controle", "", None]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
