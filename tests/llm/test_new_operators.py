@@ -184,6 +184,34 @@ def phrase_rows(df, **how):
     return sorted(tuple(r[c] for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")) for r in phrases.mine_phrases(df, **how).collect())
 
 
+def test_automata_of_a_shard_whose_phrases_all_pass_stay_small(monkeypatch):
+    """As a corpus grows more of a shard's phrases pass: memory is of one automaton, whatever their number."""
+    sizes, plain = [], phrases.ahocorasick.Automaton
+
+    def kept(kind):
+        class Kept:
+            def __init__(self):
+                self.own = plain(kind)
+                self.add_word, self.iter = self.own.add_word, self.own.iter
+
+            def make_automaton(self):
+                self.own.make_automaton()
+                sizes.append(self.own.get_stats()["total_size"])
+
+        return Kept()
+
+    monkeypatch.setattr(phrases.ahocorasick, "Automaton", kept)
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in (rng.zipf(1.3, 150_000) % 30_000).tolist())
+    ids, words, lang = phrases._number(["en"], [text.encode()])
+    row = {"ids": ids.tobytes(), "words": words, "langs": ["en"], "lang_of": lang}
+    cells = phrases._own_cells(phrases._cells(row, 4, 40)[2])[0]
+    row["passed"] = [{"bits": np.packbits(np.ones(len(cells), bool)).tobytes(), "size": len(cells)}]
+    total = sum(int(count.sum()) for _, count in phrases._count(row, 4, 40))
+    assert total == 4 * 150_000 - 6
+    assert max(sizes) < 16 << 20
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_phrases_equal_brute_force(spark, small, monkeypatch):
     if small:  # many shards, ranges and automata
