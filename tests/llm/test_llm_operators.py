@@ -506,6 +506,23 @@ def test_toxicity_repeated_ids_and_long_texts(spark, monkeypatch):
     assert len(got[0][0]) == 39 and got[0][1].sum() == 20
 
 
+def test_toxicity_learns_from_rows_beyond_the_first_models(spark):
+    """A word that only rows outside the first model's have is learnt, however rows are dealt; thresholds too are of all rows."""
+    df, labels, truth = labelled(spark, 500, lambda rng, w: " ".join([*w[:3], "vile", *w[3:]]))
+    more = [(1000 + i, f"w{i % 300} w{i * 7 % 300} " + ("dreadful dreadful" if i % 2 else "pleasant")) for i in range(400)]
+    # Those texts are too long for the first model.
+    more = [(i, t + " filler" * 40) for i, t in more]
+    df = df.where("length(text) < 250").unionByName(spark.createDataFrame(more, DOCS))
+    labels = labels.unionByName(spark.createDataFrame([(i, i % 2) for i, _ in more], "doc_id long, y int"))
+    how = {"sample": 60, "longest": 250}
+    model = toxicity.fit_toxicity(df, labels, "y", fold() != 0, **how)
+    got = toxicity.score_toxicity(df, model).collect()
+    held = [(r["score"] >= 0.5, r["doc_id"] % 2 == 1) for r in got if r["doc_id"] >= 1000 and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
+    assert len(held) > 50 and sum(a == b for a, b in held) / len(held) >= 0.95
+    again = toxicity.fit_toxicity(df.repartition(7), labels.repartition(3), "y", fold() != 0, **how)
+    assert np.array_equal(again.embed, model.embed) and np.array_equal(again.thresholds, model.thresholds)
+
+
 def test_toxicity_logits_equal_a_naive_convolution():
     rng = np.random.default_rng(4)
     texts = pa.array([" ".join(f"w{rng.integers(90)}" for _ in range(n)) for n in (0, 1, 2, 3, 7, 40, 1)])
