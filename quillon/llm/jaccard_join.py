@@ -4,7 +4,8 @@ Each text becomes the set of its distinct word n-grams, as 64-bit hashes. Sizes
 sizes l..u two sets at the threshold differ in at most k elements, k from u. The element domain is hashed into n1
 first-level groups and each group into n2 second-level parts, and every subset of n2-k2 parts of a group is one
 signature: the hash of what the set has in it. By the pigeonhole principle similar sets share a signature. A set
-also enters the band above when it can have a partner there.
+also enters the band above when it can have a partner there. Of a band's groups it signs the first ones only, as many as its
+own largest partner there asks for.
 
 Subsets that hold next to nothing would put unrelated sets together. n1 has ``spare`` more groups than the argument
 needs, so linked sets share signatures of spare + 1 groups at least. A set with at most ``spare`` thin groups (one of their subsets has
@@ -18,7 +19,8 @@ What happens to the buckets:
 * After components of those edges, only pairs of classes of one pivot and of different components are left. A round of
   comparisons between likely fellows, a linear number, leaves few components. The rest is complete:
   pairs are found by what they differ in from the pivot: linked classes have a certain part of those differences in common, so
-  one lies in a prefix of both (see ``_differences``), and they're compared too. No link that matters for
+  one lies in a prefix of both (see ``_differences``), and they're compared too. Prefixes travel packed, a row a class and part of its pivot's
+  classes, and meet in a task by part. No link that matters for
   components is lost. These last pairs are few on prose; where thousands of classes are alike but not linked (pages of one template whose fields have few
   values), their number grows with the square of the group.
 * The sets of classes that share a bucket are written once; each text is split into words three times in all. Narrow tables of pairs and classes are broadcast
@@ -51,6 +53,8 @@ _U = np.uint64
 FILTER_BITS = 16, 28
 #: Groups beyond those that the argument needs, as a share of them.
 SPARE = 0.25
+#: Fewer elements a group than this (before the spare ones), and groups are cut into parts: half as much again in signatures, of more elements each.
+WHOLE = 2.5
 
 
 @dataclass(frozen=True)
@@ -92,7 +96,7 @@ def band(rule: Rule, index: int) -> Band:
     low = 1 if index == 0 else band(rule, index - 1).high + 1
     high = max(low * rule.den // rule.num, low * 27 // 20)
     k = rule.differ(high, high)
-    if k and low < 4 * (k + 1):
+    if k and low < WHOLE * (k + 1):
         n2, k2 = 3, 1
     else:
         n2, k2 = 1, 0
@@ -141,6 +145,15 @@ def set_key(s: np.ndarray) -> int:
     return int(x.view(np.int64))
 
 
+def signed_groups(rule: Rule, b: Band, n: int) -> int:
+    """How many first groups a set of n elements signs: what its difference to the largest partner in the band needs, and the spare ones.
+
+    It grows with n, so of two partners the smaller one's groups are signed by both, and they're enough: of those at most k // (k2 + 1) have more than k2
+    of the k elements in which the two may differ.
+    """
+    return rule.differ(n, min(n * rule.den // rule.num, b.high)) // (b.k2 + 1) + 1 + b.spare
+
+
 def signatures(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """All signatures of one non-empty set, and for each its band and how many signatures of that band a partner shares at least, as band * 2**16 + number."""
     out, info = [], []
@@ -162,6 +175,8 @@ def signatures(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
                 sizes = np.stack([c[:, j].sum(axis=1) for j in map(list, subsets)], axis=1)
             tag = np.arange(sums.size, dtype=np.uint64).reshape(sums.shape) + _U(b.index << 32)
             sig = mix(mix(sums) + tag)
+            signed = signed_groups(rule, b, len(s))
+            sig, sizes = sig[:signed], sizes[:signed]
             full = sizes >= b.least
             empty = int((~full).any(axis=1).sum())
             # A partner that doesn't sign its empty subsets may share only one with a set that does.
@@ -320,7 +335,7 @@ def _verify(sets: DataFrame, pairs: DataFrame, rule: Rule, scratch: Scratch) ->
 
 
 def _differences(rule: Rule):
-    """Rows (pivot, element, place, key, n, d, near, c): a prefix of the elements in which a class and its pivot differ.
+    """Rows (pivot, part, key, n, d, near, c, elements, places): a prefix of the elements in which a class and its pivot differ, dealt to the pivot's parts by element.
 
     For classes a, b of one pivot, |a ^ b| = |A| + |B| - 2 |A & B|, where A and B are their differences to the pivot. Linked
     classes differ in at most k elements, so |A & B| >= t = (|A| + |B| - k) / 2, and in any fixed order of the elements
@@ -334,9 +349,9 @@ def _differences(rule: Rule):
 
     def run(batches):
         for b in batches:
-            meta = zip(*(b.column(c).to_pylist() for c in ("u", "v", "linked", "c", "common")))
-            rows, elements, size = [], [], 0
-            for (u, v, near, c, common), (x, y) in zip(meta, _sorted_sets(b)):
+            meta = zip(*(b.column(c).to_pylist() for c in ("u", "v", "linked", "c", "parts", "common")))
+            rows = []
+            for (u, v, near, c, parts, common), (x, y) in zip(meta, _sorted_sets(b)):
                 both = np.concatenate([x[~_in(x, y)], y[~_in(y, x)]])
                 d, n = len(both), len(x)
                 if common:
@@ -351,24 +366,62 @@ def _differences(rule: Rule):
                     # A class linked to the pivot is of its component: only classes that aren't can add something.
                     least = max(least, rule.differ(-(-n * rule.num // rule.den), len(y)) + 1)
                 t = -((k - d - least) // 2)
-                e = both[: max(0, min(d, d - t + 1))].view(np.int64)
-                rows.append((v, u, n, d, near, c, len(e)))
-                elements.append(e)
-                size += len(e)
-                if size > 50_000:
-                    yield _difference_batch(rows, elements)
-                    rows, elements, size = [], [], 0
-            if size:
-                yield _difference_batch(rows, elements)
+                e = both[: max(0, min(d, d - t + 1))]
+                place = np.arange(len(e), dtype=np.int32)
+                with np.errstate(over="ignore"):
+                    part = mix(e) % _U(parts) if parts > 1 else np.zeros(len(e), np.uint64)
+                for i in np.unique(part):
+                    rows.append((v, int(i), u, n, d, near, c, e[part == i].tobytes(), place[part == i].tobytes()))
+                if len(rows) >= 2000:
+                    yield _difference_batch(rows)
+                    rows = []
+            if rows:
+                yield _difference_batch(rows)
 
     return run
 
 
-def _difference_batch(rows: list, elements: list) -> pa.RecordBatch:
-    v, u, n, d, near, c, size = (np.array(x) for x in zip(*rows))
-    cols = [pa.array(np.repeat(x, size)) for x in (v, u, n, d, near, c)]
-    place = np.concatenate([np.arange(len(e)) for e in elements])
-    return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(elements)), pa.array(place)], names=["pivot", "key", "n", "d", "near", "c", "element", "place"])
+_DIFFERENCES = pa.schema([("pivot", pa.int64()), ("part", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("d", pa.int64()), ("near", pa.bool_()), ("c", pa.int64()), ("elements", pa.binary()), ("places", pa.binary())])
+
+
+def _difference_batch(rows: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _DIFFERENCES)], schema=_DIFFERENCES)
+
+
+#: Classes whose differences a part holds, by expectation, if each class has some in each part; pairs that are tested at once.
+PART, TESTED = 2048, 1 << 20
+
+
+def _fellows(rule: Rule):
+    """(u, v): classes of one pivot with an element in common, after which both have as many left as linked ones must; a part's rows are one group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches))
+        key, n, d, c = (t.column(x).to_numpy() for x in ("key", "n", "d", "c"))
+        near = t.column("near").to_numpy().astype(bool)
+        e = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("elements")]
+        row = np.repeat(np.arange(len(e)), [len(x) for x in e])
+        e = np.concatenate(e)
+        place = np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in t.column("places")]).astype(np.int64)
+        order = np.argsort(e, kind="stable")
+        e, row, place = e[order], row[order], place[order]
+        at = np.arange(len(e))
+        heads = np.r_[True, e[1:] != e[:-1]] if len(e) else np.empty(0, bool)
+        after = np.r_[at[heads], len(e)][np.cumsum(heads)] - at - 1  # each meets those after it in the run of its element
+        total = np.r_[0, np.cumsum(after)]
+        for lo in range(0, int(total[-1]), TESTED):
+            pair = np.arange(lo, min(lo + TESTED, int(total[-1])))
+            i = np.searchsorted(total, pair, "right") - 1
+            j = i + 1 + pair - total[i]
+            x, y = row[i], row[j]
+            most = (rule.den - rule.num) * (n[x] + n[y]) // (rule.den + rule.num)
+            may = (key[x] != key[y]) & (c[x] != c[y]) & ~(near[x] & near[y]) & (np.abs(n[x] - n[y]) <= most) & (np.abs(d[x] - d[y]) <= most)
+            may &= 2 * np.minimum(d[x] - place[i], d[y] - place[j]) >= d[x] + d[y] - most
+            u, v = key[x[may]], key[y[may]]
+            pairs = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["u", "v"])
+
+    return run
 
 
 def _join(df: DataFrame, id_col: str, text_col: str, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame, Scratch]:
@@ -441,16 +494,11 @@ def _edges(docs: DataFrame, classes: DataFrame, pairs: DataFrame, rule: Rule, sc
         left = scratch.keep(left.select("u", "v", "linked", "c"), "left")
         # Rows of some KB.
         common = _small(_common(sets, left, scratch), 2_000)
-        rows = _with_sets(sets, left).join(common, "v", "left").select("u", "v", "linked", "c", "common", "x", "y")
-        rows = rows.mapInArrow(_differences(rule), "pivot long, key long, n long, d long, near boolean, c long, element long, place long")
-        rows = scratch.keep(rows, "differences")
-        a = rows.select("pivot", "element", *(F.col(x).alias(f"{x}1") for x in ("key", "n", "d", "near", "c", "place")))
-        b = rows.select("pivot", "element", *(F.col(x).alias(f"{x}2") for x in ("key", "n", "d", "near", "c", "place")))
-        most = k("n1", "n2")
-        may = f"key1 < key2 and c1 != c2 and not (near1 and near2) and abs(n1 - n2) <= {most} and abs(d1 - d2) <= {most} and 2 * least(d1 - place1, d2 - place2) >= d1 + d2 - {most}"
-        rest = a.join(b, ["pivot", "element"]).where(may).select(F.col("key1").alias("u"), F.col("key2").alias("v")).distinct()
+        parts = scratch.keep(left.groupBy("v").agg(F.ceil(F.count("*") / PART).alias("parts")).where("parts > 1"), "parts")
+        rows = _with_sets(sets, left).join(common, "v", "left").join(_small(parts), "v", "left").select("u", "v", "linked", "c", F.coalesce("parts", F.lit(1)).alias("parts"), "common", "x", "y")
+        rows = rows.mapInArrow(_differences(rule), "pivot long, part long, key long, n long, d long, near boolean, c long, elements binary, places binary")
+        rest = rows.groupBy("pivot", "part").applyInArrow(_fellows(rule), "u long, v long").distinct()
         last = _verify(sets, scratch.keep(rest.join(done, ["u", "v"], "left_anti"), "rest"), rule, scratch)
-        scratch.drop(rows)
         edges = edges.unionByName(last.where("linked").select("u", "v"))
     edges = scratch.keep(edges, "links")
     scratch.drop(sets)

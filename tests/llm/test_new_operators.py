@@ -1,6 +1,7 @@
 """Byte-level BPE, vector codes and phrases beside plain versions, with their edge cases; words that no hash may take for equal."""
 
 import base64
+import itertools
 import random
 import re
 from collections import Counter
@@ -9,6 +10,7 @@ from hashlib import sha256
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -298,3 +300,47 @@ def test_pieces_take_keys_of_any_type(spark):
     df = spark.createDataFrame([("k1", "some text here"), ("k2", "some text here"), ("k1", "some text here"), (None, "some text here")], "key string, text string")
     got = sentencepiece_sampling.encode(df, PIECE_MODEL, "key", decoded_col="decoded").collect()
     assert got[0]["pieces"] == got[2]["pieces"] and all(r["decoded"] == "some text here" for r in got)
+
+
+def test_jaccard_signs_only_the_groups_that_partners_need():
+    """Fewer signatures than elements at a similarity of 0.8, and any two linked sets still share as many as the filter asks for, neighbouring bands included."""
+    rng, rule = np.random.default_rng(5), jaccard_join.Rule(5, 80, 100)
+    for n in (60, 150, 300, 500, 1000):
+        assert len(jaccard_join.signatures(np.unique(rng.integers(0, 2**63, n).astype(np.uint64)), rule)[0]) < 0.75 * n
+    for rule in (rule, jaccard_join.Rule(4, 85, 100), jaccard_join.Rule(5, 50, 100)):
+        for n in [1, 3, 6, 10, 19, 36, 37, 49, 50, 90, 123, 300, 700] * 12:
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            k = rule.differ(n, n)
+            gone = int(rng.integers(0, k + 1))
+            more = int(rng.integers(0, k - gone + 1))
+            b = np.unique(np.r_[rng.permutation(a)[gone:], rng.integers(0, 2**63, more).astype(np.uint64)])
+            if not len(b) or not rule.linked(np.array(len(np.intersect1d(a, b))), len(a), len(b)):
+                continue
+            (x, p), (y, q) = jaccard_join.signatures(a, rule), jaccard_join.signatures(b, rule)
+            shared = np.intersect1d(x, y)
+            stays = lambda s, info, i: np.isin(s[info >> 16 == i], shared).sum() >= (info[info >> 16 == i][0] & 65535)
+            assert len(shared) and any(stays(x, p, i) and stays(y, q, i) for i in set((p[np.isin(x, shared)] >> 16).tolist()))
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_jaccard_differences_are_a_row_a_class_and_part(parts):
+    """Rows don't grow with the differing elements; no link between classes of different components is missed, and none is named twice in a part."""
+    rng, rule = np.random.default_rng(parts), jaccard_join.Rule(5, 80, 100)
+    pivot = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))
+    sets = []
+    for _ in range(40):
+        own = np.r_[rng.permutation(pivot)[: rng.integers(100, 160)], rng.integers(0, 2**63, rng.integers(20, 60)).astype(np.uint64)]
+        for _ in range(3):
+            sets.append(np.unique(np.r_[rng.permutation(own)[rng.integers(0, 12) :], rng.integers(0, 2**63, rng.integers(0, 12)).astype(np.uint64)]))
+    linked = lambda a, b: bool(rule.linked(np.array(len(np.intersect1d(a, b))), len(a), len(b)))
+    cols = {"u": range(len(sets)), "v": [-1] * len(sets), "linked": [linked(s, pivot) for s in sets], "c": range(len(sets)), "parts": [parts] * len(sets), "common": [None] * len(sets), "x": [s.tobytes() for s in sets], "y": [pivot.tobytes()] * len(sets)}
+    batch = pa.RecordBatch.from_arrays([pa.array(list(x)) for x in cols.values()], names=list(cols))
+    rows = pa.Table.from_batches(list(jaccard_join._differences(rule)(iter([batch]))))
+    assert len(sets) <= rows.num_rows <= parts * len(sets)
+    got = set()
+    for i in range(parts):
+        pairs = [tuple(r.values()) for b in jaccard_join._fellows(rule)(iter(rows.filter(pc.equal(rows.column("part"), i)).to_batches())) for r in b.to_pylist()]
+        assert len(pairs) == len(set(pairs)) and all(u < v for u, v in pairs)
+        got |= set(pairs)
+    want = {(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if linked(sets[i], sets[j]) and not (cols["linked"][i] and cols["linked"][j])}
+    assert want and want <= got
