@@ -4,6 +4,7 @@ import base64
 import itertools
 import random
 import re
+import tracemalloc
 from collections import Counter
 from hashlib import sha256
 
@@ -214,6 +215,47 @@ def test_automata_of_a_shard_whose_phrases_all_pass_stay_small(monkeypatch):
     assert max(sizes) < 16 << 20
 
 
+def test_a_shard_whose_phrases_all_pass_is_counted_in_little_memory(monkeypatch):
+    """A phrase that is alone in its cell isn't put into an automaton, and a length that is done needs no memory."""
+    added, plain = [], phrases.ahocorasick.Automaton
+
+    class Kept:
+        def __init__(self, kind):
+            own = plain(kind)
+            self.make_automaton, self.iter = own.make_automaton, own.iter
+            self.add_word = lambda word, i: added.append(1) or own.add_word(word, i)
+
+    monkeypatch.setattr(phrases.ahocorasick, "Automaton", Kept)
+    rng = np.random.default_rng(4)
+    words = (rng.zipf(1.3, 150_000) % 30_000).tolist()
+    ids, names, lang = phrases._number(["en"], [" ".join(f"w{i}" for i in words).encode()])
+    row = {"ids": ids.tobytes(), "words": names, "langs": ["en"], "lang_of": lang}
+    cells = phrases._own_cells(phrases._cells(row, 4, 40)[2])[0]
+    row["passed"] = [{"bits": np.packbits(np.ones(len(cells), bool)).tobytes(), "size": len(cells)}]
+    want = Counter(tuple(words[i : i + n]) for n in (1, 2, 3, 4) for i in range(len(words) - n + 1))
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        got, seen = 0, 0
+        for part, count in phrases._count(row, 4, 40):
+            got, seen = got + len(part), seen + int((count == 1).sum())
+        peak = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert got == len(want) and seen == sum(f == 1 for f in want.values())
+    assert len(added) <= sum(f > 1 for p, f in want.items() if len(p) > 1) + 9
+    assert peak < 44 << 20, peak
+
+
+def test_batches_for_python_workers_are_bounded_by_bytes(spark):
+    key, many = "spark.sql.execution.arrow.maxBytesPerBatch", lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+    df = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("x"))
+    was = spark.conf.get(key, None)
+    with phrases._batches(spark, 1_000_000):
+        assert max(r["n"] for r in df.mapInArrow(many, "n long").collect()) <= 11
+    assert spark.conf.get(key, None) == was
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_phrases_equal_brute_force(spark, small, monkeypatch):
     if small:  # many shards, ranges and automata
